@@ -25,12 +25,17 @@ def table_metadata(tables: DataFrame, columns: DataFrame, database: str, cluster
     sort_order).  ``is_partition`` is not part of the record.  Use
     :func:`nest_columns` for the nested record shape.
     """
-    ident = [F.lit(database).alias("db"), F.lit(cluster).alias("cluster")]
     table_records = tables.select(
-        *ident, S, TB, "description", "is_view", "table_ord", "last_modified", "n_columns")
-    column_records = columns.join(tables.select(*TABLE_KEYS), TABLE_KEYS, "left_semi").select(
-        *ident, S, TB, "col_name", "description", F.col("data_type").alias("col_type"), "sort_order")
-    return table_records, column_records
+        F.lit(database).alias("db"), F.lit(cluster).alias("cluster"),
+        S, TB, "description", "is_view", "table_ord", "last_modified", "n_columns")
+    return table_records, column_records_of(columns, tables, database, cluster)
+
+
+def column_records_of(columns: DataFrame, tables: DataFrame, database: str, cluster: str) -> DataFrame:
+    """Column records (see :func:`table_metadata`) of the columns of ``tables``."""
+    return columns.join(tables.select(*TABLE_KEYS), TABLE_KEYS, "left_semi").select(
+        F.lit(database).alias("db"), F.lit(cluster).alias("cluster"),
+        S, TB, "col_name", "description", F.col("data_type").alias("col_type"), "sort_order")
 
 
 def nest_columns(table_records: DataFrame, column_records: DataFrame) -> DataFrame:

@@ -52,6 +52,18 @@ def in_scope(df: DataFrame, raw_schemas: DataFrame, include: SchemaSet = None, e
     return df.join(kept, S, "left_semi")
 
 
+def prune_to_scope(df: DataFrame, include: SchemaSet = None, exclude: SchemaSet = None) -> DataFrame:
+    """Drop rows of big per-table inputs (DESCRIBE output, details) outside the
+    include / exclude lists before any shuffle.  Without a list nothing is
+    pruned: the scoped listing decides which tables appear in the results.
+    """
+    if _include_given(include):
+        return _restrict(df, include, keep=True)
+    if exclude is not None and (isinstance(exclude, DataFrame) or len(exclude) > 0):
+        return _restrict(df, exclude, keep=False)
+    return df
+
+
 def scope_exclude(raw_schemas: DataFrame, raw_tables: DataFrame, exclude: SchemaSet = None) -> DataFrame:
     """Tables of every listed schema that is not excluded (item 1)."""
     return _with_unnamed(in_scope(raw_tables, raw_schemas, None, exclude), raw_tables)

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from metaweave.operators import describe as D
 from metaweave.operators import detail as X
 from metaweave.operators import records as R
-from metaweave.operators.scope import SchemaSet, in_scope, scope_include
+from metaweave.operators.scope import SchemaSet, prune_to_scope, scope_include
+from metaweave.session import materialize as write_stage
 
 
 @dataclass
@@ -51,27 +52,35 @@ def lake_catalog(
     delta_only: bool = True,
     match: str = D.MATCH_DATA_TYPE_FIRST,
     table_detail: DataFrame | None = None,
+    materialize: bool = False,
 ) -> LakeCatalog:
     """Build the whole lake pipeline over landed tables.
 
     ``raw`` holds ``raw_schemas``, ``raw_tables``, ``raw_table_detail``,
     ``raw_describe`` and ``raw_describe_ext``.  ``table_detail`` overrides the
     landed detail (for example with one derived from a commit log).
-    """
-    schemas = raw["raw_schemas"]
 
+    With ``materialize`` the two stage results every later output reads —
+    the column table and the checked table list — are written once under
+    the checkpoint root and read back, so the records, the rejects, the
+    graph and the search documents do not each re-run the DESCRIBE work.
+    """
     def scope(df: DataFrame) -> DataFrame:
-        return in_scope(df, schemas, include, exclude)
+        return prune_to_scope(df, include, exclude)
 
-    scoped = scope_include(schemas, raw["raw_tables"], include, exclude)
+    scoped = scope_include(raw["raw_schemas"], raw["raw_tables"], include, exclude)
     annotated = D.annotate_describe(scope(raw["raw_describe"]))
     columns = D.partition_columns(annotated, D.describe_columns(annotated), match)
+    if materialize:
+        columns = write_stage(columns, "columns")
     ext = scope(raw["raw_describe_ext"])
     properties = D.describe_properties(ext)
     view_detail = D.view_details(ext, properties)
     detail = scope(table_detail if table_detail is not None else raw["raw_table_detail"])
     scraped = X.attach_details(X.route_kind(scoped), detail, view_detail)
     checked = X.drop_unscrapable(scraped, columns)
+    if materialize:
+        checked = write_stage(checked, "checked")
     kept = X.kept(checked)
     delta = X.delta_filter(kept, delta_only)
     table_records, column_records = R.table_metadata(delta, columns, database, cluster)

@@ -22,9 +22,9 @@ from metaweave.operators import records as R
 from metaweave.operators import search as Q
 from metaweave.operators.scope import relational_catalog, scope_exclude, scope_include
 from metaweave.plans.lake import LakeCatalog, lake_catalog
-from metaweave.session import scratch_path
+from metaweave.session import materialize, scratch_path
 from metaweave.sources import exchange, index
-from metaweave.sources.fixtures import Fixtures
+from metaweave.sources.fixtures import Fixtures, landed_fixtures
 
 # Identity of the lake catalog in every query.
 DATABASE = "delta"
@@ -34,56 +34,61 @@ TOP_K = 10
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> tuple[Fixtures, LakeCatalog]:
-    fx = Fixtures(spark, sf_dir)
-    return fx, lake_catalog(fx.all_raw(), cluster=CLUSTER, database=DATABASE)
+def _fx(spark: SparkSession, sf_dir: str) -> Fixtures:
+    """The fixture tables, landed once per application (see ``landed_fixtures``)."""
+    return landed_fixtures(spark, sf_dir)
+
+
+def _lake(spark: SparkSession, sf_dir: str, materialize_stages: bool = False) -> tuple[Fixtures, LakeCatalog]:
+    fx = _fx(spark, sf_dir)
+    return fx, lake_catalog(fx.all_raw(), cluster=CLUSTER, database=DATABASE, materialize=materialize_stages)
 
 
 # -- 2.1 sources and scope ---------------------------------------------------------
 
 def q_scope_exclude(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = _fx(spark, sf_dir)
     return scope_exclude(fx.raw_schemas, fx.raw_tables, fx.exclude_list).select(*TABLE_KEYS)
 
 
 def q_scope_include(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = _fx(spark, sf_dir)
     return scope_include(fx.raw_schemas, fx.raw_tables, fx.schema_list, fx.exclude_list).select(*TABLE_KEYS)
 
 
 def q_relational_catalog(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = _fx(spark, sf_dir)
     return relational_catalog(fx.pg_columns, ["public"]).select(
         "db", "cluster", S, TB, "col_name", "col_type", "description",
         F.col("sort_order").alias("col_sort_order"))
 
 
 def q_commit_log_detail(spark, sf_dir):
-    return X.commit_log_detail(Fixtures(spark, sf_dir).raw_commits)
+    return X.commit_log_detail(_fx(spark, sf_dir).raw_commits)
 
 
 # -- 2.2 DESCRIBE interpretation -------------------------------------------------
 
 def q_describe_sections(spark, sf_dir):
-    return D.describe_sections(Fixtures(spark, sf_dir).raw_describe)
+    return D.describe_sections(_fx(spark, sf_dir).raw_describe)
 
 
 def q_describe_columns(spark, sf_dir):
-    return D.describe_columns(D.annotate_describe(Fixtures(spark, sf_dir).raw_describe))
+    return D.describe_columns(D.annotate_describe(_fx(spark, sf_dir).raw_describe))
 
 
 def q_partition_columns(spark, sf_dir):
-    return D.partition_columns(D.annotate_describe(Fixtures(spark, sf_dir).raw_describe))
+    return D.partition_columns(D.annotate_describe(_fx(spark, sf_dir).raw_describe))
 
 
 def q_describe_properties(spark, sf_dir):
-    return D.describe_properties(Fixtures(spark, sf_dir).raw_describe_ext)
+    return D.describe_properties(_fx(spark, sf_dir).raw_describe_ext)
 
 
 # -- 2.3 assembly --------------------------------------------------------------------
 
 def q_route_kind(spark, sf_dir):
-    return X.route_kind(Fixtures(spark, sf_dir).raw_tables).select(*TABLE_KEYS, "is_view")
+    return X.route_kind(_fx(spark, sf_dir).raw_tables).select(*TABLE_KEYS, "is_view")
 
 
 def q_attach_details(spark, sf_dir):
@@ -119,35 +124,44 @@ def q_emit_records(spark, sf_dir):
 
 
 def q_table_signature(spark, sf_dir):
-    return R.table_signature(D.describe_columns(D.annotate_describe(Fixtures(spark, sf_dir).raw_describe)))
+    return R.table_signature(D.describe_columns(D.annotate_describe(_fx(spark, sf_dir).raw_describe)))
 
 
 def q_column_diff(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = _fx(spark, sf_dir)
     columns_a = D.partition_columns(D.annotate_describe(fx.raw_describe))
     return R.column_diff(columns_a, fx.columns_b(columns_a))
 
 
 # -- 2.4 graph, search, sinks ----------------------------------------------------------
 
+def _records(spark, sf_dir):
+    """Metadata records over the materialised lake stages: the hand-off to the graph."""
+    _, lake = _lake(spark, sf_dir, materialize_stages=True)
+    return lake.table_records, lake.column_records, lake.last_updated
+
+
 def _graph(spark, sf_dir):
-    _, lake = _lake(spark, sf_dir)
-    return lake, G.graph_nodes(lake.table_records, lake.column_records), G.graph_edges(
-        lake.table_records, lake.column_records)
+    """(last_updated, nodes, edges), each written once and read back."""
+    tables, columns, last_updated = _records(spark, sf_dir)
+    nodes = materialize(G.graph_nodes(tables, columns), "nodes")
+    edges = materialize(G.graph_edges(tables, columns), "edges")
+    return last_updated, nodes, edges
 
 
 def q_graph_nodes(spark, sf_dir):
-    _, nodes, _ = _graph(spark, sf_dir)
-    return nodes.select("key", "label", "name", "description")
+    tables, columns, _ = _records(spark, sf_dir)
+    return G.graph_nodes(tables, columns).select("key", "label", "name", "description")
 
 
 def q_graph_edges(spark, sf_dir):
-    _, _, edges = _graph(spark, sf_dir)
-    return edges
+    tables, columns, _ = _records(spark, sf_dir)
+    return G.graph_edges(tables, columns)
 
 
 def q_csv_exchange(spark, sf_dir):
-    _, nodes, edges = _graph(spark, sf_dir)
+    tables, columns, _ = _records(spark, sf_dir)
+    nodes, edges = G.graph_nodes(tables, columns), G.graph_edges(tables, columns)
     out = scratch_path(spark, "graph-csv")
     exchange.write_graph_csv(nodes, edges, out)
     back, _ = exchange.read_graph_csv(spark, out)
@@ -155,16 +169,18 @@ def q_csv_exchange(spark, sf_dir):
 
 
 def q_publish_upsert(spark, sf_dir):
-    fx, lake = _lake(spark, sf_dir)
-    current = G.graph_nodes(lake.table_records, lake.column_records).withColumn("publish_tag", F.lit("run_a"))
-    _, cols_b = R.table_metadata(lake.delta, fx.columns_b(lake.columns), DATABASE, CLUSTER)
-    batch = G.graph_nodes(lake.table_records, cols_b)
+    fx, lake = _lake(spark, sf_dir, materialize_stages=True)
+    tables, columns = lake.table_records, lake.columns
+    cols_a = R.column_records_of(columns, tables, DATABASE, CLUSTER)
+    cols_b = R.column_records_of(fx.columns_b(columns), tables, DATABASE, CLUSTER)
+    current = G.graph_nodes(tables, cols_a).withColumn("publish_tag", F.lit("run_a"))
+    batch = G.graph_nodes(tables, cols_b)
     return G.publish_upsert(current, batch, "run_b").select("key", "label", "description", "col_type", "publish_tag")
 
 
 def _docs(spark, sf_dir) -> DataFrame:
-    lake, nodes, edges = _graph(spark, sf_dir)
-    return Q.search_documents(nodes, edges, lake.last_updated)
+    last_updated, nodes, edges = _graph(spark, sf_dir)
+    return Q.search_documents(nodes, edges, last_updated)
 
 
 def _flat_docs(docs: DataFrame) -> DataFrame:
@@ -195,15 +211,15 @@ def q_publish_index(spark, sf_dir):
 
 
 def q_graph_lookup(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
-    lake, nodes, edges = _graph(spark, sf_dir)
+    fx = _fx(spark, sf_dir)
+    last_updated, nodes, edges = _graph(spark, sf_dir)
     keys = fx.raw_tables.select(node_key(F.lit(DATABASE), F.lit(CLUSTER), S, TB).alias("key"))
-    return G.graph_lookup(nodes, edges, keys, lake.last_updated).select(
+    return G.graph_lookup(nodes, edges, keys, last_updated).select(
         "key", "found", S, "columns_text", "last_updated_epoch")
 
 
 def q_search_index(spark, sf_dir):
-    postings, _ = Q.search_index(_docs(spark, sf_dir))
+    postings, _ = Q.search_index(materialize(_docs(spark, sf_dir), "search-docs"))
     return postings.select("term", "key", "tf")
 
 
@@ -225,8 +241,10 @@ def search_queries(fx: Fixtures) -> DataFrame:
 
 
 def q_search_rank(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
-    postings, doclen = Q.search_index(_docs(spark, sf_dir))
+    fx = _fx(spark, sf_dir)
+    postings, doclen = Q.search_index(materialize(_docs(spark, sf_dir), "search-docs"))
+    postings = materialize(postings, "postings")
+    doclen = postings.select("key", "doc_len").distinct()
     return Q.search_rank(search_queries(fx), postings, doclen, k=TOP_K)
 
 

@@ -15,6 +15,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A table may own a third of all DESCRIBE rows: let AQE split a skewed join
+    # partition even when the following aggregate then needs its own shuffle
+    # (on all of its keys, e.g. table + row block), instead of keeping the hot
+    # table in one task.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -60,3 +66,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/metaweave/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint root and read it back.
+
+    Used at the pipeline's hand-off points (records -> graph -> search): it cuts
+    the lineage, so a lost executor recomputes from the written files rather
+    than from the raw tables, downstream branches read the result once instead
+    of re-running the plan, and later scans get file statistics and column
+    pruning.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

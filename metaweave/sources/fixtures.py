@@ -7,12 +7,15 @@ DataFrame over the parquet files, so its size grows with the scale factor.
 
 from __future__ import annotations
 
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from metaweave.model import S, TB
+from metaweave.model import RAW_SCHEMAS, RAW_SCHEMAS_BY_NAME, S, TB
+from metaweave.session import scratch_path
+from metaweave.sources.landed import write_landed
 
 SOURCE_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -206,6 +209,34 @@ class Fixtures:
         return changed.unionByName(added)
 
     def all_raw(self) -> dict[str, DataFrame]:
-        names = ["raw_schemas", "raw_tables", "raw_table_detail", "raw_describe", "raw_describe_ext",
-                 "raw_commits", "pg_columns", "exclude_list", "schema_list"]
-        return {n: getattr(self, n) for n in names}
+        return {n: getattr(self, n) for n in LANDED_NAMES}
+
+
+LANDED_NAMES = ["raw_schemas", "raw_tables", "raw_table_detail", "raw_describe", "raw_describe_ext",
+                "raw_commits", "pg_columns", "exclude_list", "schema_list"]
+LANDED_SCHEMAS = {**RAW_SCHEMAS_BY_NAME, "exclude_list": RAW_SCHEMAS, "schema_list": RAW_SCHEMAS}
+
+# (application id, data directory) -> folder holding the landed fixture tables.
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+class LandedFixtures(Fixtures):
+    """The fixture tables as landed parquet: what the catalog pipeline reads in
+    production.  Derived once per Spark application and data directory."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str):
+        super().__init__(spark, sf_dir)
+        self.root = root
+        for name in LANDED_NAMES:
+            df = spark.read.schema(LANDED_SCHEMAS[name]).parquet(f"{root}/{name}")
+            self.__dict__[name] = df  # fills the cached properties
+
+
+def landed_fixtures(spark: SparkSession, sf_dir: str) -> LandedFixtures:
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    root = _LANDED.get(key)
+    if root is None:
+        root = scratch_path(spark, "landed")
+        write_landed(Fixtures(spark, sf_dir).all_raw(), root)
+        _LANDED[key] = root
+    return LandedFixtures(spark, sf_dir, root)
