@@ -8,7 +8,9 @@ emitted as delimited strings so that results hash the same in both engines.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +41,62 @@ def _fx(spark: SparkSession, sf_dir: str) -> Fixtures:
     return landed_fixtures(spark, sf_dir)
 
 
-def _lake(spark: SparkSession, sf_dir: str, materialize_stages: bool = False) -> tuple[Fixtures, LakeCatalog]:
+def _lake(spark: SparkSession, sf_dir: str) -> tuple[Fixtures, LakeCatalog]:
     fx = _fx(spark, sf_dir)
-    return fx, lake_catalog(fx.all_raw(), cluster=CLUSTER, database=DATABASE, materialize=materialize_stages)
+    return fx, lake_catalog(fx.all_raw(), cluster=CLUSTER, database=DATABASE)
+
+
+class Stages:
+    """The published output of each pipeline job, written once per application
+    and data directory, as the scheduled jobs hand over in the reference:
+    lake catalog -> graph -> search documents -> search index.
+
+    A query about a later operator reads the stage before it and runs only
+    its own operator on it.  Every stage is derived by Spark from the given
+    tables, so its size grows with them.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.fx = _fx(spark, sf_dir)
+
+    @cached_property
+    def lake(self) -> LakeCatalog:
+        """Lake pipeline with its column table and checked table list written."""
+        return lake_catalog(self.fx.all_raw(), cluster=CLUSTER, database=DATABASE, materialize=True)
+
+    @cached_property
+    def graph(self) -> tuple[DataFrame, DataFrame]:
+        tables, columns = self.lake.table_records, self.lake.column_records
+        return (materialize(G.graph_nodes(tables, columns), "nodes"),
+                materialize(G.graph_edges(tables, columns), "edges"))
+
+    @cached_property
+    def last_updated(self) -> DataFrame:
+        return materialize(self.lake.last_updated, "last-updated")
+
+    @cached_property
+    def docs(self) -> DataFrame:
+        nodes, edges = self.graph
+        return materialize(Q.search_documents(nodes, edges, self.last_updated), "search-docs")
+
+    @cached_property
+    def postings(self) -> DataFrame:
+        postings, _ = Q.search_index(self.docs)
+        return materialize(postings, "postings")
+
+    def build_all(self) -> None:
+        self.postings  # noqa: B018 - builds every stage before it
+
+
+_STAGES: dict[tuple[str, str], Stages] = {}
+
+
+def stages(spark: SparkSession, sf_dir: str) -> Stages:
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _STAGES:
+        _STAGES[key] = Stages(spark, sf_dir)
+    return _STAGES[key]
 
 
 # -- 2.1 sources and scope ---------------------------------------------------------
@@ -97,30 +152,29 @@ def q_attach_details(spark, sf_dir):
 
 
 def q_drop_unscrapable(spark, sf_dir):
-    _, lake = _lake(spark, sf_dir)
-    return lake.checked.select(*TABLE_KEYS, "is_view", "n_columns", "reason")
+    lake = stages(spark, sf_dir).lake
+    return X.drop_unscrapable(lake.scraped, lake.columns).select(*TABLE_KEYS, "is_view", "n_columns", "reason")
 
 
 def q_delta_filter(spark, sf_dir):
-    _, lake = _lake(spark, sf_dir)
-    return lake.delta.select(*TABLE_KEYS, "format")
+    lake = stages(spark, sf_dir).lake
+    return X.delta_filter(X.kept(lake.checked)).select(*TABLE_KEYS, "format")
 
 
 def q_table_metadata(spark, sf_dir):
-    _, lake = _lake(spark, sf_dir)
-    text = R.columns_text(lake.column_records)
-    return lake.table_records.join(text, TABLE_KEYS, "left").select(
+    lake = stages(spark, sf_dir).lake
+    tables, columns = R.table_metadata(lake.delta, lake.columns, DATABASE, CLUSTER)
+    return tables.join(R.columns_text(columns), TABLE_KEYS, "left").select(
         "db", "cluster", S, TB, "description", "is_view", "columns_text", "n_columns")
 
 
 def q_table_last_updated(spark, sf_dir):
-    _, lake = _lake(spark, sf_dir)
-    return lake.last_updated
+    return R.table_last_updated(stages(spark, sf_dir).lake.table_records)
 
 
 def q_emit_records(spark, sf_dir):
-    _, lake = _lake(spark, sf_dir)
-    return R.number_records(lake.records).select("emit_ord", "record_kind", S, TB)
+    lake = stages(spark, sf_dir).lake
+    return R.number_records(R.emit_records(lake.table_records, lake.last_updated)).select("emit_ord", "record_kind", S, TB)
 
 
 def q_table_signature(spark, sf_dir):
@@ -136,31 +190,22 @@ def q_column_diff(spark, sf_dir):
 # -- 2.4 graph, search, sinks ----------------------------------------------------------
 
 def _records(spark, sf_dir):
-    """Metadata records over the materialised lake stages: the hand-off to the graph."""
-    _, lake = _lake(spark, sf_dir, materialize_stages=True)
-    return lake.table_records, lake.column_records, lake.last_updated
-
-
-def _graph(spark, sf_dir):
-    """(last_updated, nodes, edges), each written once and read back."""
-    tables, columns, last_updated = _records(spark, sf_dir)
-    nodes = materialize(G.graph_nodes(tables, columns), "nodes")
-    edges = materialize(G.graph_edges(tables, columns), "edges")
-    return last_updated, nodes, edges
+    lake = stages(spark, sf_dir).lake
+    return lake.table_records, lake.column_records
 
 
 def q_graph_nodes(spark, sf_dir):
-    tables, columns, _ = _records(spark, sf_dir)
+    tables, columns = _records(spark, sf_dir)
     return G.graph_nodes(tables, columns).select("key", "label", "name", "description")
 
 
 def q_graph_edges(spark, sf_dir):
-    tables, columns, _ = _records(spark, sf_dir)
+    tables, columns = _records(spark, sf_dir)
     return G.graph_edges(tables, columns)
 
 
 def q_csv_exchange(spark, sf_dir):
-    tables, columns, _ = _records(spark, sf_dir)
+    tables, columns = _records(spark, sf_dir)
     nodes, edges = G.graph_nodes(tables, columns), G.graph_edges(tables, columns)
     out = scratch_path(spark, "graph-csv")
     exchange.write_graph_csv(nodes, edges, out)
@@ -169,20 +214,14 @@ def q_csv_exchange(spark, sf_dir):
 
 
 def q_publish_upsert(spark, sf_dir):
-    fx, lake = _lake(spark, sf_dir, materialize_stages=True)
-    tables, columns = lake.table_records, lake.columns
-    cols_a = R.column_records_of(columns, tables, DATABASE, CLUSTER)
-    cols_b = R.column_records_of(fx.columns_b(columns), tables, DATABASE, CLUSTER)
-    current = G.graph_nodes(tables, cols_a).withColumn("publish_tag", F.lit("run_a"))
+    st = stages(spark, sf_dir)
+    tables, columns = st.lake.table_records, st.lake.columns
+    current = st.graph[0].withColumn("publish_tag", F.lit("run_a"))
+    cols_b = R.column_records_of(st.fx.columns_b(columns), tables, DATABASE, CLUSTER)
     batch = G.graph_nodes(tables, cols_b)
     return G.publish_upsert(current, batch, "run_b").select("key", "label", "description", "col_type", "publish_tag")
 
 
-def _docs(spark, sf_dir) -> DataFrame:
-    last_updated, nodes, edges = _graph(spark, sf_dir)
-    return Q.search_documents(nodes, edges, last_updated)
-
-
 def _flat_docs(docs: DataFrame) -> DataFrame:
     return docs.select(
         "key", "database", "cluster", S, "name", "description",
@@ -193,17 +232,19 @@ def _flat_docs(docs: DataFrame) -> DataFrame:
 
 
 def q_search_documents(spark, sf_dir):
-    return _flat_docs(_docs(spark, sf_dir))
+    st = stages(spark, sf_dir)
+    nodes, edges = st.graph
+    return _flat_docs(Q.search_documents(nodes, edges, st.last_updated))
 
 
 def q_json_exchange(spark, sf_dir):
     out = scratch_path(spark, "search-json")
-    exchange.write_json(_docs(spark, sf_dir), out)
+    exchange.write_json(stages(spark, sf_dir).docs, out)
     return _flat_docs(exchange.read_json(spark, out))
 
 
 def q_publish_index(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
+    docs = stages(spark, sf_dir).docs
     alias = "metaweave_table_search_index"
     index.publish_index(docs, alias=alias)
     index.publish_index(docs, alias=alias)
@@ -212,14 +253,15 @@ def q_publish_index(spark, sf_dir):
 
 def q_graph_lookup(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    last_updated, nodes, edges = _graph(spark, sf_dir)
+    st = stages(spark, sf_dir)
+    nodes, edges = st.graph
     keys = fx.raw_tables.select(node_key(F.lit(DATABASE), F.lit(CLUSTER), S, TB).alias("key"))
-    return G.graph_lookup(nodes, edges, keys, last_updated).select(
+    return G.graph_lookup(nodes, edges, keys, st.last_updated).select(
         "key", "found", S, "columns_text", "last_updated_epoch")
 
 
 def q_search_index(spark, sf_dir):
-    postings, _ = Q.search_index(materialize(_docs(spark, sf_dir), "search-docs"))
+    postings, _ = Q.search_index(stages(spark, sf_dir).docs)
     return postings.select("term", "key", "tf")
 
 
@@ -242,8 +284,7 @@ def search_queries(fx: Fixtures) -> DataFrame:
 
 def q_search_rank(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    postings, doclen = Q.search_index(materialize(_docs(spark, sf_dir), "search-docs"))
-    postings = materialize(postings, "postings")
+    postings = stages(spark, sf_dir).postings
     doclen = postings.select("key", "doc_len").distinct()
     return Q.search_rank(search_queries(fx), postings, doclen, k=TOP_K)
 
