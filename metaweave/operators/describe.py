@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from metaweave.functions.exprs import is_describe_marker
 from metaweave.functions.ordered import DEFAULT_BLOCK, block_of
-from metaweave.model import DETAILED_TABLE_MARKER, S, TABLE_KEYS
+from metaweave.model import DETAILED_TABLE_MARKER, S, TABLE_KEYS, TB
 
 SECTION_COLUMN = "column"
 SECTION_MARKER = "marker"
@@ -35,37 +35,51 @@ def annotate_describe(raw_describe: DataFrame, block_size: int = DEFAULT_BLOCK)
     A row is a ``marker`` when its name is empty or contains ``#``.  From the
     first marker on the table is in partition mode for good: later non-marker
     rows are ``partition`` rows.  ``sort_order`` counts column rows from 0.
+
+    Rows are numbered per (table, block of ``block_size`` line numbers).  A
+    row of a table's first block needs nothing else: its offset is 0 and the
+    table's first marker, if it lies in that block, is the block's own.  Rows
+    of later blocks get the count of rows and the first marker of all earlier
+    blocks from a per-block summary; that summary only has rows for tables
+    spanning several blocks, so the lookup is a join with a small table.
     """
     marker = is_describe_marker("col_name")
     d = raw_describe.withColumn(_BLK, block_of("row_no", block_size))
-    summary = d.groupBy(*TABLE_KEYS, _BLK).agg(
+    per_block = d.groupBy(*TABLE_KEYS, _BLK).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(F.when(marker, F.col("row_no"))).alias("_mk"),
     )
     before = Window.partitionBy(*TABLE_KEYS).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*TABLE_KEYS)
-    summary = summary.select(
-        *TABLE_KEYS, _BLK,
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_OFF),
-        F.min("_mk").over(whole).alias(_FIRST),
+    later_blocks = (
+        per_block.select(
+            *TABLE_KEYS, _BLK,
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_OFF),
+            F.min("_mk").over(before).alias("_mw_marker_before"),
+        )
+        .where(F.col(_OFF) > 0)
     )
-    in_block = Window.partitionBy(*TABLE_KEYS, _BLK).orderBy("row_no")
+    block = Window.partitionBy(*TABLE_KEYS, _BLK)
+    local = d.withColumns({
+        "_mw_rn": F.row_number().over(block.orderBy("row_no")),
+        "_mw_marker_here": F.min(F.when(marker, F.col("row_no"))).over(block),
+    })
+    first_marker = F.coalesce(F.col("_mw_marker_before"), F.col("_mw_marker_here"))
     section = (
         F.when(marker, SECTION_MARKER)
-        .when(F.col(_FIRST).isNotNull() & (F.col("row_no") > F.col(_FIRST)), SECTION_PARTITION)
+        .when(first_marker.isNotNull() & (F.col("row_no") > first_marker), SECTION_PARTITION)
         .otherwise(SECTION_COLUMN)
     )
     # Every row before the first marker is a column row, so a column row's
     # position among all rows of its table is its position among column rows.
     return (
-        d.join(summary, [*TABLE_KEYS, _BLK])
+        local.join(later_blocks, [*TABLE_KEYS, _BLK], "left")
         .withColumn("section", section)
         .withColumn(
             "sort_order",
             F.when(F.col("section") == SECTION_COLUMN,
-                   (F.col(_OFF) + F.row_number().over(in_block) - 1).cast("int")),
+                   (F.coalesce(F.col(_OFF), F.lit(0)) + F.col("_mw_rn") - 1).cast("int")),
         )
-        .drop(_BLK, _OFF, _FIRST)
+        .drop(_BLK, _OFF, "_mw_rn", "_mw_marker_here", "_mw_marker_before")
     )
 
 
@@ -97,12 +111,8 @@ def describe_columns(annotated: DataFrame) -> DataFrame:
     )
 
 
-def partition_columns(
-    annotated: DataFrame,
-    columns: DataFrame | None = None,
-    match: str = MATCH_DATA_TYPE_FIRST,
-) -> DataFrame:
-    """Item 7: ``columns`` + ``is_partition``.
+def partition_columns(annotated: DataFrame, match: str = MATCH_DATA_TYPE_FIRST) -> DataFrame:
+    """Item 7: the columns of :func:`describe_columns` + ``is_partition``.
 
     Each partition-section row marks one column: by default the column named
     by its ``data_type`` (Spark-2 / Delta style ``('Part 0', 'dt')``), else the
@@ -111,32 +121,71 @@ def partition_columns(
     """
     if match not in (MATCH_DATA_TYPE_FIRST, MATCH_NAME_FIRST):
         raise ValueError(f"unknown match rule {match!r}")
-    if columns is None:
-        columns = describe_columns(annotated)
-    names = columns.select(*TABLE_KEYS, "col_name")
-    refs = (
-        annotated.where(F.col("section") == SECTION_PARTITION)
-        .select(*TABLE_KEYS, "col_name", "data_type")
-        .distinct()
+    first, second = (0, 1) if match == MATCH_DATA_TYPE_FIRST else (1, 0)
+    section = F.col("section")
+    ref = F.struct(F.col("col_name").alias("c"), F.col("data_type").alias("t"))
+    payload = F.struct(
+        F.col("row_no"), F.col("data_type"),
+        F.nullif(F.col("comment"), F.lit("")).alias("description"), F.col("sort_order"),
+    )
+
+    def entry(name, pri, r, p):
+        return F.struct(name.alias("name"), pri.alias("pri"), r.alias("ref"), p.alias("payload"))
+
+    # One pass over the non-marker rows: a column row names itself and carries
+    # its values; a partition row names two candidates, its data_type and its
+    # col_name, ranked by the match rule.
+    entries = F.when(
+        section == SECTION_COLUMN,
+        F.array(entry(F.col("col_name"), F.lit(None).cast("int"),
+                      F.lit(None).cast("struct<c:string,t:string>"), payload)),
+    ).otherwise(F.array(
+        entry(F.col("data_type"), F.lit(first), ref, F.lit(None).cast(payload_type())),
+        entry(F.col("col_name"), F.lit(second), ref, F.lit(None).cast(payload_type())),
+    ))
+    is_col_entry = F.col("pri").isNull()
+    # A single struct of aggregates: both consumers below read the same
+    # aggregate, so Spark computes (and shuffles) the DESCRIBE rows once.
+    # Rows without a schema or table name belong to no table; dropping them
+    # first also keeps both consumers' plans identical (shuffle reused).
+    keyed = F.col(S).isNotNull() & F.col(TB).isNotNull()
+    per_name = (
+        annotated.where(keyed & (section != SECTION_MARKER))
+        .select(*TABLE_KEYS, F.inline(entries))
+        .groupBy(*TABLE_KEYS, "name")
+        .agg(F.struct(
+            F.max("payload").alias("last"),          # struct order: highest row_no wins
+            F.max(is_col_entry).alias("is_column"),
+            F.collect_list(F.when(~is_col_entry, F.struct("pri", "ref"))).alias("refs"),
+        ).alias("g"))
     )
-    by_type = names.select(*TABLE_KEYS, F.col("col_name").alias("data_type"),
-                           F.col("col_name").alias("_hit_type"))
-    by_name = names.select(*TABLE_KEYS, "col_name", F.col("col_name").alias("_hit_name"))
-    hits = refs.join(by_type, [*TABLE_KEYS, "data_type"], "left").join(by_name, [*TABLE_KEYS, "col_name"], "left")
-    order = ("_hit_type", "_hit_name") if match == MATCH_DATA_TYPE_FIRST else ("_hit_name", "_hit_type")
+    # Each partition row marks its best-ranked candidate that is a column.
     flagged = (
-        hits.select(*TABLE_KEYS, F.coalesce(*order).alias("col_name"))
-        .where(F.col("col_name").isNotNull())
+        per_name.where(F.col("g.is_column") & (F.size("g.refs") > 0))
+        .select(*TABLE_KEYS, "name", F.explode("g.refs").alias("r"))
+        .groupBy(*TABLE_KEYS, F.col("r.ref").alias("ref"))
+        .agg(F.min_by("name", F.col("r.pri")).alias("name"))
+        .select(*TABLE_KEYS, "name")
         .distinct()
         .withColumn("_flag", F.lit(True))
     )
     return (
-        columns.join(flagged, [*TABLE_KEYS, "col_name"], "left")
-        .withColumn("is_partition", F.coalesce(F.col("_flag"), F.lit(False)))
-        .drop("_flag")
+        per_name.where(F.col("g.is_column"))
+        .join(flagged, [*TABLE_KEYS, "name"], "left")
+        .select(
+            *TABLE_KEYS, F.col("name").alias("col_name"),
+            F.col("g.last.data_type").alias("data_type"),
+            F.col("g.last.description").alias("description"),
+            F.col("g.last.sort_order").alias("sort_order"),
+            F.coalesce(F.col("_flag"), F.lit(False)).alias("is_partition"),
+        )
     )
 
 
+def payload_type() -> str:
+    return "struct<row_no:int,data_type:string,description:string,sort_order:int>"
+
+
 def describe_properties(raw_describe_ext: DataFrame) -> DataFrame:
     """Item 8: DESCRIBE EXTENDED rows after the first ``# Detailed Table`` row as
     (schema_name, table_name, prop_key, prop_value); a repeated key keeps its

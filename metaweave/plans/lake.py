@@ -70,7 +70,7 @@ def lake_catalog(
 
     scoped = scope_include(raw["raw_schemas"], raw["raw_tables"], include, exclude)
     annotated = D.annotate_describe(scope(raw["raw_describe"]))
-    columns = D.partition_columns(annotated, D.describe_columns(annotated), match)
+    columns = D.partition_columns(annotated, match)
     if materialize:
         columns = write_stage(columns, "columns")
     ext = scope(raw["raw_describe_ext"])

@@ -16,18 +16,27 @@ def read_landed(spark: SparkSession, root: str, names: Sequence[str] | None = No
     return {n: spark.read.schema(RAW_SCHEMAS_BY_NAME[n]).parquet(f"{root.rstrip('/')}/{n}") for n in names}
 
 
-def write_landed(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite") -> None:
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
+def write_landed(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite",
+                 files: int | None = None) -> None:
     """Land raw tables as parquet folders under ``root``.
 
-    ``raw_describe`` and ``raw_describe_ext`` are clustered by table inside each
-    file (sorted within partitions), which keeps a table's rows in few row
-    groups without a global sort.
+    Per-table inputs are hash-clustered by table into ``files`` partitions
+    (default: the cluster's parallelism) and sorted by table and row within
+    each, so one table's rows sit together and readers get one split per
+    file; ``maxRecordsPerFile`` bounds the file a very large table would
+    otherwise make.
     """
     for name, df in tables.items():
-        out = df
-        if name in ("raw_describe", "raw_describe_ext"):
-            out = df.sortWithinPartitions("schema_name", "table_name", "row_no")
-        out.write.mode(mode).parquet(f"{root.rstrip('/')}/{name}")
+        n = files or df.sparkSession.sparkContext.defaultParallelism
+        keys = [c for c in ("schema_name", "table_name") if c in df.columns]
+        out = df.repartition(n, *keys) if keys else df.repartition(n)
+        if "row_no" in df.columns:
+            out = out.sortWithinPartitions(*keys, "row_no")
+        (out.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+         .parquet(f"{root.rstrip('/')}/{name}"))
 
 
 def relational_columns_jdbc(
