@@ -203,17 +203,25 @@ def describe_properties(raw_describe_ext: DataFrame) -> DataFrame:
     )
 
 
-def view_details(raw_describe_ext: DataFrame, properties: DataFrame | None = None) -> DataFrame:
+def view_details(raw_describe_ext: DataFrame) -> DataFrame:
     """One row per view that has DESCRIBE EXTENDED output, with the detail keys
-    the model reads pivoted out (``format``, ``description``).
+    the model reads pivoted out (``format``, ``description``; last value wins).
 
     A view with output but without properties still has a (empty) detail.
+    One aggregate per view after joining each row to its view's marker row.
     """
-    if properties is None:
-        properties = describe_properties(raw_describe_ext)
-    pivot = properties.groupBy(*TABLE_KEYS).agg(
-        F.max(F.when(F.col("prop_key") == "format", F.col("prop_value"))).alias("format"),
-        F.max(F.when(F.col("prop_key") == "description", F.col("prop_value"))).alias("description"),
+    first = raw_describe_ext.groupBy(*TABLE_KEYS).agg(
+        F.min(F.when(F.col("col_name").contains(DETAILED_TABLE_MARKER), F.col("row_no"))).alias(_FIRST)
+    )
+
+    def last_value(key: str):
+        return F.expr(
+            f"max_by(struct(data_type AS v), row_no) FILTER (WHERE col_name = '{key}' AND row_no > {_FIRST})"
+        )["v"]
+
+    return (
+        raw_describe_ext.where(F.col(S).isNotNull() & F.col(TB).isNotNull())
+        .join(first, TABLE_KEYS)
+        .groupBy(*TABLE_KEYS)
+        .agg(last_value("format").alias("format"), last_value("description").alias("description"))
     )
-    present = raw_describe_ext.select(*TABLE_KEYS).where(F.col(S).isNotNull()).distinct()
-    return present.join(pivot, TABLE_KEYS, "left")

@@ -103,32 +103,52 @@ def empty_nodes(spark) -> DataFrame:
     return spark.createDataFrame([], NODES)
 
 
+def _label(nodes: DataFrame, label: str) -> DataFrame:
+    return nodes.where(F.col("label") == label)
+
+
+def _typed(edges: DataFrame, typ: str) -> DataFrame:
+    return edges.where(F.col("type") == typ)
+
+
+def table_context(nodes: DataFrame, edges: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Table nodes with their schema, cluster and database names, walked up the edges:
+    (key, name, description, is_view, schema_name, cluster, database).
+
+    Parents are few: the cluster and database hops run on the schema rows
+    only, and the table rows take one join to their schema's context.
+    ``keys`` (a ``key`` column) restricts the table rows.
+    """
+    tables = _label(nodes, LABEL_TABLE).select("key", "name", "description", "is_view")
+    if keys is not None:
+        tables = tables.join(keys, "key", "left_semi")
+    hop_schema = _typed(edges, EDGE_TABLE).select(F.col("end_key").alias("key"), F.col("start_key").alias("_sk"))
+    schema = _label(nodes, LABEL_SCHEMA).select(F.col("key").alias("_sk"), F.col("name").alias(S))
+    hop_cluster = _typed(edges, EDGE_SCHEMA).select(F.col("end_key").alias("_sk"), F.col("start_key").alias("_ck"))
+    cluster = _label(nodes, LABEL_CLUSTER).select(F.col("key").alias("_ck"), F.col("name").alias("cluster"))
+    hop_db = _typed(edges, EDGE_CLUSTER).select(F.col("end_key").alias("_ck"), F.col("start_key").alias("_dk"))
+    db = _label(nodes, LABEL_DATABASE).select(F.col("key").alias("_dk"), F.col("name").alias("database"))
+    parents = (
+        schema.join(hop_cluster, "_sk", "left").join(cluster, "_ck", "left")
+        .join(hop_db, "_ck", "left").join(db, "_dk", "left")
+        .select("_sk", S, "cluster", "database")
+    )
+    return tables.join(hop_schema, "key", "left").join(parents, "_sk", "left").drop("_sk")
+
+
 def graph_lookup(nodes: DataFrame, edges: DataFrame, keys: DataFrame, last_updated: DataFrame | None = None) -> DataFrame:
     """Item 25: one row per requested table key: ``found``, the table node, its
     schema / cluster / database names, ``columns_text`` (``sort_order:name:col_type``
     in column order) and ``last_updated_epoch``.
 
-    The request table may be large; everything is an equi join on keys.
+    The request table may be as large as the graph; everything is an equi
+    join on keys, and the column text is built per (table, block).
     """
     req = keys.select("key").distinct()
-    tnodes = nodes.where(F.col("label") == LABEL_TABLE).join(req, "key", "left_semi")
-    up = edges.where(F.col("type") == EDGE_TABLE).select(F.col("end_key").alias("key"), F.col("start_key").alias("_schema_key"))
-    schema = nodes.where(F.col("label") == LABEL_SCHEMA).select(F.col("key").alias("_schema_key"), F.col("name").alias(S))
-    cl_edge = edges.where(F.col("type") == EDGE_SCHEMA).select(F.col("end_key").alias("_schema_key"), F.col("start_key").alias("_cluster_key"))
-    cluster = nodes.where(F.col("label") == LABEL_CLUSTER).select(F.col("key").alias("_cluster_key"), F.col("name").alias("cluster"))
-    db_edge = edges.where(F.col("type") == EDGE_CLUSTER).select(F.col("end_key").alias("_cluster_key"), F.col("start_key").alias("_db_key"))
-    db = nodes.where(F.col("label") == LABEL_DATABASE).select(F.col("key").alias("_db_key"), F.col("name").alias("db"))
-    found = (
-        tnodes.select("key", F.col("name").alias(TB), "description", "is_view")
-        .join(up, "key", "left").join(schema, "_schema_key", "left")
-        .join(cl_edge, "_schema_key", "left").join(cluster, "_cluster_key", "left")
-        .join(db_edge, "_cluster_key", "left").join(db, "_db_key", "left")
-        .drop("_schema_key", "_cluster_key", "_db_key")
-    )
-    col_edges = edges.where(F.col("type") == EDGE_COLUMN).join(
-        req.select(F.col("key").alias("start_key")), "start_key", "left_semi")
+    found = table_context(nodes, edges, req).withColumnRenamed("name", TB)
+    col_edges = _typed(edges, EDGE_COLUMN).join(req.select(F.col("key").alias("start_key")), "start_key", "left_semi")
     cols = col_edges.join(
-        nodes.where(F.col("label") == LABEL_COLUMN).select(F.col("key").alias("end_key"), "name", "col_type", "sort_order"),
+        _label(nodes, LABEL_COLUMN).select(F.col("key").alias("end_key"), "name", "col_type", "sort_order"),
         "end_key",
     )
     item = F.concat_ws(":", F.col("sort_order").cast("string"), "name", F.coalesce("col_type", F.lit("")))

@@ -7,19 +7,9 @@ from pyspark.sql import functions as F
 
 from metaweave.functions.exprs import node_key, tokens
 from metaweave.functions.ordered import ordered_collect
-from metaweave.model import (
-    EDGE_CLUSTER,
-    EDGE_COLUMN,
-    EDGE_SCHEMA,
-    EDGE_TABLE,
-    LABEL_CLUSTER,
-    LABEL_COLUMN,
-    LABEL_DATABASE,
-    LABEL_SCHEMA,
-    LABEL_TABLE,
-    S,
-    TB,
-)
+from metaweave.functions.sizing import broadcast_if_small
+from metaweave.model import EDGE_COLUMN, LABEL_COLUMN, S, TB
+from metaweave.operators.graph import _label, _typed, table_context
 
 # BM25 parameters (Robertson & Zaragoza, 2009).
 BM25_K1 = 1.2
@@ -27,33 +17,6 @@ BM25_B = 0.75
 SCORE_DIGITS = 6
 
 
-def _label(nodes: DataFrame, label: str) -> DataFrame:
-    return nodes.where(F.col("label") == label)
-
-
-def _typed(edges: DataFrame, typ: str) -> DataFrame:
-    return edges.where(F.col("type") == typ)
-
-
-def table_context(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Table nodes with their schema, cluster and database names, walked up the edges:
-    (key, name, description, is_view, schema_name, cluster, database)."""
-    tables = _label(nodes, LABEL_TABLE).select("key", "name", "description", "is_view")
-    hop_schema = _typed(edges, EDGE_TABLE).select(F.col("end_key").alias("key"), F.col("start_key").alias("_sk"))
-    schema = _label(nodes, LABEL_SCHEMA).select(F.col("key").alias("_sk"), F.col("name").alias(S))
-    hop_cluster = _typed(edges, EDGE_SCHEMA).select(F.col("end_key").alias("_sk"), F.col("start_key").alias("_ck"))
-    cluster = _label(nodes, LABEL_CLUSTER).select(F.col("key").alias("_ck"), F.col("name").alias("cluster"))
-    hop_db = _typed(edges, EDGE_CLUSTER).select(F.col("end_key").alias("_ck"), F.col("start_key").alias("_dk"))
-    db = _label(nodes, LABEL_DATABASE).select(F.col("key").alias("_dk"), F.col("name").alias("database"))
-    # Parents are few; the chain below the table join touches one row per schema.
-    parents = (
-        schema.join(hop_cluster, "_sk", "left").join(cluster, "_ck", "left")
-        .join(hop_db, "_ck", "left").join(db, "_dk", "left")
-        .select("_sk", S, "cluster", "database")
-    )
-    return tables.join(hop_schema, "key", "left").join(parents, "_sk", "left").drop("_sk")
-
-
 def search_documents(
     nodes: DataFrame,
     edges: DataFrame,
@@ -121,15 +84,18 @@ def search_rank(
     """
     stats = doclen.agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl")).first()
     n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
-    qterms = queries.select("query_id", F.explode(F.array_distinct(tokens("text"))).alias("term"))
-    wanted = qterms.select("term").distinct()
-    df_t = postings.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    qterms = broadcast_if_small(
+        queries.select("query_id", F.explode(F.array_distinct(tokens("text"))).alias("term")))
+    # Postings of the query terms only; the query-term side is size-checked
+    # before it is broadcast, so the postings are never shuffled for it.
+    matched = postings.join(qterms.select("term").distinct(), "term", "left_semi")
+    df_t = matched.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = qterms.join(df_t.select("term", idf.alias("idf")), "term")
+    weighted = broadcast_if_small(qterms.join(df_t.select("term", idf.alias("idf")), "term"))
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("doc_len") / F.lit(avgdl if avgdl else 1.0))
     part = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
     scored = (
-        weighted.join(postings, "term")
+        matched.join(weighted, "term")
         .groupBy("query_id", "key")
         .agg(F.round(F.sum(part), SCORE_DIGITS).alias("score"))
     )

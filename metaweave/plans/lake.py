@@ -75,7 +75,7 @@ def lake_catalog(
         columns = write_stage(columns, "columns")
     ext = scope(raw["raw_describe_ext"])
     properties = D.describe_properties(ext)
-    view_detail = D.view_details(ext, properties)
+    view_detail = D.view_details(ext)
     detail = scope(table_detail if table_detail is not None else raw["raw_table_detail"])
     scraped = X.attach_details(X.route_kind(scoped), detail, view_detail)
     checked = X.drop_unscrapable(scraped, columns)

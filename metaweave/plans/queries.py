@@ -178,13 +178,15 @@ def q_emit_records(spark, sf_dir):
 
 
 def q_table_signature(spark, sf_dir):
-    return R.table_signature(D.describe_columns(D.annotate_describe(_fx(spark, sf_dir).raw_describe)))
+    # Over the published column snapshot (items 5-7 of every described table).
+    return R.table_signature(stages(spark, sf_dir).lake.columns)
 
 
 def q_column_diff(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    columns_a = D.partition_columns(D.annotate_describe(fx.raw_describe))
-    return R.column_diff(columns_a, fx.columns_b(columns_a))
+    # Snapshot A is the published column table; snapshot B the FIXTURES rule applied to it.
+    st = stages(spark, sf_dir)
+    columns_a = st.lake.columns
+    return R.column_diff(columns_a, st.fx.columns_b(columns_a))
 
 
 # -- 2.4 graph, search, sinks ----------------------------------------------------------
