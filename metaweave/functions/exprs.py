@@ -30,9 +30,19 @@ def is_delta_format(fmt: Column | str = "format") -> Column:
     return F.coalesce(F.lower(col_or_name(fmt)) == "delta", F.lit(False))
 
 
-def epoch_seconds(ts: Column | str) -> Column:
-    """Whole seconds since the epoch (session zone; fraction dropped)."""
-    return F.unix_seconds(col_or_name(ts).cast("timestamp"))
+def epoch_seconds(ts: Column | str, naive: bool = True) -> Column:
+    """Whole seconds since the epoch, fraction dropped (floored).
+
+    A naive (``timestamp_ntz``) wall-clock time is read as UTC whatever the
+    session zone is; with ``naive=False`` the value is an instant
+    (``timestamp``) and ``unix_seconds`` applies.
+    """
+    c = col_or_name(ts)
+    if not naive:
+        return F.unix_seconds(c)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz"))
+    return F.floor(micros / F.lit(1_000_000)).cast("long")
 
 
 def escape_key_part(part: Column | str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metaweave.functions.exprs import epoch_seconds
 from metaweave.functions.ordered import block_ordinal, ordered_collect, ordered_join
@@ -57,9 +58,10 @@ def columns_text(column_records: DataFrame, name: str = "columns_text", sep: str
 def table_last_updated(table_records: DataFrame) -> DataFrame:
     """Item 14: (db, cluster, schema_name, table_name, last_updated_time_epoch) for
     tables with a last-modified time; whole seconds, fraction dropped."""
+    naive = isinstance(table_records.schema["last_modified"].dataType, T.TimestampNTZType)
     return table_records.where(F.col("last_modified").isNotNull()).select(
         "db", "cluster", S, TB,
-        epoch_seconds("last_modified").alias("last_updated_time_epoch"),
+        epoch_seconds("last_modified", naive=naive).alias("last_updated_time_epoch"),
     )
 
 
