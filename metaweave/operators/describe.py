@@ -27,6 +27,7 @@ MATCH_DATA_TYPE_FIRST = "data_type_first"
 MATCH_NAME_FIRST = "name_first"
 
 _BLK, _OFF, _FIRST = "_mw_blk", "_mw_off", "_mw_first_marker"
+PAYLOAD_TYPE = "struct<row_no:int,data_type:string,description:string,sort_order:int>"
 
 
 def annotate_describe(raw_describe: DataFrame, block_size: int = DEFAULT_BLOCK) -> DataFrame:
@@ -140,8 +141,8 @@ def partition_columns(annotated: DataFrame, match: str = MATCH_DATA_TYPE_FIRST)
         F.array(entry(F.col("col_name"), F.lit(None).cast("int"),
                       F.lit(None).cast("struct<c:string,t:string>"), payload)),
     ).otherwise(F.array(
-        entry(F.col("data_type"), F.lit(first), ref, F.lit(None).cast(payload_type())),
-        entry(F.col("col_name"), F.lit(second), ref, F.lit(None).cast(payload_type())),
+        entry(F.col("data_type"), F.lit(first), ref, F.lit(None).cast(PAYLOAD_TYPE)),
+        entry(F.col("col_name"), F.lit(second), ref, F.lit(None).cast(PAYLOAD_TYPE)),
     ))
     is_col_entry = F.col("pri").isNull()
     # A single struct of aggregates: both consumers below read the same
@@ -182,10 +183,6 @@ def partition_columns(annotated: DataFrame, match: str = MATCH_DATA_TYPE_FIRST)
     )
 
 
-def payload_type() -> str:
-    return "struct<row_no:int,data_type:string,description:string,sort_order:int>"
-
-
 def describe_properties(raw_describe_ext: DataFrame) -> DataFrame:
     """Item 8: DESCRIBE EXTENDED rows after the first ``# Detailed Table`` row as
     (schema_name, table_name, prop_key, prop_value); a repeated key keeps its

@@ -21,7 +21,6 @@ from metaweave.model import (
     LABEL_DATABASE,
     LABEL_SCHEMA,
     LABEL_TABLE,
-    NODES,
     S,
     TB,
 )
@@ -99,15 +98,11 @@ def publish_upsert(current: DataFrame, batch: DataFrame, publish_tag: str, keys=
     return merged.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
-def empty_nodes(spark) -> DataFrame:
-    return spark.createDataFrame([], NODES)
-
-
-def _label(nodes: DataFrame, label: str) -> DataFrame:
+def nodes_labelled(nodes: DataFrame, label: str) -> DataFrame:
     return nodes.where(F.col("label") == label)
 
 
-def _typed(edges: DataFrame, typ: str) -> DataFrame:
+def edges_typed(edges: DataFrame, typ: str) -> DataFrame:
     return edges.where(F.col("type") == typ)
 
 
@@ -119,15 +114,15 @@ def table_context(nodes: DataFrame, edges: DataFrame, keys: DataFrame | None = N
     only, and the table rows take one join to their schema's context.
     ``keys`` (a ``key`` column) restricts the table rows.
     """
-    tables = _label(nodes, LABEL_TABLE).select("key", "name", "description", "is_view")
+    tables = nodes_labelled(nodes, LABEL_TABLE).select("key", "name", "description", "is_view")
     if keys is not None:
         tables = tables.join(keys, "key", "left_semi")
-    hop_schema = _typed(edges, EDGE_TABLE).select(F.col("end_key").alias("key"), F.col("start_key").alias("_sk"))
-    schema = _label(nodes, LABEL_SCHEMA).select(F.col("key").alias("_sk"), F.col("name").alias(S))
-    hop_cluster = _typed(edges, EDGE_SCHEMA).select(F.col("end_key").alias("_sk"), F.col("start_key").alias("_ck"))
-    cluster = _label(nodes, LABEL_CLUSTER).select(F.col("key").alias("_ck"), F.col("name").alias("cluster"))
-    hop_db = _typed(edges, EDGE_CLUSTER).select(F.col("end_key").alias("_ck"), F.col("start_key").alias("_dk"))
-    db = _label(nodes, LABEL_DATABASE).select(F.col("key").alias("_dk"), F.col("name").alias("database"))
+    hop_schema = edges_typed(edges, EDGE_TABLE).select(F.col("end_key").alias("key"), F.col("start_key").alias("_sk"))
+    schema = nodes_labelled(nodes, LABEL_SCHEMA).select(F.col("key").alias("_sk"), F.col("name").alias(S))
+    hop_cluster = edges_typed(edges, EDGE_SCHEMA).select(F.col("end_key").alias("_sk"), F.col("start_key").alias("_ck"))
+    cluster = nodes_labelled(nodes, LABEL_CLUSTER).select(F.col("key").alias("_ck"), F.col("name").alias("cluster"))
+    hop_db = edges_typed(edges, EDGE_CLUSTER).select(F.col("end_key").alias("_ck"), F.col("start_key").alias("_dk"))
+    db = nodes_labelled(nodes, LABEL_DATABASE).select(F.col("key").alias("_dk"), F.col("name").alias("database"))
     parents = (
         schema.join(hop_cluster, "_sk", "left").join(cluster, "_ck", "left")
         .join(hop_db, "_ck", "left").join(db, "_dk", "left")
@@ -146,9 +141,9 @@ def graph_lookup(nodes: DataFrame, edges: DataFrame, keys: DataFrame, last_updat
     """
     req = keys.select("key").distinct()
     found = table_context(nodes, edges, req).withColumnRenamed("name", TB)
-    col_edges = _typed(edges, EDGE_COLUMN).join(req.select(F.col("key").alias("start_key")), "start_key", "left_semi")
+    col_edges = edges_typed(edges, EDGE_COLUMN).join(req.select(F.col("key").alias("start_key")), "start_key", "left_semi")
     cols = col_edges.join(
-        _label(nodes, LABEL_COLUMN).select(F.col("key").alias("end_key"), "name", "col_type", "sort_order"),
+        nodes_labelled(nodes, LABEL_COLUMN).select(F.col("key").alias("end_key"), "name", "col_type", "sort_order"),
         "end_key",
     )
     item = F.concat_ws(":", F.col("sort_order").cast("string"), "name", F.coalesce("col_type", F.lit("")))

@@ -11,11 +11,6 @@ from metaweave.functions.exprs import epoch_seconds
 from metaweave.functions.ordered import block_ordinal, ordered_collect, ordered_join
 from metaweave.model import KIND_LAST_UPDATED, KIND_TABLE_METADATA, S, TABLE_KEYS, TB
 
-# Table-level fields of a metadata record; columns are child rows.
-TABLE_FIELDS = ["db", "cluster", S, TB, "description", "is_view"]
-COLUMN_FIELDS = ["db", "cluster", S, TB, "col_name", "description", "col_type", "sort_order"]
-
-
 def table_metadata(tables: DataFrame, columns: DataFrame, database: str, cluster: str) -> tuple[DataFrame, DataFrame]:
     """Item 13: the metadata record of every table, normalised.
 

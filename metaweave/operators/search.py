@@ -9,7 +9,7 @@ from metaweave.functions.exprs import node_key, tokens
 from metaweave.functions.ordered import ordered_collect
 from metaweave.functions.sizing import broadcast_if_small
 from metaweave.model import EDGE_COLUMN, LABEL_COLUMN, S, TB
-from metaweave.operators.graph import _label, _typed, table_context
+from metaweave.operators.graph import edges_typed, nodes_labelled, table_context
 
 # BM25 parameters (Robertson & Zaragoza, 2009).
 BM25_K1 = 1.2
@@ -29,8 +29,8 @@ def search_documents(
     if entity_type != "table":
         raise ValueError(f"unsupported entity_type {entity_type!r}; only 'table' documents exist")
     ctx = table_context(nodes, edges)
-    cols = _typed(edges, EDGE_COLUMN).select(F.col("start_key").alias("key"), F.col("end_key").alias("_ck")).join(
-        _label(nodes, LABEL_COLUMN).select(F.col("key").alias("_ck"), "name", "description", "sort_order"), "_ck")
+    cols = edges_typed(edges, EDGE_COLUMN).select(F.col("start_key").alias("key"), F.col("end_key").alias("_ck")).join(
+        nodes_labelled(nodes, LABEL_COLUMN).select(F.col("key").alias("_ck"), "name", "description", "sort_order"), "_ck")
     listed = ordered_collect(cols, ["key"], "sort_order", F.struct("name", "description"), "_cols")
     docs = ctx.join(listed, "key", "left").select(
         "key", "database", "cluster", S, "name", "description",
