@@ -28,6 +28,7 @@ MATCH_NAME_FIRST = "name_first"
 
 _BLK, _OFF, _FIRST = "_mw_blk", "_mw_off", "_mw_first_marker"
 PAYLOAD_TYPE = "struct<row_no:int,data_type:string,description:string,sort_order:int>"
+REF_TYPE = "struct<c:string,t:string>"
 
 
 def annotate_describe(raw_describe: DataFrame, block_size: int = DEFAULT_BLOCK) -> DataFrame:
@@ -139,46 +140,53 @@ def partition_columns(annotated: DataFrame, match: str = MATCH_DATA_TYPE_FIRST)
     entries = F.when(
         section == SECTION_COLUMN,
         F.array(entry(F.col("col_name"), F.lit(None).cast("int"),
-                      F.lit(None).cast("struct<c:string,t:string>"), payload)),
+                      F.lit(None).cast(REF_TYPE), payload)),
     ).otherwise(F.array(
         entry(F.col("data_type"), F.lit(first), ref, F.lit(None).cast(PAYLOAD_TYPE)),
         entry(F.col("col_name"), F.lit(second), ref, F.lit(None).cast(PAYLOAD_TYPE)),
     ))
     is_col_entry = F.col("pri").isNull()
-    # A single struct of aggregates: both consumers below read the same
-    # aggregate, so Spark computes (and shuffles) the DESCRIBE rows once.
-    # Rows without a schema or table name belong to no table; dropping them
-    # first also keeps both consumers' plans identical (shuffle reused).
+    # Rows without a schema or table name belong to no table.
     keyed = F.col(S).isNotNull() & F.col(TB).isNotNull()
     per_name = (
         annotated.where(keyed & (section != SECTION_MARKER))
         .select(*TABLE_KEYS, F.inline(entries))
         .groupBy(*TABLE_KEYS, "name")
-        .agg(F.struct(
+        .agg(
             F.max("payload").alias("last"),          # struct order: highest row_no wins
             F.max(is_col_entry).alias("is_column"),
             F.collect_list(F.when(~is_col_entry, F.struct("pri", "ref"))).alias("refs"),
-        ).alias("g"))
+        )
+        .where(F.col("is_column"))
     )
-    # Each partition row marks its best-ranked candidate that is a column.
-    flagged = (
-        per_name.where(F.col("g.is_column") & (F.size("g.refs") > 0))
-        .select(*TABLE_KEYS, "name", F.explode("g.refs").alias("r"))
-        .groupBy(*TABLE_KEYS, F.col("r.ref").alias("ref"))
-        .agg(F.min_by("name", F.col("r.pri")).alias("name"))
-        .select(*TABLE_KEYS, "name")
-        .distinct()
-        .withColumn("_flag", F.lit(True))
+    # Linear from here, so the DESCRIBE pass runs once.  Each column passes
+    # through under its own key; each partition row it can answer becomes a
+    # vote under the partition row's key, and the best-ranked column wins it.
+    own = F.array(F.struct(
+        F.struct(F.lit(0).alias("kind"), F.col("name").alias("n"), F.lit(None).cast(REF_TYPE).alias("r")).alias("k"),
+        F.col("name").alias("name"), F.col("last").alias("last"), F.lit(None).cast("int").alias("pri"),
+    ))
+    votes = F.transform("refs", lambda v: F.struct(
+        F.struct(F.lit(1).alias("kind"), F.lit(None).cast("string").alias("n"), v["ref"].alias("r")).alias("k"),
+        F.col("name").alias("name"), F.lit(None).cast(PAYLOAD_TYPE).alias("last"), v["pri"].alias("pri"),
+    ))
+    resolved = (
+        per_name.select(*TABLE_KEYS, F.inline(F.concat(own, votes)))
+        .groupBy(*TABLE_KEYS, "k")
+        .agg(
+            F.max("last").alias("last"),
+            F.coalesce(F.min_by("name", "pri"), F.max("name")).alias("name"),
+        )
     )
     return (
-        per_name.where(F.col("g.is_column"))
-        .join(flagged, [*TABLE_KEYS, "name"], "left")
+        resolved.groupBy(*TABLE_KEYS, "name")
+        .agg(F.max("last").alias("last"), F.max(F.col("k.kind") == 1).alias("is_partition"))
         .select(
             *TABLE_KEYS, F.col("name").alias("col_name"),
-            F.col("g.last.data_type").alias("data_type"),
-            F.col("g.last.description").alias("description"),
-            F.col("g.last.sort_order").alias("sort_order"),
-            F.coalesce(F.col("_flag"), F.lit(False)).alias("is_partition"),
+            F.col("last.data_type").alias("data_type"),
+            F.col("last.description").alias("description"),
+            F.col("last.sort_order").alias("sort_order"),
+            "is_partition",
         )
     )
 
