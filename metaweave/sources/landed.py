@@ -23,18 +23,17 @@ def write_landed(tables: Mapping[str, DataFrame], root: str, mode: str = "overwr
                  files: int | None = None) -> None:
     """Land raw tables as parquet folders under ``root``.
 
-    Per-table inputs are hash-clustered by table into ``files`` partitions
-    (default: the cluster's parallelism) and sorted by table and row within
-    each, so one table's rows sit together and readers get one split per
-    file; ``maxRecordsPerFile`` bounds the file a very large table would
-    otherwise make.
+    Per-table inputs are range-partitioned on (schema, table[, row_no]) into
+    ``files`` partitions (default: the cluster's parallelism) and sorted
+    within each: a table's rows sit together and in order, readers get one
+    split per file, and a table too big for one file is cut at row
+    boundaries across several writers instead of landing in one task.
+    ``maxRecordsPerFile`` bounds every file.
     """
     for name, df in tables.items():
         n = files or df.sparkSession.sparkContext.defaultParallelism
-        keys = [c for c in ("schema_name", "table_name") if c in df.columns]
-        out = df.repartition(n, *keys) if keys else df.repartition(n)
-        if "row_no" in df.columns:
-            out = out.sortWithinPartitions(*keys, "row_no")
+        keys = [c for c in ("schema_name", "table_name", "row_no") if c in df.columns]
+        out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys) if keys else df.repartition(n)
         (out.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
          .parquet(f"{root.rstrip('/')}/{name}"))
 
