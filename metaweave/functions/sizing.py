@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+def at_most(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows (one counting job, stops early)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
 
     The check is one counting job over ``df``; use it for sides that come from
     a small input (a query list, a key list), not for the big fact side.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if at_most(df, max_rows) else df

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from metaweave.functions.exprs import node_key, tokens
 from metaweave.functions.ordered import ordered_collect
-from metaweave.functions.sizing import broadcast_if_small
+from metaweave.functions.sizing import at_most
 from metaweave.model import EDGE_COLUMN, LABEL_COLUMN, S, TB
 from metaweave.operators.graph import edges_typed, nodes_labelled, table_context
 
@@ -84,14 +84,20 @@ def search_rank(
     """
     stats = doclen.agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl")).first()
     n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
-    qterms = broadcast_if_small(
-        queries.select("query_id", F.explode(F.array_distinct(tokens("text"))).alias("term")))
-    # Postings of the query terms only; the query-term side is size-checked
-    # before it is broadcast, so the postings are never shuffled for it.
-    matched = postings.join(qterms.select("term").distinct(), "term", "left_semi")
+    qterms = queries.select("query_id", F.explode(F.array_distinct(tokens("text"))).alias("term"))
+    # One size check on the query-term side bounds both small sides below
+    # (the weighted terms are a subset of it); above the bound the joins are
+    # left to the planner.
+    small = at_most(qterms)
+
+    def side(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    # Postings of the query terms only; the postings are never shuffled for it.
+    matched = postings.join(side(qterms.select("term").distinct()), "term", "left_semi")
     df_t = matched.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = broadcast_if_small(qterms.join(df_t.select("term", idf.alias("idf")), "term"))
+    weighted = side(qterms.join(df_t.select("term", idf.alias("idf")), "term"))
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("doc_len") / F.lit(avgdl if avgdl else 1.0))
     part = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
     scored = (

@@ -85,8 +85,12 @@ class Stages:
         postings, _ = Q.search_index(self.docs)
         return materialize(postings, "postings")
 
+    @cached_property
+    def doclen(self) -> DataFrame:
+        return materialize(self.postings.select("key", "doc_len").distinct(), "doclen")
+
     def build_all(self) -> None:
-        self.postings  # noqa: B018 - builds every stage before it
+        self.doclen  # noqa: B018 - builds every stage before it
 
 
 _STAGES: dict[tuple[str, str], Stages] = {}
@@ -286,9 +290,8 @@ def search_queries(fx: Fixtures) -> DataFrame:
 
 def q_search_rank(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    postings = stages(spark, sf_dir).postings
-    doclen = postings.select("key", "doc_len").distinct()
-    return Q.search_rank(search_queries(fx), postings, doclen, k=TOP_K)
+    st = stages(spark, sf_dir)
+    return Q.search_rank(search_queries(fx), st.postings, st.doclen, k=TOP_K)
 
 
 QUERIES: dict[str, Query] = {
