@@ -32,6 +32,15 @@ def commit_log_detail(raw_commits: DataFrame) -> DataFrame:
     )
 
 
+def commit_log_table_detail(raw_commits: DataFrame, table_ids: DataFrame) -> DataFrame:
+    """Commit-log detail in the shape of ``raw_table_detail`` (schema_name,
+    table_name, format, description, last_modified), for ``lake_catalog(...,
+    table_detail=...)``.  ``table_ids`` maps ``table_id`` to ``schema_name``,
+    ``table_name``; tables without commits get no detail row."""
+    return commit_log_detail(raw_commits).join(table_ids.select("table_id", *TABLE_KEYS), "table_id").select(
+        *TABLE_KEYS, "format", "description", "last_modified")
+
+
 def route_kind(raw_tables: DataFrame) -> DataFrame:
     """Item 9: ``is_view`` is true for a null, empty or ``view`` (any case) type."""
     return raw_tables.withColumn("is_view", is_view_type("table_type"))

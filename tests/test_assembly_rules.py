@@ -133,3 +133,19 @@ def test_column_diff(spark):
     got = {r.col_name: r.change for r in R.column_diff(a, b).collect()}
     assert got == {"z": "added", "y": "changed"}
     assert R.column_diff(a, a).count() == 0
+
+
+def test_commit_log_feeds_the_lake_pipeline(spark):
+    commits = spark.createDataFrame(
+        [(1, 1, dt.datetime(2020, 1, 1), "create", "first", "delta"),
+         (1, 2, dt.datetime(2020, 1, 4), "write", None, None),
+         (2, 3, dt.datetime(2020, 1, 2), "create", None, "parquet")],
+        "table_id long, version long, commit_ts timestamp_ntz, action string, description string, format string")
+    ids = spark.createDataFrame([(1, "s", "a"), (2, "s", "d")], "table_id long, schema_name string, table_name string")
+    detail = X.commit_log_table_detail(commits, ids)
+    lake = lake_catalog(sample(spark), cluster="c", table_detail=detail)
+    reasons = {r.table_name: r.reason for r in lake.checked.collect()}
+    assert reasons["a"] == "kept" and reasons["d"] == "kept" and reasons["e"] == "no_detail"
+    recs = {r.table_name: r for r in lake.table_records.collect()}
+    assert set(recs) == {"a", "v"}
+    assert recs["a"].description == "first" and recs["a"].last_modified == dt.datetime(2020, 1, 4)
