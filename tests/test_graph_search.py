@@ -97,3 +97,25 @@ def test_bm25_ranks_rare_term_first(spark):
     ranked = Q.search_rank(queries, postings, doclen, k=2).orderBy("query_id", "rank").collect()
     # k2 holds the rare term; of the rest the shorter document (k3) ranks first.
     assert [(r.query_id, r.rank, r.key) for r in ranked] == [(1, 1, "k2"), (1, 2, "k3")]
+
+
+def test_topk_is_limited_before_the_shuffle(spark):
+    docs = spark.createDataFrame(
+        [(f"k{i}", f"n{i}", "common", [], []) for i in range(50)],
+        "key string, name string, description string, column_names array<string>, "
+        "column_descriptions array<string>")
+    postings, doclen = Q.search_index(docs)
+    queries = spark.createDataFrame([(1, "common")], "query_id int, text string")
+    ranked = Q.search_rank(queries, postings, doclen, k=3)
+    assert ranked.count() == 3
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_broadcast_only_under_the_bound(spark):
+    from metaweave.functions.sizing import at_most, broadcast_if_small
+    small = spark.range(5)
+    assert at_most(small, 5) and not at_most(small, 4)
+    big = spark.range(100).withColumnRenamed("id", "k")
+    joined = spark.range(1000).withColumnRenamed("id", "k").join(broadcast_if_small(big, 10), "k")
+    assert joined.count() == 100
