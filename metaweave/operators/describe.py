@@ -4,10 +4,10 @@ Order carries meaning in DESCRIBE output, so every rule is expressed through
 ``row_no``; nothing relies on file or partition order.
 
 Skew: a table may own any share of all DESCRIBE rows.  The positional rules
-therefore never put a whole table into one window partition.  One aggregate
-per (table, row block) gives the block's row count and its first marker; a
-small window over those summaries yields each block's offset and the table's
-first marker; the big rows are then numbered per (table, block).
+therefore never put a whole table into one window partition: rows are
+numbered per (table, block of line numbers), and only per-block summaries
+are combined per table.  Last-wins and partition flags are aggregates keyed
+by (table, column name), partially aggregated before the shuffle.
 """
 
 from __future__ import annotations
