@@ -8,9 +8,12 @@ from metaweave.functions.exprs import (
     tokens,
 )
 from metaweave.functions.ordered import block_ordinal, ordered_collect, ordered_join
+from metaweave.functions.sizing import at_most, broadcast_if_small
 
 __all__ = [
+    "at_most",
     "block_ordinal",
+    "broadcast_if_small",
     "epoch_seconds",
     "escape_key_part",
     "is_delta_format",
