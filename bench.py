@@ -53,14 +53,19 @@ def main() -> None:
     stage_build = time.perf_counter() - t0
 
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name, query in QUERIES.items():
         if only and name not in only:
             continue
         samples = []
-        for _ in range(runs):
-            t0 = time.perf_counter()
-            query(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            samples.append(time.perf_counter() - t0)
+        try:
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                query(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                samples.append(time.perf_counter() - t0)
+        except Exception as e:  # noqa: BLE001 - report and go on with the other queries
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            continue
         times[name] = round(statistics.median(samples), 3)
     spark.stop()
     sf = os.path.basename(sf_dir).removeprefix("sf")
@@ -74,6 +79,7 @@ def main() -> None:
         "stage_build_sec": round(stage_build, 3),
         "runs": runs,
         "cpus": cpus,
+        "failed": failed,
     }))
 
 
