@@ -98,6 +98,14 @@ FROM cols c LEFT JOIN (
   FROM (SELECT DISTINCT schema_name, table_name, col_name, data_type FROM sec WHERE section = 'partition') p
   LEFT JOIN cols ct ON ct.schema_name = p.schema_name AND ct.table_name = p.table_name AND ct.col_name = p.data_type
   LEFT JOIN cols cn ON cn.schema_name = p.schema_name AND cn.table_name = p.table_name AND cn.col_name = p.col_name
+) h ON h.schema_name = c.schema_name AND h.table_name = c.table_name AND h.target = c.col_name"""),
+    "pcols_name_first": (("sec", "cols"), """
+SELECT c.*, h.target IS NOT NULL AS is_partition
+FROM cols c LEFT JOIN (
+  SELECT DISTINCT p.schema_name, p.table_name, coalesce(cn.col_name, ct.col_name) AS target
+  FROM (SELECT DISTINCT schema_name, table_name, col_name, data_type FROM sec WHERE section = 'partition') p
+  LEFT JOIN cols ct ON ct.schema_name = p.schema_name AND ct.table_name = p.table_name AND ct.col_name = p.data_type
+  LEFT JOIN cols cn ON cn.schema_name = p.schema_name AND cn.table_name = p.table_name AND cn.col_name = p.col_name
 ) h ON h.schema_name = c.schema_name AND h.table_name = c.table_name AND h.target = c.col_name"""),
     "props": (("raw_describe_ext",), """
 SELECT e.schema_name, e.table_name, e.col_name AS prop_key, max_by({'v': e.data_type}, e.row_no).v AS prop_value
@@ -324,3 +332,10 @@ sc AS (
 SELECT query_id, CAST(rk AS INT) AS rank, key, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, key) AS rk FROM sc) WHERE rk <= 10""",
 }
+
+# Option variants: the other partition match rule (Q1) and delta_only=False.
+ORACLE["partition_columns_name_first"] = with_ctes("pcols_name_first") + """
+SELECT schema_name, table_name, col_name, data_type, description, sort_order, is_partition FROM pcols_name_first"""
+ORACLE["kept_records_all_formats"] = with_ctes("checked") + f"""
+SELECT '{DATABASE}' AS db, '{CLUSTER}' AS cluster, schema_name, table_name, description, is_view, n_columns
+FROM checked WHERE reason = 'kept'"""
