@@ -156,7 +156,8 @@ def q_route_kind(spark, sf_dir):
 
 
 def q_attach_details(spark, sf_dir):
-    _, lake = _lake(spark, sf_dir)
+    # ``scraped`` precedes every written stage, so this runs the operator over the landed tables.
+    lake = stages(spark, sf_dir).lake
     return lake.scraped.select(*TABLE_KEYS, "is_view", "has_detail", "format", "description", "last_modified")
 
 
