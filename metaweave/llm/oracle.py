@@ -29,3 +29,28 @@ SELECT l.doc_id, CAST(len(l.w) AS BIGINT) AS n_words, CAST(coalesce(words.n_hit,
        coalesce(words.n_hit, 0) > 0 AS contaminated
 FROM low l LEFT JOIN words USING (doc_id) LEFT JOIN found f USING (doc_id)
 """
+
+# Jaccard similarity of five-word shingle sets, at least 0.8, over distinct sets; classes are connected components.
+ORACLE["op9_ngram_join"] = r"""
+WITH RECURSIVE low AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS s
+  FROM low, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS r(i) WHERE len(w) > 0
+), keyed AS (SELECT doc_id, count(*) AS n, md5(string_agg(s, '|' ORDER BY s)) AS k FROM sh GROUP BY doc_id),
+sets AS (SELECT k, min(doc_id) AS rep, any_value(n) AS n, count(*) AS copies FROM keyed GROUP BY k),
+own AS (SELECT sets.rep, sh.s FROM sets JOIN sh ON sh.doc_id = sets.rep),
+pairs AS (SELECT a.rep AS a, b.rep AS b, count(*) AS common FROM own a JOIN own b ON a.s = b.s AND a.rep <> b.rep GROUP BY a.rep, b.rep),
+linked AS (
+  SELECT p.a, p.b, y.copies FROM pairs p JOIN sets x ON x.rep = p.a JOIN sets y ON y.rep = p.b
+  WHERE 10 * p.common >= 8 * (x.n + y.n - p.common)
+), reach AS (
+  SELECT rep AS a, rep AS b FROM sets UNION SELECT r.a, l.b FROM reach r JOIN linked l ON l.a = r.b
+), class AS (SELECT a AS rep, min(b) AS class_id FROM reach GROUP BY a),
+links AS (SELECT a AS rep, sum(copies) AS n, count(*) AS texts FROM linked GROUP BY a)
+SELECT d.doc_id, coalesce(c.class_id, d.doc_id) AS class_id,
+       CAST(coalesce(l.n, 0) + coalesce(s.copies - 1, 0) AS BIGINT) AS n_links, CAST(coalesce(l.texts, 0) AS BIGINT) AS n_text_links
+FROM low d LEFT JOIN keyed k USING (doc_id) LEFT JOIN sets s ON s.k = k.k
+LEFT JOIN class c ON c.rep = s.rep LEFT JOIN links l ON l.rep = s.rep
+"""

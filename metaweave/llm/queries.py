@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaweave.llm import decontaminate, language_id
+from metaweave.llm import decontaminate, language_id, ngram_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "known_share")
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = ngram_join.join_classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return joined.select("doc_id", "class_id", "n_links", "n_text_links")
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = decontaminate.scan_contamination(
         _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
@@ -38,5 +43,6 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
+    "op9_ngram_join": op9_ngram_join,
     "op10_decontaminate": op10_decontaminate,
 }
