@@ -54,3 +54,26 @@ SELECT d.doc_id, coalesce(c.class_id, d.doc_id) AS class_id,
 FROM low d LEFT JOIN keyed k USING (doc_id) LEFT JOIN sets s ON s.k = k.k
 LEFT JOIN class c ON c.rep = s.rep LEFT JOIN links l ON l.rep = s.rep
 """
+
+# Poisson counts by inversion at a number hashed from seed, id and part; rates from the square roots of the sources' bytes.
+ORACLE["op5_mixing"] = r"""
+WITH sizes AS (SELECT source, sum(coalesce(strlen(text), 0)) AS bytes FROM documents GROUP BY source),
+sums AS (SELECT sum(sqrt(bytes)) AS all_raw, sum(bytes) AS all_bytes FROM sizes),
+rates AS (
+  SELECT source, CASE WHEN bytes > 0 THEN round(sqrt(bytes) / all_raw * all_bytes / bytes, 6) ELSE 0.0 END AS rate FROM sizes, sums
+), split AS (SELECT source, rate, greatest(1, CAST(ceil(rate / 32) AS BIGINT)) AS parts, rate / greatest(1, ceil(rate / 32)) AS mean FROM rates),
+cdf AS (
+  SELECT source, k, sum(exp(-mean) * pow(mean, k) / gamma(k + 1)) OVER (PARTITION BY source ORDER BY k) AS c
+  FROM split, unnest(range(0, 1 + CAST(ceil(mean + 12 * sqrt(mean) + 20) AS BIGINT))) AS r(k)
+), draws AS (
+  SELECT d.*, s.rate, CAST(('0x' || substr(md5('20240501:' || CAST(d.doc_id AS VARCHAR) || ':' || CAST(j AS VARCHAR)), 1, 13)) AS BIGINT) / 4503599627370496.0 AS u
+  FROM documents d JOIN split s ON d.source IS NOT DISTINCT FROM s.source, unnest(range(1, s.parts + 1)) AS r(j)
+), counts AS (
+  SELECT doc_id, any_value(text) AS text, any_value(lang) AS lang, source, any_value(n_chars) AS n_chars, any_value(rate) AS rate,
+         sum((SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM draws.source AND cdf.c <= draws.u)) AS copies
+  FROM draws GROUP BY doc_id, source
+)
+SELECT doc_id, text, lang, source, n_chars, CAST(n AS INTEGER) AS copy_no, rate,
+       md5('20240501:' || CAST(doc_id AS VARCHAR) || ':' || CAST(n AS VARCHAR) || ':order') AS shuffle_key
+FROM counts, unnest(range(1, CAST(copies AS BIGINT) + 1)) AS r(n)
+"""

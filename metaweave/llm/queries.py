@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaweave.llm import decontaminate, language_id, ngram_join
+from metaweave.llm import decontaminate, language_id, mixing, ngram_join, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,20 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "known_share")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All copies with their texts, in global random order; targets are the square roots of the sources' sizes."""
+    return mixing.poisson_mixture(_table(spark, sf_dir, "documents"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
+    return sharding.shard_rows(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
+        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = ngram_join.join_classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return joined.select("doc_id", "class_id", "n_links", "n_text_links")
@@ -43,6 +57,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
+    "op5_mixing": op5_mixing,
+    "op6_sharding": op6_sharding,
     "op9_ngram_join": op9_ngram_join,
     "op10_decontaminate": op10_decontaminate,
 }
