@@ -77,3 +77,13 @@ SELECT doc_id, text, lang, source, n_chars, CAST(n AS INTEGER) AS copy_no, rate,
        md5('20240501:' || CAST(doc_id AS VARCHAR) || ':' || CAST(n AS VARCHAR) || ':order') AS shuffle_key
 FROM counts, unnest(range(1, CAST(copies AS BIGINT) + 1)) AS r(n)
 """
+
+# Equal payloads of 1000 bytes or more: the largest page_id is the response, the others revisit it.
+ORACLE["op3_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+big AS (SELECT h, n, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY h, n)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.h AS payload_digest,
+       CASE WHEN big.top IS NOT NULL AND p.page_id <> big.top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN big.top IS NOT NULL AND p.page_id <> big.top THEN big.top END AS refers_to
+FROM p LEFT JOIN big ON p.h = big.h AND p.n = big.n
+"""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaweave.llm import decontaminate, language_id, mixing, ngram_join, sharding
+from metaweave.llm import decontaminate, language_id, mixing, ngram_join, sharding, warc
+from metaweave.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +22,23 @@ def held_out() -> F.Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes all pages as an archive in the shared folder and describes what is read back from it."""
+    path = scratch_path(spark, "warc")
+    warc.write_warc(warc.deduplicated_records(_table(spark, sf_dir, "pages")), path)
+    back = warc.read_warc(spark, path).where(F.col("warc_type").isin("response", "revisit"))
+
+    def page(c):
+        return F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long")
+
+    response = F.col("warc_type") == "response"
+    return back.select(
+        page(F.col("record_id")).alias("page_id"),
+        F.when(response, F.octet_length("payload")).otherwise(F.col("payload_length")).cast("long").alias("payload_bytes"),
+        F.when(response, F.sha1("payload")).otherwise(F.regexp_replace("payload_digest", "^sha1:", "")).alias("payload_digest"),
+        F.col("warc_type").alias("record_type"), page(F.col("refers_to")).alias("refers_to"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     filters = language_id.train(docs.where(~held_out()))
@@ -56,6 +74,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_warc": op3_warc,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op6_sharding": op6_sharding,
