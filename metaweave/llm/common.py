@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metaweave.session import materialize
+from metaweave.session import scratch_path
 
 
 def free_names(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -30,9 +30,12 @@ def free_names(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.toDF(*columns)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written under ``spark.checkpoint.dir`` and read back: cuts the lineage, survives lost executors."""
-    return materialize(df, f"llm-{name}")
+    path = scratch_path(df.sparkSession, f"llm-{name}")
+    writer = df.write.option("compression", compression) if compression else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaweave.llm import decontaminate, language_id, mixing, ngram_join, sharding, warc
+from metaweave.llm import decontaminate, language_id, line_dedup, mixing, ngram_join, sharding, warc
 from metaweave.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,12 @@ def held_out() -> F.Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its number of lines and the numbers of those that repeat, or nearly repeat, an earlier one."""
+    kept = line_dedup.kept_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", F.size("removed_lines").cast("long").alias("n_removed"), "removed_lines")
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all pages as an archive in the shared folder and describes what is read back from it."""
     path = scratch_path(spark, "warc")
@@ -74,6 +80,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_warc": op3_warc,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
