@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,26 @@ def written(df: DataFrame, name: str, compression: str | None = None) -> DataFra
     return df.sparkSession.read.parquet(path)
 
 
+def sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of equal first columns of sorted batches, whole even where a run crosses batches."""
+    rest = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        if rest is not None:
+            table = pa.concat_tables([rest, table])
+        key = np.asarray(table.column(0).combine_chunks())
+        cut = np.flatnonzero(key[1:] != key[:-1]) + 1
+        edges = [0, *cut.tolist()]
+        table = table.combine_chunks()
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            yield table.slice(a, b - a)
+        rest = table.slice(edges[-1])
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
 def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     """``(node, component)`` for every node of an edge; component is the smallest node connected to it.
 

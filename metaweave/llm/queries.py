@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaweave.llm import decontaminate, language_id, line_dedup, mixing, ngram_join, sharding, warc
+from metaweave.llm import ann, decontaminate, language_id, line_dedup, mixing, ngram_join, sharding, warc
 from metaweave.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = ngram_join.join_classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return joined.select("doc_id", "class_id", "n_links", "n_text_links")
@@ -85,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op6_sharding": op6_sharding,
+    "op8_ann": op8_ann,
     "op9_ngram_join": op9_ngram_join,
     "op10_decontaminate": op10_decontaminate,
 }
