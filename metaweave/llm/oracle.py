@@ -87,3 +87,27 @@ SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.h AS payload_digest,
        CASE WHEN big.top IS NOT NULL AND p.page_id <> big.top THEN big.top END AS refers_to
 FROM p LEFT JOIN big ON p.h = big.h AND p.n = big.n
 """
+
+# Every 100-byte string with the smallest (document, start) that has it; bytes of the later ones go.
+ORACLE["op2_suffix_dedup"] = """
+WITH raw AS (SELECT doc_id, encode(coalesce(text, '')) AS b, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+strings AS (SELECT doc_id, i, md5(b[i + 1:i + 100]) AS s FROM raw, unnest(range(0, n - 99)) AS r(i) WHERE n >= 100),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM strings) WHERE k > 1
+), steps AS (
+  SELECT doc_id, i, i + 100 AS e, max(i + 100) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM later
+), marked AS (
+  SELECT doc_id, i, e, sum(CASE WHEN before IS NULL OR i > before THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM steps
+), spans AS (SELECT doc_id, span, min(i) AS a, max(e) AS z FROM marked GROUP BY doc_id, span),
+ordered AS (SELECT doc_id, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS last FROM spans),
+pieces AS (
+  SELECT o.doc_id, o.a, hex(r.b[o.last + 1:o.a]) AS h FROM ordered o JOIN raw r USING (doc_id) WHERE o.a > o.last
+  UNION ALL
+  SELECT m.doc_id, r.n, hex(r.b[m.z + 1:r.n]) FROM (SELECT doc_id, max(z) AS z FROM spans GROUP BY doc_id) m JOIN raw r USING (doc_id) WHERE r.n > m.z
+), kept AS (SELECT doc_id, string_agg(h, '' ORDER BY a) AS h FROM pieces GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(z - a) AS removed, count(*) AS spans FROM spans GROUP BY doc_id)
+SELECT r.doc_id, r.n AS n_bytes, CAST(coalesce(s.removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(s.spans, 0) AS BIGINT) AS n_spans,
+       CASE WHEN s.doc_id IS NULL THEN sha256(r.b) ELSE sha256(unhex(coalesce(k.h, ''))) END AS kept_sha256
+FROM raw r LEFT JOIN sums s USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaweave.llm import ann, decontaminate, language_id, line_dedup, mixing, ngram_join, sharding, warc
+from metaweave.llm import ann, decontaminate, language_id, line_dedup, mixing, ngram_join, sharding, suffix_dedup, warc
 from metaweave.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,14 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", F.size("removed_lines").cast("long").alias("n_removed"), "removed_lines")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.aggregate("removed_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
+        F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all pages as an archive in the shared folder and describes what is read back from it."""
     path = scratch_path(spark, "warc")
@@ -85,6 +93,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_warc": op3_warc,
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
