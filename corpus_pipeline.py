@@ -1,10 +1,18 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next."""
+"""The corpus pipeline: five stages over ``documents``, each written as Parquet and read again by the next.
+
+Every stage works on all rows its predecessor kept, and all but the last return the columns of ``documents``:
+languages that are none of the corpus' go, one document of each near-duplicate class stays, documents that hold a
+benchmark window go, sources are replicated to their target weights, and what is left is dealt into shards.
+
+Nulls, empty and very long texts, repeated rows, empty tables and extra columns are treated as
+the operators' modules say; a null or letterless text ends at the first stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metaweave.llm import decontaminate, language_id
+from metaweave.llm import decontaminate, language_id, mixing, ngram_join, sharding
 from metaweave.llm.common import written
 from metaweave.llm.queries import held_out
 
@@ -18,17 +26,36 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return named.where((named.lang_pred != language_id.UND) & (named.known_share >= MIN_KNOWN_SHARE)).select(*docs.columns)
 
 
+def keep_one_of_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each class of documents with a shingle similarity of 0.8 or more."""
+    return ngram_join.keep_one(docs)
+
+
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark window."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.remove_documents(decontaminate.scan_contamination(docs, benchmark))
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replicates documents so that sources weigh as the square roots of their sizes; shuffles all copies."""
+    return mixing.poisson_mixture(docs).select(*docs.columns)
+
+
+def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Adds ``shard`` and ``slot`` of a uniform shuffle into shards of equal row counts."""
+    return sharding.shard_rows(docs)
+
+
 STAGES = [
     ("language_id", identify_language),
+    ("ngram_join", keep_one_of_class),
     ("decontaminate", decontaminate_benchmark),
+    ("mixing", mix_sources),
+    ("sharding", deal_shards),
 ]
 
+#: Language filters, hashed draws and the shuffle are beyond SQL; tests hold each stage against its brute-force version.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaweave.llm import ann, decontaminate, language_id, line_dedup, mixing, ngram_join, sharding, suffix_dedup, warc
+from metaweave.llm import ann, decontaminate, language_id, line_dedup, mixing, ngram_join, sharding, suffix_dedup, toxicity, warc
 from metaweave.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,14 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where("toxic IS NOT NULL").select(F.col("doc_id").alias("label_id"), "toxic")
+    machine = toxicity.train(docs.where(~held_out()).join(labels, F.col("doc_id") == F.col("label_id")))
+    return toxicity.score(docs, machine).select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -98,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
     "op5_mixing": op5_mixing,
     "op6_sharding": op6_sharding,
+    "op7_toxicity": op7_toxicity,
     "op8_ann": op8_ann,
     "op9_ngram_join": op9_ngram_join,
     "op10_decontaminate": op10_decontaminate,
