@@ -7,12 +7,13 @@ from metaweave.functions.exprs import (
     node_key,
     tokens,
 )
-from metaweave.functions.ordered import block_ordinal, ordered_collect, ordered_join
+from metaweave.functions.ordered import block_ordinal, ordered_collect, ordered_join, quantile_block
 from metaweave.functions.sizing import at_most, broadcast_if_small
 
 __all__ = [
     "at_most",
     "block_ordinal",
+    "quantile_block",
     "broadcast_if_small",
     "epoch_seconds",
     "escape_key_part",

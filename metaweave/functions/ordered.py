@@ -26,14 +26,17 @@ def block_of(order: str, block_size: int):
     return F.floor(F.col(order) / F.lit(block_size)).cast("long")
 
 
-def block_offsets(df: DataFrame, by: Sequence[str], order: str, block_size: int) -> DataFrame:
-    """One row per (group, block): rows in all earlier blocks of the group."""
-    counts = (
-        df.groupBy(*by, block_of(order, block_size).alias(_BLK))
-        .agg(F.count(F.lit(1)).alias(_CNT))
-    )
-    w = Window.partitionBy(*by).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(*by, _BLK, F.coalesce(F.sum(_CNT).over(w), F.lit(0)).alias(_OFF))
+def quantile_block(df: DataFrame, order: str, name: str, blocks: int = 1024) -> DataFrame:
+    """Add ``name``: a block number by quantiles of ``order``.  Blocks hold about equally many rows however
+    sparse or clustered the values are; equal values share a block, nulls come before all others.
+
+    The quantiles are a scalar subquery of one row, so nothing runs while a query is built.
+    """
+    shares = [i / blocks for i in range(1, blocks)]
+    cuts = df.agg(F.percentile_approx(order, shares, 10 * blocks)).scalar()
+    below = F.size(F.filter("_mw_cuts", lambda c: c < F.col(order)))
+    return df.withColumn("_mw_cuts", cuts).withColumn(
+        name, F.when(F.col(order).isNull() | F.col("_mw_cuts").isNull(), -1).otherwise(below).cast("long")).drop("_mw_cuts")
 
 
 def block_ordinal(
@@ -43,21 +46,31 @@ def block_ordinal(
     name: str = "ordinal",
     block_size: int = DEFAULT_BLOCK,
     tiebreak: Sequence[str] = (),
+    block: str | None = None,
 ) -> DataFrame:
     """Add ``name``: the 0-based position of each row in its ``by`` group by ``order``.
 
-    Equivalent to ``row_number() OVER (PARTITION BY by ORDER BY order) - 1``,
-    but the window runs per (group, block).  With an empty ``by`` this is a
-    dense global numbering whose only single-task step sees one row per block.
+    Equivalent to ``row_number() OVER (PARTITION BY by ORDER BY order) - 1``
+    (nulls first, null group keys form a group), but the window runs per (group, block).  With an empty
+    ``by`` this is a dense global numbering whose only single-task step sees
+    one row per block.  ``block`` names a column that replaces the default block (by
+    value) where ordinals may be sparse; it must not decrease with ``order``.
     """
     by = list(by)
-    offsets = block_offsets(df, by, order, block_size)
+    numbered = df.withColumn(_BLK, F.coalesce(F.col(block) if block else block_of(order, block_size), F.lit(-(1 << 62))))
+    counts = numbered.groupBy(*by, _BLK).agg(F.count(F.lit(1)).alias(_CNT))
+    before = Window.partitionBy(*by).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
+    keys = [f"_mw_key{i}" for i in range(len(by))]
+    offsets = counts.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col(_BLK).alias("_mw_block"),
+                            F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
+    same = F.col(_BLK) == F.col("_mw_block")
+    for c, k in zip(by, keys, strict=True):
+        same = same & F.col(c).eqNullSafe(F.col(k))
     w = Window.partitionBy(*by, _BLK).orderBy(order, *tiebreak)
     return (
-        df.withColumn(_BLK, block_of(order, block_size))
-        .join(offsets, [*by, _BLK])
+        numbered.join(offsets, same)
         .withColumn(name, F.col(_OFF) + F.row_number().over(w) - 1)
-        .drop(_BLK, _OFF)
+        .drop(_BLK, _OFF, "_mw_block", *keys)
     )
 
 

@@ -191,19 +191,25 @@ def partition_columns(annotated: DataFrame, match: str = MATCH_DATA_TYPE_FIRST)
     )
 
 
+def _first_marker():
+    return F.min(F.when(F.col("col_name").contains(DETAILED_TABLE_MARKER), F.col("row_no")))
+
+
 def describe_properties(raw_describe_ext: DataFrame) -> DataFrame:
     """Item 8: DESCRIBE EXTENDED rows after the first ``# Detailed Table`` row as
     (schema_name, table_name, prop_key, prop_value); a repeated key keeps its
     last value.  A table without the marker has no properties.
+
+    The last value of a key is a property if its row comes after the marker,
+    so rows are reduced to one per (table, key) first and only those meet the
+    marker; no raw row is gathered on its table.
     """
-    first = raw_describe_ext.groupBy(*TABLE_KEYS).agg(
-        F.min(F.when(F.col("col_name").contains(DETAILED_TABLE_MARKER), F.col("row_no"))).alias(_FIRST)
-    )
+    last = raw_describe_ext.groupBy(*TABLE_KEYS, F.col("col_name").alias("prop_key")).agg(
+        F.max(F.struct("row_no", F.col("data_type").alias("v"))).alias("_v"), _first_marker().alias("_own"))
+    first = last.groupBy(*TABLE_KEYS).agg(F.min("_own").alias(_FIRST))
     return (
-        raw_describe_ext.join(first, TABLE_KEYS)
-        .where(F.col("row_no") > F.col(_FIRST))
-        .groupBy(*TABLE_KEYS, F.col("col_name").alias("prop_key"))
-        .agg(F.max_by(F.struct(F.col("data_type").alias("v")), F.col("row_no")).alias("_v"))
+        last.join(first, TABLE_KEYS)
+        .where(F.col("_v.row_no") > F.col(_FIRST))
         .select(*TABLE_KEYS, "prop_key", F.col("_v.v").alias("prop_value"))
     )
 
@@ -213,20 +219,18 @@ def view_details(raw_describe_ext: DataFrame) -> DataFrame:
     the model reads pivoted out (``format``, ``description``; last value wins).
 
     A view with output but without properties still has a (empty) detail.
-    One aggregate per view after joining each row to its view's marker row.
+    One aggregate per view with map-side combine, no join: the last row of a
+    key counts if it comes after the view's marker.
     """
-    first = raw_describe_ext.groupBy(*TABLE_KEYS).agg(
-        F.min(F.when(F.col("col_name").contains(DETAILED_TABLE_MARKER), F.col("row_no"))).alias(_FIRST)
-    )
+    def last_row(key: str):
+        return F.max(F.when(F.col("col_name") == key, F.struct("row_no", F.col("data_type").alias("v"))))
 
-    def last_value(key: str):
-        return F.expr(
-            f"max_by(struct(data_type AS v), row_no) FILTER (WHERE col_name = '{key}' AND row_no > {_FIRST})"
-        )["v"]
+    def after(c: str):
+        return F.when(F.col(f"{c}.row_no") > F.col(_FIRST), F.col(f"{c}.v"))
 
     return (
         raw_describe_ext.where(F.col(S).isNotNull() & F.col(TB).isNotNull())
-        .join(first, TABLE_KEYS)
         .groupBy(*TABLE_KEYS)
-        .agg(last_value("format").alias("format"), last_value("description").alias("description"))
+        .agg(_first_marker().alias(_FIRST), last_row("format").alias("_f"), last_row("description").alias("_d"))
+        .select(*TABLE_KEYS, after("_f").alias("format"), after("_d").alias("description"))
     )

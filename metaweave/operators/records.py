@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metaweave.functions.exprs import epoch_seconds
-from metaweave.functions.ordered import block_ordinal, ordered_collect, ordered_join
+from metaweave.functions.ordered import block_ordinal, ordered_collect, ordered_join, quantile_block
 from metaweave.model import KIND_LAST_UPDATED, KIND_TABLE_METADATA, S, TABLE_KEYS, TB
 
 def table_metadata(tables: DataFrame, columns: DataFrame, database: str, cluster: str) -> tuple[DataFrame, DataFrame]:
@@ -79,11 +79,15 @@ def emit_records(table_records: DataFrame, last_updated: DataFrame) -> DataFrame
 
 
 def number_records(records: DataFrame, name: str = "emit_ord") -> DataFrame:
-    """Dense 1-based stream position.  Two records per table at most, so the
-    order key ``2 * table_ord + kind_ord`` is unique and the block numbering
-    never holds more than a block of rows in one task."""
+    """Dense 1-based stream position in the order ``(table_ord, kind_ord)``, names breaking ties.
+
+    Ordinals may be sparse, repeated or null (null ordinals come first): the
+    stream is cut at quantiles of ``table_ord``, so no task holds more than
+    about a thousandth of it and no record is lost."""
     keyed = records.withColumn("_mw_ord", F.col("table_ord") * 2 + F.col("kind_ord"))
-    return block_ordinal(keyed, [], "_mw_ord", "_mw_pos").select(
+    ties = ["kind_ord", "db", "cluster", S, TB]
+    keyed = quantile_block(keyed, "_mw_ord", "_mw_part")
+    return block_ordinal(keyed, [], "_mw_ord", "_mw_pos", tiebreak=ties, block="_mw_part").select(
         (F.col("_mw_pos") + 1).alias(name), *records.columns)
 
 
@@ -101,12 +105,17 @@ def column_diff(columns_a: DataFrame, columns_b: DataFrame, include_same: bool =
     """Item 17: (schema_name, table_name, col_name, change) between two column
     snapshots: ``added`` / ``removed`` / ``changed`` (``same`` on request).
     Equality is null-safe on every compared field, ``attributes`` included
-    when both snapshots carry it (compared as sorted entries)."""
+    when the snapshots carry it (compared as sorted entries).  A compared field
+    that a snapshot lacks is an error, never silently equal."""
     keys = [*TABLE_KEYS, "col_name"]
-    fields = [c for c in COMPARED if c in columns_a.columns and c in columns_b.columns]
-    extra = []
-    if "attributes" in columns_a.columns and "attributes" in columns_b.columns:
-        extra = ["attributes"]
+    for side, columns in (("first", columns_a), ("second", columns_b)):
+        missing = [c for c in [*keys, *COMPARED] if c not in columns.columns]
+        if missing:
+            raise ValueError(f"the {side} snapshot lacks {', '.join(missing)}")
+    if ("attributes" in columns_a.columns) != ("attributes" in columns_b.columns):
+        raise ValueError("only one snapshot carries attributes")
+    fields = COMPARED
+    extra = ["attributes"] if "attributes" in columns_a.columns else []
     a = columns_a.select(*keys, *[F.col(c).alias(f"a_{c}") for c in fields],
                          *[F.array_sort(F.map_entries(c)).alias(f"a_{c}") for c in extra],
                          F.lit(True).alias("_a"))

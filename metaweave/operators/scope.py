@@ -34,17 +34,17 @@ def _with_unnamed(scoped: DataFrame, raw_tables: DataFrame) -> DataFrame:
     return scoped.unionByName(raw_tables.where(F.col(S).isNull()))
 
 
-def _include_given(include: SchemaSet) -> bool:
-    return isinstance(include, DataFrame) or bool(include)
-
-
 def in_scope(df: DataFrame, raw_schemas: DataFrame, include: SchemaSet = None, exclude: SchemaSet = None) -> DataFrame:
     """Rows of any table keyed by ``schema_name`` whose schema is in scope.
 
     Applied to the big DESCRIBE tables before any other work, so tables out
     of scope are never shuffled (a list filter even reaches the scan).
     """
-    if _include_given(include):
+    if isinstance(include, DataFrame):
+        # Only a list with entries wins; whether it has any is a subquery, not a job of its own.
+        fallback = in_scope(df, raw_schemas, None, exclude).where(~include.exists())
+        return _restrict(df, include, keep=True).unionByName(fallback)
+    if include:
         return _restrict(df, include, keep=True)
     kept = raw_schemas.select(S)
     if exclude is not None:
@@ -57,7 +57,10 @@ def prune_to_scope(df: DataFrame, include: SchemaSet = None, exclude: SchemaSet
     include / exclude lists before any shuffle.  Without a list nothing is
     pruned: the scoped listing decides which tables appear in the results.
     """
-    if _include_given(include):
+    if isinstance(include, DataFrame):
+        fallback = prune_to_scope(df, None, exclude).where(~include.exists())
+        return _restrict(df, include, keep=True).unionByName(fallback)
+    if include:
         return _restrict(df, include, keep=True)
     if exclude is not None and (isinstance(exclude, DataFrame) or len(exclude) > 0):
         return _restrict(df, exclude, keep=False)
@@ -77,8 +80,8 @@ def scope_include(
 ) -> DataFrame:
     """Tables in scope (item 2): a given include list wins outright over the exclude list.
 
-    An include list that is an empty Python list counts as not given; a
-    DataFrame counts as given.  Repeated include entries select a table once.
+    An include list without entries, be it a Python list or a DataFrame,
+    counts as not given.  Repeated include entries select a table once.
     """
     return _with_unnamed(in_scope(raw_tables, raw_schemas, include, exclude), raw_tables)
 
@@ -94,12 +97,14 @@ def relational_catalog(
 
     Output: db, cluster, schema_name, table_name, col_name, col_type,
     description, sort_order.  With ``catalog_as_cluster`` the catalog name is
-    the cluster; otherwise ``cluster`` is required.
+    the cluster; otherwise ``cluster`` is required.  Rows without a catalog,
+    table or column name can form no key and are left to
+    :func:`relational_rejects`.
     """
     if not catalog_as_cluster and cluster is None:
         raise ValueError("cluster is required when catalog_as_cluster is False")
     cluster_col = F.col("catalog_name") if catalog_as_cluster else F.lit(cluster)
-    return pg_columns.where(F.col("schemaname").isin(*schemas)).select(
+    return pg_columns.where(F.col("schemaname").isin(*schemas) & _reject_reason(catalog_as_cluster).isNull()).select(
         F.lit(database).alias("db"),
         cluster_col.alias("cluster"),
         F.col("schemaname").alias(S),
@@ -109,3 +114,13 @@ def relational_catalog(
         F.col("col_description").alias("description"),
         F.col("col_sort_order").alias("sort_order"),
     )
+
+
+def _reject_reason(catalog_as_cluster: bool):
+    reason = F.when(F.col(TB).isNull(), "no_table").when(F.col("col_name").isNull(), "no_column")
+    return reason.when(F.col("catalog_name").isNull(), "no_catalog") if catalog_as_cluster else reason
+
+
+def relational_rejects(pg_columns: DataFrame, schemas: Sequence[str] = ("public",), catalog_as_cluster: bool = True) -> DataFrame:
+    """Rows of the chosen schemas that :func:`relational_catalog` leaves out, with their ``reason``."""
+    return pg_columns.where(F.col("schemaname").isin(*schemas)).withColumn("reason", _reject_reason(catalog_as_cluster)).where("reason IS NOT NULL")

@@ -162,12 +162,12 @@ SELECT '{DATABASE}' AS db, '{CLUSTER}' AS cluster, c.schema_name, c.table_name,
 FROM cols_b c JOIN delta d ON d.schema_name = c.schema_name AND d.table_name = c.table_name"""),
     "nodes": (("trec", "crec"), f"""
 SELECT DISTINCT {key('db')} AS key, 'Database' AS label, db AS name, CAST(NULL AS VARCHAR) AS description,
-  CAST(NULL AS VARCHAR) AS col_type FROM trec
-UNION ALL SELECT DISTINCT {key('db', 'cluster')}, 'Cluster', cluster, NULL, NULL FROM trec
-UNION ALL SELECT DISTINCT {key('db', 'cluster', 'schema_name')}, 'Schema', schema_name, NULL, NULL FROM trec
-UNION ALL SELECT {key('db', 'cluster', 'schema_name', 'table_name')}, 'Table', table_name, description, NULL FROM trec
+  CAST(NULL AS VARCHAR) AS col_type, CAST(NULL AS INTEGER) AS sort_order, CAST(NULL AS BOOLEAN) AS is_view FROM trec
+UNION ALL SELECT DISTINCT {key('db', 'cluster')}, 'Cluster', cluster, NULL, NULL, NULL, NULL FROM trec
+UNION ALL SELECT DISTINCT {key('db', 'cluster', 'schema_name')}, 'Schema', schema_name, NULL, NULL, NULL, NULL FROM trec
+UNION ALL SELECT {key('db', 'cluster', 'schema_name', 'table_name')}, 'Table', table_name, description, NULL, NULL, is_view FROM trec
 UNION ALL SELECT {key('db', 'cluster', 'schema_name', 'table_name', 'col_name')}, 'Column', col_name, description,
-  col_type FROM crec"""),
+  col_type, sort_order, NULL FROM crec"""),
     "nodes_b": (("trec", "crec_b"), f"""
 SELECT DISTINCT {key('db')} AS key, 'Database' AS label, db AS name, CAST(NULL AS VARCHAR) AS description,
   CAST(NULL AS VARCHAR) AS col_type FROM trec
@@ -286,7 +286,8 @@ SELECT * FROM (
 ) WHERE change <> 'same'""",
     "graph_nodes": with_ctes("nodes") + "SELECT key, label, name, description FROM nodes",
     "graph_edges": with_ctes("edges") + "SELECT start_key, end_key, type FROM edges",
-    "csv_exchange": with_ctes("nodes") + "SELECT key, label, name, description FROM nodes",
+    "csv_exchange": with_ctes("nodes") + "SELECT key, label, name, description, col_type, sort_order, is_view FROM nodes",
+    "csv_exchange_edges": with_ctes("edges") + "SELECT start_key, end_key, type FROM edges",
     "publish_upsert": with_ctes("nodes", "nodes_b") + """
 SELECT coalesce(b.key, a.key) AS key,
   CASE WHEN b.key IS NOT NULL THEN b.label ELSE a.label END AS label,

@@ -229,7 +229,15 @@ def q_csv_exchange(spark, sf_dir):
     out = scratch_path(spark, "graph-csv")
     exchange.write_graph_csv(nodes, edges, out)
     back, _ = exchange.read_graph_csv(spark, out)
-    return back.select("key", "label", "name", "description")
+    return back
+
+
+def q_csv_exchange_edges(spark, sf_dir):
+    tables, columns = _records(spark, sf_dir)
+    out = scratch_path(spark, "graph-csv")
+    exchange.write_graph_csv(G.graph_nodes(tables, columns), G.graph_edges(tables, columns), out)
+    _, back = exchange.read_graph_csv(spark, out)
+    return back
 
 
 def q_publish_upsert(spark, sf_dir):
@@ -328,6 +336,7 @@ QUERIES: dict[str, Query] = {
     "graph_nodes": q_graph_nodes,
     "graph_edges": q_graph_edges,
     "csv_exchange": q_csv_exchange,
+    "csv_exchange_edges": q_csv_exchange_edges,
     "publish_upsert": q_publish_upsert,
     "search_documents": q_search_documents,
     "json_exchange": q_json_exchange,

@@ -1,14 +1,16 @@
 """Items 20 and 23: CSV hand-off of the graph, JSON hand-off of search documents.
 
-CSV is made lossless for our data: nulls are written as ``\\N`` and empty
-strings as ``""``, every field is quoted, and the reader uses the same
-options, ``multiLine`` (embedded newlines) and an explicit schema.  Because
+CSV is lossless: nulls are written as ``\\N`` and empty strings as ``""``,
+a text that begins with a backslash gets one more (so a literal ``\\N`` is not
+a null), every field is quoted and keeps its outer blanks, and the reader uses
+the same options, ``multiLine`` (embedded newlines) and an explicit schema.  Because
 ``multiLine`` files cannot be split, ``max_records_per_file`` bounds each file.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metaweave.model import EDGES, NODES, SEARCH_DOCS
@@ -20,20 +22,31 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "quoteAll": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
 }
 MAX_RECORDS_PER_FILE = 1_000_000
 
 
+def _texts(df: DataFrame, but: str | None, change) -> DataFrame:
+    """``df`` with ``change`` applied to its string columns, the partition column excepted."""
+    return df.select(*[
+        change(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) and f.name != but else F.col(f.name)
+        for f in df.schema.fields])
+
+
 def write_csv(df: DataFrame, path: str, partition_by: str | None = None,
               max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
-    writer = df.write.mode("overwrite").options(**CSV_OPTIONS).option("maxRecordsPerFile", max_records_per_file)
+    escaped = _texts(df, partition_by, lambda c: F.when(c.startswith("\\"), F.concat(F.lit("\\"), c)).otherwise(c))
+    writer = escaped.write.mode("overwrite").options(**CSV_OPTIONS).option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.options(**CSV_OPTIONS).option("multiLine", "true").schema(schema).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, partition_by: str | None = None) -> DataFrame:
+    read = spark.read.options(**CSV_OPTIONS).option("multiLine", "true").schema(schema).csv(path)
+    return _texts(read, partition_by, lambda c: F.when(c.startswith("\\"), F.substr(c, F.lit(2))).otherwise(c))
 
 
 def write_graph_csv(nodes: DataFrame, edges: DataFrame, out_dir: str) -> None:
@@ -44,8 +57,8 @@ def write_graph_csv(nodes: DataFrame, edges: DataFrame, out_dir: str) -> None:
 
 
 def read_graph_csv(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame]:
-    nodes = read_csv(spark, f"{out_dir}/nodes", NODES).select(*NODES.fieldNames())
-    edges = read_csv(spark, f"{out_dir}/relationships", EDGES).select(*EDGES.fieldNames())
+    nodes = read_csv(spark, f"{out_dir}/nodes", NODES, "label").select(*NODES.fieldNames())
+    edges = read_csv(spark, f"{out_dir}/relationships", EDGES, "type").select(*EDGES.fieldNames())
     return nodes, edges
 
 

@@ -2,8 +2,8 @@
 
 Each run writes a new, uniquely named table and then repoints a persistent
 view (the alias) at it in one catalog operation, so readers see the old or
-the new documents, never a mix.  The previous table is dropped after the swap
-unless ``drop_previous`` is false.
+the new documents, never a mix.  The ``keep_previous`` tables before it stay, so
+that a reader that is still at one of them can finish; older ones are dropped.
 """
 
 from __future__ import annotations
@@ -14,6 +14,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 TARGET_PROPERTY = "metaweave.target"
+#: Earlier targets that still exist, newest first, comma-separated.
+PREVIOUS_PROPERTY = "metaweave.previous"
+KEEP_PREVIOUS = 3
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
 
@@ -23,13 +26,15 @@ def _check_ident(name: str) -> str:
     return name
 
 
+def _properties(spark: SparkSession, alias: str) -> dict[str, str]:
+    if not spark.catalog.tableExists(_check_ident(alias)):
+        return {}
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {alias}").collect()}
+
+
 def current_target(spark: SparkSession, alias: str) -> str | None:
     """The table the alias points at, or None when the alias does not exist."""
-    if not spark.catalog.tableExists(_check_ident(alias)):
-        return None
-    rows = spark.sql(f"SHOW TBLPROPERTIES {alias}").collect()
-    props = {r["key"]: r["value"] for r in rows}
-    return props.get(TARGET_PROPERTY)
+    return _properties(spark, alias).get(TARGET_PROPERTY)
 
 
 def publish_index(
@@ -37,19 +42,21 @@ def publish_index(
     run_id: str | None = None,
     alias: str = "table_search_index",
     prefix: str = "tables_",
-    drop_previous: bool = True,
+    keep_previous: int = KEEP_PREVIOUS,
 ) -> str:
     spark = docs.sparkSession
     run_id = run_id or uuid.uuid4().hex
     target = _check_ident(f"{prefix}{run_id}")
-    previous = current_target(spark, alias)
+    own = _properties(spark, alias)
+    earlier = [t for t in [own.get(TARGET_PROPERTY), *own.get(PREVIOUS_PROPERTY, "").split(",")] if t and t != target]
+    kept, old = earlier[:keep_previous], earlier[keep_previous:]
     docs.write.mode("errorifexists").format("parquet").saveAsTable(target)
     spark.sql(
-        f"CREATE OR REPLACE VIEW {alias} TBLPROPERTIES ('{TARGET_PROPERTY}' = '{target}') "
-        f"AS SELECT * FROM {target}"
+        f"CREATE OR REPLACE VIEW {alias} TBLPROPERTIES ('{TARGET_PROPERTY}' = '{target}', "
+        f"'{PREVIOUS_PROPERTY}' = '{','.join(kept)}') AS SELECT * FROM {target}"
     )
-    if drop_previous and previous and previous != target:
-        spark.sql(f"DROP TABLE IF EXISTS {_check_ident(previous)}")
+    for table in old:
+        spark.sql(f"DROP TABLE IF EXISTS {_check_ident(table)}")
     return target
 
 

@@ -1,4 +1,4 @@
-"""Random DESCRIBE outputs against a brute-force model of the rules, with tiny
+"""Random DESCRIBE outputs against a model of the rules, with tiny
 row blocks so that tables span many blocks."""
 
 from hypothesis import HealthCheck, given, settings
@@ -14,29 +14,22 @@ row = st.tuples(st.sampled_from(NAMES), st.sampled_from(TYPES), st.sampled_from(
 table = st.lists(row, min_size=0, max_size=12)
 
 
-def brute_force(rows, name_first=False):
-    """Columns (name -> data_type, description, sort_order, is_partition) by walking the rows in order."""
-    cols, position, in_partitions = {}, 0, False
-    for name, dtype, comment in rows:
-        if name == "" or "#" in name:
-            in_partitions = True
-            continue
-        if not in_partitions:
-            cols[name] = [dtype, comment or None, position, False]
-            position += 1
-            continue
-        order = (name, dtype) if name_first else (dtype, name)
-        for candidate in order:
-            if candidate in cols:
-                cols[candidate][3] = True
-                break
-    return {k: tuple(v) for k, v in cols.items()}
+def expected(rows, name_first=False):
+    """What the rules say, by slicing: the first marker cuts the output in two; of each name in the upper part
+    the last row holds; a name is a partition if some row of the lower part picks it among the names."""
+    marked = ["#" in name or not name for name, _, _ in rows]
+    cut = marked.index(True) if any(marked) else len(rows)
+    upper = {name: i for i, (name, _, _) in enumerate(rows[:cut])}
+    lower = [r for r, m in zip(rows[cut:], marked[cut:], strict=True) if not m]
+    picks = ([n, t] if name_first else [t, n] for n, t, _ in lower)
+    parts = {next(iter([c for c in pick if c in upper]), None) for pick in picks}
+    return {name: (rows[i][1], rows[i][2] or None, i, name in parts) for name, i in upper.items()}
 
 
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(tables=st.lists(table, min_size=1, max_size=4), block=st.sampled_from([1, 2, 3, 1 << 14]),
        name_first=st.booleans())
-def test_columns_match_brute_force(spark, tables, block, name_first):
+def test_columns_match_the_rules(spark, tables, block, name_first):
     data = []
     for t, rows in enumerate(tables):
         # Line numbers with gaps and an offset: only their order matters.
@@ -46,6 +39,6 @@ def test_columns_match_brute_force(spark, tables, block, name_first):
     got = {}
     for r in D.partition_columns(D.annotate_describe(df, block_size=block), match=match).collect():
         got.setdefault(r.table_name, {})[r.col_name] = (r.data_type, r.description, r.sort_order, r.is_partition)
-    want = {f"t{t}": brute_force(rows, name_first) for t, rows in enumerate(tables)}
+    want = {f"t{t}": expected(rows, name_first) for t, rows in enumerate(tables)}
     want = {k: v for k, v in want.items() if v}
     assert got == want
