@@ -54,6 +54,7 @@ MANIFEST = "_manifest.json"
 MAX_FILE_BYTES = 256 << 20
 SPLIT_BYTES = 16 << 20
 READ_BYTES = 64 << 10
+HEAD_BYTES = 2 << 10  # read and inflated at once while headers are looked for
 
 
 def _store(path: str) -> tuple[pafs.FileSystem, str]:
@@ -220,16 +221,16 @@ class _Member:
         self.next_read += len(got)
         return got
 
-    def _more(self) -> bool:
+    def _more(self, step: int = READ_BYTES) -> bool:
         if self.ended:
             return False
-        raw, self.pending = self.pending or self._raw(READ_BYTES), b""
+        raw, self.pending = self.pending or self._raw(step), b""
         if not raw:
             self.ended = True
         elif not self.zipped:
             self.data += raw
         else:
-            self.data += self.inflate.decompress(raw, READ_BYTES)
+            self.data += self.inflate.decompress(raw, step)
             self.pending = self.inflate.unconsumed_tail
             if self.inflate.eof:
                 self.ended = True
@@ -239,7 +240,7 @@ class _Member:
     def until(self, mark: bytes, first: int) -> int:
         """The end of the first ``mark`` at or after ``first``; -1 if there is none."""
         while (i := self.data.find(mark, first)) < 0:
-            if not self._more():
+            if not self._more(HEAD_BYTES):
                 return -1
         return i + len(mark)
 
