@@ -76,8 +76,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = _table(spark, sf_dir, "labels").where("toxic IS NOT NULL").select(F.col("doc_id").alias("label_id"), "toxic")
-    machine = toxicity.train(docs.where(~held_out()).join(labels, F.col("doc_id") == F.col("label_id")))
+    machine = toxicity.train(docs.where(~held_out()), _table(spark, sf_dir, "labels"))
     return toxicity.score(docs, machine).select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
