@@ -11,6 +11,7 @@ the operators' modules say; a null or letterless text ends at the first stage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from metaweave.llm import decontaminate, language_id, mixing, ngram_join, sharding
 from metaweave.llm.common import written
@@ -20,10 +21,15 @@ from metaweave.llm.queries import held_out
 MIN_KNOWN_SHARE = 0.2
 
 
+def _own_columns(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` alone, under their own names: operators keep them first and rename those that clash."""
+    return out.toDF(*[f"c{i}" for i in range(len(out.columns))]).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters and those in no learned language."""
     named = language_id.identify(docs, language_id.train(docs.where(~held_out())))
-    return named.where((named.lang_pred != language_id.UND) & (named.known_share >= MIN_KNOWN_SHARE)).select(*docs.columns)
+    return _own_columns(named.where((F.col("lang_pred") != language_id.UND) & (F.col("known_share") >= MIN_KNOWN_SHARE)), docs)
 
 
 def keep_one_of_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,12 +40,12 @@ def keep_one_of_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark window."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.remove_documents(decontaminate.scan_contamination(docs, benchmark))
+    return _own_columns(decontaminate.remove_documents(decontaminate.scan_contamination(docs, benchmark)), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replicates documents so that sources weigh as the square roots of their sizes; shuffles all copies."""
-    return mixing.poisson_mixture(docs).select(*docs.columns)
+    return _own_columns(mixing.poisson_mixture(docs), docs)
 
 
 def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

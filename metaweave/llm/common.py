@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metaweave.session import scratch_path
@@ -32,6 +32,11 @@ def free_names(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.toDF(*columns)
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once, which keeps nested expressions small."""
+    return F.transform(F.array(value), then)[0]
+
+
 def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written under ``spark.checkpoint.dir`` and read back: cuts the lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, f"llm-{name}")

@@ -22,13 +22,12 @@ Input columns named like an output column are renamed ``in_<name>``.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from metaweave.llm.common import free_names, written
+from metaweave.llm.common import free_names, let, written
 
 SHARDS = 24
 SEED = 6174
@@ -41,11 +40,6 @@ def _uniform(*parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") / F.lit(2.0**53)
 
 
-def _let(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then(value)`` with the value computed once, which keeps nested expressions small."""
-    return F.transform(F.array(value), then)[0]
-
-
 def _ln_factorials(xs: Column) -> Column:
     """ln(x!) of an array of numbers by Stirling's series, shifted by eight so that it holds to double precision from 0 on."""
     def one(x: Column) -> Column:
@@ -75,14 +69,14 @@ def hypergeometric(population: Column, marked: Column, draws: Column, u: Column)
             def step(s: Column, _: Column) -> Column:
                 p = s["p"] * (m - s["k"]) * (d - s["k"]) / ((s["k"] + 1) * (n - m - d + s["k"] + 1))
                 return F.when(s["c"] > v["u"], s).otherwise(
-                    _let(p, lambda q: F.struct((s["k"] + 1).alias("k"), q.alias("p"), (s["c"] + q).alias("c"))))
+                    let(p, lambda q: F.struct((s["k"] + 1).alias("k"), q.alias("p"), (s["c"] + q).alias("c"))))
 
             steps = F.when(v["last"] > first, F.sequence(F.lit(1).cast("long"), (v["last"] - first).cast("long"))).otherwise(
                 F.array().cast("array<long>"))
-            begin = _let(start, lambda p: F.struct(first.alias("k"), p.alias("p"), p.alias("c")))
+            begin = let(start, lambda p: F.struct(first.alias("k"), p.alias("p"), p.alias("c")))
             return F.aggregate(steps, begin, step)["k"].cast("long")
 
-        return _let(_ln_factorials(F.array(m, first, m - first, n - m, d - first, n - m - d + first, n, d, n - d)), run)
+        return let(_ln_factorials(F.array(m, first, m - first, n - m, d - first, n - m - d + first, n, d, n - d)), run)
 
     def bound(v: Column) -> Column:
         n, m, d = v["n"], v["m"], v["d"]
@@ -96,10 +90,10 @@ def hypergeometric(population: Column, marked: Column, draws: Column, u: Column)
                 F.greatest(low, F.floor(w["mean"] - w["spread"]).cast("double")).alias("first"),
                 F.least(high, F.ceil(w["mean"] + w["spread"]).cast("double")).alias("last"))
 
-        return _let(F.struct(mean.alias("mean"), (12 * F.sqrt(F.greatest(F.lit(0.0), variance)) + 12).alias("spread")), clip)
+        return let(F.struct(mean.alias("mean"), (12 * F.sqrt(F.greatest(F.lit(0.0), variance)) + 12).alias("spread")), clip)
 
     given = F.struct(population.cast("double").alias("n"), marked.cast("double").alias("m"), draws.cast("double").alias("d"), u.alias("u"))
-    return _let(_let(given, bound), search)
+    return let(let(given, bound), search)
 
 
 def communication_matrix(blocks: DataFrame, rows: int, shards: int, levels: int, seed: int = SEED) -> DataFrame:
@@ -119,7 +113,7 @@ def communication_matrix(blocks: DataFrame, rows: int, shards: int, levels: int,
         def deal(state, shard):
             cap = F.element_at(F.col("to"), shard + 1)
             k = hypergeometric(state["left_over"], cap, state["draws"], _uniform(F.lit(seed), F.col("node"), shard))
-            return _let(k, lambda x: F.struct(
+            return let(k, lambda x: F.struct(
                 (state["left_over"] - cap).alias("left_over"), (state["draws"] - x).alias("draws"), F.concat(state["to"], F.array(x)).alias("to")))
 
         drawn = F.aggregate(F.sequence(F.lit(0), F.lit(shards - 1)), begin, deal)["to"]
