@@ -10,10 +10,13 @@ are merged first and carried as one set with a number of copies.
   probability s, so at least one of their paths survives any depth with probability
   ``q = (2s - 1) / s**2`` or more; as many independent runs as the target recall needs.
 * All sets descend ``FIRST_DEPTH`` levels at once.  Nodes of one set end, nodes of at most
-  ``SMALL`` sets are compared pair by pair, larger ones are split again.  Nodes still larger at
-  ``LAST_DEPTH`` hold sets that truly are alike: they are dealt into blocks and compared block
-  against block, so nothing is capped or dropped.  The comparison uses the sampled tokens with
-  a slack of ``SLACK`` under the threshold and leaves a spanning forest of each node, never its pairs.
+  ``SMALL`` sets are compared pair by pair.  In larger ones ``PIVOT_ROUNDS`` rounds compare every set with
+  the node's smallest one only: Jaccard distance is a metric, so a set at most ``SETTLED`` from that pivot has all
+  its partners at most that and the threshold's distance from it, and leaves the node once all of those are
+  linked to the pivot; a group of near copies is settled in a round or two, however large.  What is left is split again, and at
+  ``LAST_DEPTH`` dealt into blocks and compared block against block, so nothing is capped or dropped.
+  Comparisons use the sampled tokens with a slack of ``SLACK`` under the threshold and leave a spanning
+  forest of each node, never its pairs.
 * The forests' connected components are the candidate groups.  Inside each, all sets are
   compared exactly (block against block where a group is large), links are counted where they are
   found, and again only a spanning forest goes on.  Its components are the classes.
@@ -35,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metaweave.llm.common import connected_components, written
+from metaweave.llm.common import connected_components, sorted_groups, written
 from metaweave.llm.tokens import Tokenizer, chunks, mix, starts_within, utf8, windows
 
 WORDS = 5
@@ -43,9 +46,11 @@ THRESHOLD = 0.8
 RECALL = 0.999
 COORDINATES = 64
 BRANCHES = 2
-FIRST_DEPTH = 3
+FIRST_DEPTH = 2
 LAST_DEPTH = 5
 SMALL = 64
+PIVOT_ROUNDS = 2
+SETTLED = 0.3
 BLOCK_SETS = 192
 BLOCK_SHINGLES = 200_000
 SLACK = 0.12
@@ -147,26 +152,6 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(sets[row])], names=["path", "set_id"])
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Runs of equal first columns of sorted batches, whole even where a run crosses batches."""
-    rest = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        if rest is not None:
-            table = pa.concat_tables([rest, table])
-        key = np.asarray(table.column(0).combine_chunks())
-        cut = np.flatnonzero(key[1:] != key[:-1]) + 1
-        edges = [0, *cut.tolist()]
-        table = table.combine_chunks()
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            yield table.slice(a, b - a)
-        rest = table.slice(edges[-1])
-    if rest is not None and rest.num_rows:
-        yield rest
-
-
 def _roots(linked: np.ndarray) -> np.ndarray:
     """For each row of a symmetric link matrix the smallest row it is connected to."""
     label = np.arange(len(linked))
@@ -185,7 +170,7 @@ def _compare_tokens(limit: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
-        for group in _groups(batches):
+        for group in sorted_groups(batches):
             if group.num_rows < 2:
                 continue
             sets, tokens = np.asarray(group.column(1)), _tokens(group.column(2).combine_chunks())
@@ -207,6 +192,32 @@ def _compare_tokens(limit: float):
     return run
 
 
+def _compare_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``mapInArrow``: path, set, pivot and both sketches to the number of sampled tokens that agree."""
+    for batch in batches:
+        agree = (_tokens(batch.column(3)) == _tokens(batch.column(4))).sum(axis=1)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(agree.astype(np.int32))], names=["path", "set_id", "pivot", "agree"])
+
+
+def _pivot_rounds(large: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame | None, list[DataFrame]]:
+    """What is left of large nodes after the rounds, and the links to pivots that were found."""
+    linked = math.ceil((threshold - SETTLED - SLACK) * COORDINATES)
+    settled = math.ceil((1 - SETTLED) * COORDINATES)
+    sketches, links = sets.select("set_id", "sketch"), []
+    for _ in range(PIVOT_ROUNDS):
+        if large.isEmpty():
+            return None, links
+        pivots = large.groupBy("path").agg(F.min("set_id").alias("pivot")).join(
+            sketches.select(F.col("set_id").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot")
+        met = large.select("path", "set_id").join(sketches, "set_id").join(pivots, "path")
+        met = met.select("path", "set_id", "pivot", "sketch", "pivot_sketch")
+        met = written(met.mapInArrow(_compare_pivot, "path long, set_id long, pivot long, agree int"), "pivots")
+        links.append(met.where((F.col("agree") >= linked) & (F.col("set_id") != F.col("pivot"))).select(
+            F.col("set_id").alias("a"), F.col("pivot").alias("b")))
+        large = met.where(F.col("agree") < settled).select("path", "set_id")
+    return large, links
+
+
 def _blocks(members: DataFrame, group: str, blocks: str) -> DataFrame:
     """Deals each group's sets into ``blocks`` blocks and gives every pair of blocks one row set.
 
@@ -227,17 +238,19 @@ def _by_task(df: DataFrame, key: str) -> DataFrame:
 def candidates(sets: DataFrame, runs: int, threshold: float) -> DataFrame:
     """Links ``a``, ``b`` (a spanning forest of every leaf) between sets that may be similar."""
     nodes = sets.select("set_id", "sketch").mapInArrow(_first_nodes(runs, FIRST_DEPTH), "path long, set_id long")
-    leaves = []
+    leaves, links = [], []
     for depth in range(FIRST_DEPTH, LAST_DEPTH + 1):
         nodes = written(nodes, "nodes")
         shared = nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         shared = written(nodes.join(shared, "path"), "shared-nodes")
         leaves.append(shared.where(F.col("n") <= SMALL).select("path", "set_id"))
-        large = shared.where(F.col("n") > SMALL)
+        large, found = _pivot_rounds(shared.where(F.col("n") > SMALL), sets, threshold)
+        links += found
         if depth == LAST_DEPTH:
-            large = large.withColumn("blocks", F.ceil(F.col("n") / BLOCK_SETS))
-            leaves.append(_blocks(large, "path", "blocks").select(F.col("task").alias("path"), "set_id").distinct())
-        elif large.isEmpty():
+            if large is not None:
+                sizes = large.groupBy("path").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("blocks"))
+                leaves.append(_blocks(large.join(sizes, "path"), "path", "blocks").select(F.col("task").alias("path"), "set_id").distinct())
+        elif large is None:
             break
         else:
             nodes = large.select("path", "set_id").join(sets.select("set_id", "sketch"), "set_id")
@@ -246,7 +259,10 @@ def candidates(sets: DataFrame, runs: int, threshold: float) -> DataFrame:
     for more in leaves[1:]:
         met = met.union(more)
     met = met.join(sets.select("set_id", "sketch"), "set_id").select("path", "set_id", "sketch")
-    return _by_task(met, "path").mapInArrow(_compare_tokens(threshold - SLACK), "a long, b long").distinct()
+    found = _by_task(met, "path").mapInArrow(_compare_tokens(threshold - SLACK), "a long, b long")
+    for more in links:
+        found = found.union(more)
+    return found.distinct()
 
 
 def _shingle_rows(size: int):
@@ -293,7 +309,7 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
 def _verify(threshold: float):
     """``mapInArrow`` over tasks: each set's links found in the task, and a set it is connected to."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches):
+        for group in sorted_groups(batches):
             ids, at = np.unique(np.asarray(group.column("set_id")), return_index=True)
             if len(ids) < 2:
                 continue
