@@ -8,15 +8,16 @@ are merged first and carried as one set with a number of copies.
   ``BRANCHES`` coordinates by a hash of its path, and every set in it goes on to one child for
   each, named by the token it has there.  Two sets of similarity s share a sampled token with
   probability s, so at least one of their paths survives any depth with probability
-  ``q = (2s - 1) / s**2`` or more; as many independent runs as the target recall needs.
+  ``q = (2s - 1) / s**2`` or more.  All runs share the sampled tokens, of which s is a binomial share, so
+  ``runs_for`` sums the loss over all shares; as many runs as the target recall needs.
 * All sets descend ``FIRST_DEPTH`` levels at once.  Nodes of one set end, nodes of at most
   ``SMALL`` sets are compared pair by pair.  In larger ones ``PIVOT_ROUNDS`` rounds compare every set with
   the node's smallest one only: Jaccard distance is a metric, so a set at most ``SETTLED`` from that pivot has all
   its partners at most that and the threshold's distance from it, and leaves the node once all of those are
   linked to the pivot; a group of near copies is settled in a round or two, however large.  What is left is split again, and at
   ``LAST_DEPTH`` dealt into blocks and compared block against block, so nothing is capped or dropped.
-  Comparisons use the sampled tokens with a slack of ``SLACK`` under the threshold and leave a spanning
-  forest of each node, never its pairs.
+  Comparisons ask for so many equal sampled tokens that this costs half of the allowed loss at most
+  (``agreement``), and leave a spanning forest of each node, never its pairs.
 * The forests' connected components are the candidate groups.  Inside each, all sets are
   compared exactly (block against block where a group is large), links are counted where they are
   found, and again only a spanning forest goes on.  Its components are the classes.
@@ -53,15 +54,41 @@ PIVOT_ROUNDS = 2
 SETTLED = 0.3
 BLOCK_SETS = 192
 BLOCK_SHINGLES = 200_000
-SLACK = 0.12
 
 _COORDINATE_SEED = 0xA0761D6478BD642F
 
 
+def _share(threshold: float) -> list[float]:
+    """The probability of each number of sampled tokens that a pair at the threshold shares."""
+    return [math.comb(COORDINATES, k) * threshold**k * (1 - threshold)**(COORDINATES - k) for k in range(COORDINATES + 1)]
+
+
+def agreement(recall: float, threshold: float) -> int:
+    """Sampled tokens two sets must share to be verified; a pair at the threshold misses it in half of the allowed losses at most."""
+    below, share = 0.0, _share(threshold)
+    for need in range(COORDINATES + 1):
+        below += share[need]
+        if below > (1 - recall) / 2:
+            return need
+    return COORDINATES
+
+
+def loss(runs: int, need: int, threshold: float) -> float:
+    """The probability that a pair at the threshold shares less than ``need`` sampled tokens or no path in any run, at most."""
+    share = _share(threshold)
+    met = 0.0
+    for k in range(need, COORDINATES + 1):
+        s = k / COORDINATES
+        met += share[k] * (1 - (1 - max(0.0, 2 * s - 1) / s**2)**runs if s else 0.0)
+    return 1 - met
+
+
 def runs_for(recall: float, threshold: float) -> int:
-    """Runs after which a pair at the threshold was met with probability ``recall``."""
-    survive = (2 * threshold - 1) / threshold**2
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - survive))) if survive < 1 else 1
+    """Runs after which a pair at the threshold was met and sent to be verified with probability ``recall``."""
+    need, runs = agreement(recall, threshold), 1
+    while runs < COORDINATES and loss(runs, need, threshold) > 1 - recall + 1e-12:
+        runs += 1
+    return runs
 
 
 def shingles(tokenizer: Tokenizer, data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -164,10 +191,8 @@ def _roots(linked: np.ndarray) -> np.ndarray:
         label = low
 
 
-def _compare_tokens(limit: float):
-    """``mapInArrow`` over nodes sorted by path: a spanning forest of the sets whose sampled tokens agree."""
-    need = math.ceil(limit * COORDINATES - 1e-9)
-
+def _compare_tokens(need: int):
+    """``mapInArrow`` over nodes sorted by path: a spanning forest of the sets that share ``need`` sampled tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         for group in sorted_groups(batches):
@@ -199,10 +224,13 @@ def _compare_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(agree.astype(np.int32))], names=["path", "set_id", "pivot", "agree"])
 
 
-def _pivot_rounds(large: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame | None, list[DataFrame]]:
-    """What is left of large nodes after the rounds, and the links to pivots that were found."""
-    linked = math.ceil((threshold - SETTLED - SLACK) * COORDINATES)
+def _pivot_rounds(large: DataFrame, sets: DataFrame, need: int) -> tuple[DataFrame | None, list[DataFrame]]:
+    """What is left of large nodes after the rounds, and the links to pivots that were found.
+
+    A partner of a settled set differs from the pivot in the tokens in which the two differ from the settled set, at most.
+    """
     settled = math.ceil((1 - SETTLED) * COORDINATES)
+    linked = max(0, need - (COORDINATES - settled))
     sketches, links = sets.select("set_id", "sketch"), []
     for _ in range(PIVOT_ROUNDS):
         if large.isEmpty():
@@ -235,8 +263,9 @@ def _by_task(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(F.col(key)).sortWithinPartitions(key)
 
 
-def candidates(sets: DataFrame, runs: int, threshold: float) -> DataFrame:
+def candidates(sets: DataFrame, runs: int, threshold: float, recall: float = RECALL) -> DataFrame:
     """Links ``a``, ``b`` (a spanning forest of every leaf) between sets that may be similar."""
+    need = agreement(recall, threshold)
     nodes = sets.select("set_id", "sketch").mapInArrow(_first_nodes(runs, FIRST_DEPTH), "path long, set_id long")
     leaves, links = [], []
     for depth in range(FIRST_DEPTH, LAST_DEPTH + 1):
@@ -244,7 +273,7 @@ def candidates(sets: DataFrame, runs: int, threshold: float) -> DataFrame:
         shared = nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         shared = written(nodes.join(shared, "path"), "shared-nodes")
         leaves.append(shared.where(F.col("n") <= SMALL).select("path", "set_id"))
-        large, found = _pivot_rounds(shared.where(F.col("n") > SMALL), sets, threshold)
+        large, found = _pivot_rounds(shared.where(F.col("n") > SMALL), sets, need)
         links += found
         if depth == LAST_DEPTH:
             if large is not None:
@@ -259,7 +288,7 @@ def candidates(sets: DataFrame, runs: int, threshold: float) -> DataFrame:
     for more in leaves[1:]:
         met = met.union(more)
     met = met.join(sets.select("set_id", "sketch"), "set_id").select("path", "set_id", "sketch")
-    found = _by_task(met, "path").mapInArrow(_compare_tokens(threshold - SLACK), "a long, b long")
+    found = _by_task(met, "path").mapInArrow(_compare_tokens(need), "a long, b long")
     for more in links:
         found = found.union(more)
     return found.distinct()
@@ -339,7 +368,7 @@ def join_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     sets = written(rows.where("doc_id IS NOT NULL AND set_id IS NOT NULL").groupBy("set_id").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"),
         F.first("sketch").alias("sketch")), "sets")
-    groups = connected_components(candidates(sets, runs_for(recall, threshold), threshold))
+    groups = connected_components(candidates(sets, runs_for(recall, threshold), threshold, recall))
 
     member = groups.select(F.col("node").alias("set_id"), F.col("component").alias("candidate")).join(sets.drop("sketch"), "set_id")
     member = written(member, "candidates")

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -64,6 +65,32 @@ def test_recall_at_the_threshold():
     assert met >= 0.99
 
 
+def test_recall_of_candidates_at_the_threshold(spark):
+    """Isolated pairs right at the threshold come out of the whole candidate search, token comparison included."""
+    rng = np.random.default_rng(2)
+    pairs = 10_000
+    tokens = rng.integers(1 << 32, size=(2 * pairs, N.COORDINATES), dtype=np.uint64).astype(np.uint32)
+    agree = rng.random((pairs, N.COORDINATES)) < N.THRESHOLD
+    tokens[1::2][agree] = tokens[::2][agree]
+    sets = spark.createDataFrame([(i, bytearray(t.tobytes())) for i, t in enumerate(tokens)], "set_id long, sketch binary")
+    found = N.candidates(sets, N.runs_for(N.RECALL, N.THRESHOLD), N.THRESHOLD).collect()
+    met = {r.a // 2 for r in found if r.a // 2 == r.b // 2}
+    assert len(met) >= 0.998 * pairs
+    assert N.loss(N.runs_for(N.RECALL, N.THRESHOLD), N.agreement(N.RECALL, N.THRESHOLD), N.THRESHOLD) <= 1 - N.RECALL
+
+
+def test_partners_of_a_settled_set_are_linked_to_the_pivot(spark):
+    """Set 1 is as far from the pivot 0 as a settled set may be, set 2 as far from set 1 as a partner may be."""
+    need, far = N.agreement(N.RECALL, N.THRESHOLD), N.COORDINATES - math.ceil((1 - N.SETTLED) * N.COORDINATES)
+    tokens = np.zeros((3, N.COORDINATES), np.uint32)
+    tokens[1, :far] = 1
+    tokens[2, :far + N.COORDINATES - need] = 1
+    sets = spark.createDataFrame([(i, bytearray(t.tobytes())) for i, t in enumerate(tokens)], "set_id long, sketch binary")
+    large = spark.createDataFrame([(7, i) for i in range(3)], "path long, set_id long")
+    _, links = N._pivot_rounds(large, sets, need)
+    assert {(r.a, r.b) for r in links[0].collect()} == {(1, 0), (2, 0)}
+
+
 def test_keep_one(docs, odd_docs, no_docs):
     base = prose(60, 1)
     kept = N.keep_one(docs([base, base, variants(base, 1, 1, 1)[0], prose(60, 2), None, ""])).collect()
