@@ -16,7 +16,9 @@ Texts are UTF-8 bytes; matches never cross documents, and strings are judged on
 * Marked strings return to their documents as (start, number of strings), and their bytes are cut out.
 
 A piece elected by more than ``MAX_CONTEXTS`` different contexts (a short line that a third of all documents carry) is split:
-its contexts go on string by string, each routed by its own hash, so no block outgrows a task.  Block text is bounded by ``BLOCK_BYTES``.
+its strings are told apart by 128-bit hashes alone: the earliest place of each is a minimum with map-side combine, and all
+other places, found by an anti join on the place, are marked.  None of their bytes move, and no task sees all places of a
+string.  Other pieces' blocks end at the first piece beyond ``BLOCK_BYTES``.
 
 Defined results: a null text is empty; a text shorter than ``LENGTH`` keeps all its bytes; a null id sorts before all
 others; rows that repeat an id and text are one document and get the same result; rows with the same id and other texts
@@ -259,18 +261,23 @@ def _index(length: int, block_bytes: int):
     return run
 
 
+def _wanted(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """Row, document, route, place, start and number of strings of every wanted context of a batch."""
+    docs, wanted = np.asarray(batch.column("doc")), batch.column("wanted")
+    bounds, flat = np.asarray(wanted.offsets), wanted.flatten()
+    route, place = (np.asarray(flat.field(i)) for i in range(2))
+    for r in range(batch.num_rows):
+        for i in range(bounds[r] - bounds[0], bounds[r + 1] - bounds[0]):
+            p = int(place[i])
+            yield r, docs[r], route[i], p, (p >> 8) & 0xFFFFFFFF, p & 127
+
+
 def _fetch(length: int):
-    """``mapInArrow``: text and wanted contexts to context bytes; split contexts go string by string."""
+    """``mapInArrow``: text and wanted contexts to context bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             raw = data.tobytes()
-            docs = np.asarray(batch.column("doc"))
-            wanted = batch.column("wanted")
-            bounds = np.asarray(wanted.offsets)
-            flat = wanted.flatten()
-            route, place, split = (np.asarray(flat.field(i)) for i in range(3))
-            base = bounds[0]
             keys, doc, places, own = [], [], [], []
 
             def out():
@@ -279,25 +286,13 @@ def _fetch(length: int):
                     names=["key", "doc", "place", "bytes"])
 
             held = 0
-            for r in range(batch.num_rows):
-                for i in range(bounds[r] - base, bounds[r + 1] - base):
-                    p = int(place[i])
-                    start, count = (p >> 8) & 0xFFFFFFFF, p & 127
-                    at = int(offsets[r]) + start
-                    if split[i]:
-                        for j in range(count):
-                            string = raw[at + j:at + j + length]
-                            keys.append(hash_bytes(string))
-                            doc.append(docs[r])
-                            places.append((p >> 40 << 40) | (start + j) << 8 | 1)
-                            own.append(string)
-                            held += length
-                    else:
-                        keys.append(route[i])
-                        doc.append(docs[r])
-                        places.append(p)
-                        own.append(raw[at:at + count - 1 + length])
-                        held += count + length
+            for r, d, route, p, start, count in _wanted(batch):
+                at = int(offsets[r]) + start
+                keys.append(route)
+                doc.append(d)
+                places.append(p)
+                own.append(raw[at:at + count - 1 + length])
+                held += count + length
                 if held >= 8 << 20:
                     yield out()
                     keys, doc, places, own, held = [], [], [], [], 0
@@ -306,11 +301,39 @@ def _fetch(length: int):
     return run
 
 
-def hash_bytes(string: bytes) -> int:
-    """A signed 64-bit hash that is the same in every process."""
+def _strings(length: int):
+    """``mapInArrow``: text and wanted contexts to one row a string: its hash (two longs) and place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column("text"))
+            raw = data.tobytes()
+            hashes, doc, places = [], [], []
+
+            def out():
+                h = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(doc, pa.int64()), pa.array(places, pa.int64())],
+                    names=["key", "check", "doc", "place"])
+
+            for r, d, _, p, start, count in _wanted(batch):
+                at = int(offsets[r]) + start
+                for j in range(count):
+                    hashes.append(hash_bytes(raw[at + j:at + j + length]))
+                    doc.append(d)
+                    places.append((p >> 40 << 40) | (start + j) << 8 | 1)
+                if len(doc) >= 1 << 16:
+                    yield out()
+                    hashes, doc, places = [], [], []
+            if doc:
+                yield out()
+    return run
+
+
+def hash_bytes(string: bytes) -> bytes:
+    """A 128-bit hash that is the same in every process."""
     import hashlib
 
-    return int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little", signed=True)
+    return hashlib.blake2b(string, digest_size=16).digest()
 
 
 def _key(doc_id: str, text: str) -> list[Column]:
@@ -336,13 +359,24 @@ def repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     copied = found.where("kind = 'copy'").select("doc", F.shiftrightunsigned("place", 40).alias("crc"), start.alias("start"),
                                                  F.col("place").bitwiseAND(F.lit(127)).alias("count"))
     wanted = found.where("kind = 'index'").select("doc", F.shiftrightunsigned("place", 40).alias("crc"), "route", "place", "split").distinct()
-    blocks = max(1, -(-wanted.count() * 2 * length // block_bytes))
-    wanted = wanted.groupBy("doc", "crc").agg(F.collect_list(F.struct("route", "place", "split")).alias("wanted"))
-    texts = given.join(wanted, ["doc", "crc"]).dropDuplicates(["doc", "crc"]).select("doc", "text", "wanted")
-    parts = texts.mapInArrow(_fetch(length), "key long, doc long, place long, bytes binary")
+    whole = wanted.where(~F.col("split"))
+    blocks = max(1, -(-whole.count() * 2 * length // block_bytes))
+
+    def texts(contexts: DataFrame) -> DataFrame:
+        own = contexts.groupBy("doc", "crc").agg(F.collect_list(F.struct("route", "place")).alias("wanted"))
+        return given.join(own, ["doc", "crc"]).dropDuplicates(["doc", "crc"]).select("doc", "text", "wanted")
+
+    parts = texts(whole).mapInArrow(_fetch(length), "key long, doc long, place long, bytes binary")
     parts = parts.repartition(blocks, "key").sortWithinPartitions("key")
-    marked = parts.mapInArrow(_index(length, block_bytes), "doc long, crc long, start long, count long")
-    return copied.unionByName(marked)
+    marked = copied.unionByName(parts.mapInArrow(_index(length, block_bytes), "doc long, crc long, start long, count long"))
+    hot = wanted.where("split")
+    if hot.isEmpty():
+        return marked
+    strings = texts(hot).mapInArrow(_strings(length), "key long, check long, doc long, place long")
+    strings = written(strings, "strings")
+    first = strings.groupBy("key", "check").agg(F.min(F.struct("doc", "place")).alias("first")).select("first.*")
+    later = strings.select("doc", "place").join(first, ["doc", "place"], "left_anti")
+    return marked.unionByName(later.select("doc", F.shiftrightunsigned("place", 40).alias("crc"), start.alias("start"), F.lit(1).cast("long").alias("count")))
 
 
 OUT = T.StructType([

@@ -74,3 +74,21 @@ def test_odd_rows(odd_docs, no_docs):
     assert [len(r.removed_spans) for r in by[1]] == [0, 0]  # a repeated row is the same document
     assert bytes(by[2][0].kept) == b"" and bytes(by[3][0].kept) == b"" and bytes(by[9][0].kept) == b"a"  # every later run of 100 starts after the first byte
     assert S.remove_repeats(no_docs).count() == 0
+
+
+def test_a_string_with_many_contexts_meets_in_no_task(docs, monkeypatch):
+    """A footer with other text around it everywhere: the frame that goes into the blocks holds none of its copies."""
+    rng = random.Random(8)
+    footer = prose(40, 70)[:150]
+    texts = [f"{rng.getrandbits(400):x}{footer}{rng.getrandbits(400):x}" for _ in range(120)]
+    df, sent = docs(texts), []
+    frame, plain = type(df), type(df).mapInArrow
+
+    def spied(self, func, *args, **options):
+        if func.__qualname__.startswith("_index."):
+            sent.append(self.groupBy("key").count().agg({"count": "max"}).first()[0] or 0)
+        return plain(self, func, *args, **options)
+
+    monkeypatch.setattr(frame, "mapInArrow", spied)
+    assert spans(df, max_contexts=10) == S.brute_force(list(enumerate(texts)))
+    assert sent and max(sent) <= 10
