@@ -7,13 +7,12 @@ from metaweave.functions.exprs import (
     node_key,
     tokens,
 )
-from metaweave.functions.ordered import block_ordinal, ordered_collect, ordered_join, quantile_block
+from metaweave.functions.ordered import block_ordinal, ordered_collect, ordered_join, range_ordinal
 from metaweave.functions.sizing import at_most, broadcast_if_small
 
 __all__ = [
     "at_most",
     "block_ordinal",
-    "quantile_block",
     "broadcast_if_small",
     "epoch_seconds",
     "escape_key_part",
@@ -23,5 +22,6 @@ __all__ = [
     "node_key",
     "ordered_collect",
     "ordered_join",
+    "range_ordinal",
     "tokens",
 ]

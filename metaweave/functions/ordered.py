@@ -7,36 +7,70 @@ the value of its integer order column: ``block = floor(order / block_size)``.
 When the order column is unique inside a group (a line number, a sort order,
 a listing ordinal) a block holds at most ``block_size`` rows, whatever the
 size of the group.  Per-block work runs in parallel; only per-block summaries
-(one row per block) are combined per group.
+(one row per block) are combined per group.  Where order values may repeat, be
+null or be sparse, :func:`range_ordinal` cuts ranges of the data instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from metaweave.functions.sizing import broadcast_if_small
+from metaweave.session import materialize
+
 DEFAULT_BLOCK = 1 << 14
 
 _BLK, _CNT, _OFF = "_mw_blk", "_mw_cnt", "_mw_off"
+_TIE, _PLACE, _RANGE, _FIRST = "_mw_tie", "_mw_place", "_mw_range", "_mw_first"
+#: Lower bits of ``monotonically_increasing_id``: the place in the partition, whose number stands above them.
+_PLACE_BITS = 33
 
 
 def block_of(order: str, block_size: int):
     return F.floor(F.col(order) / F.lit(block_size)).cast("long")
 
 
-def quantile_block(df: DataFrame, order: str, name: str, blocks: int = 1024) -> DataFrame:
-    """Add ``name``: a block number by quantiles of ``order``.  Blocks hold about equally many rows however
-    sparse or clustered the values are; equal values share a block, nulls come before all others.
+def range_ordinal(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str | Column],
+    name: str = "ordinal",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Add ``name``: the 0-based dense position of each row in its ``by`` group by ``order``.
 
-    The quantiles are a scalar subquery of one row, so nothing runs while a query is built.
+    Rows are dealt into ranges of ``(by, order)``, sorted inside each range and
+    written to the shared folder; a row's place in its range plus the number of
+    rows of its group in earlier ranges is its position, so nothing is shuffled
+    again.  The place in the input is the last order column: rows whose order
+    columns are all equal still spread over ranges, and a group or a tie of any
+    size is shared by many tasks.  Null groups and null order values come first.
+
+    The input should be a scan or a written hand-off with row-wise steps on top:
+    the place of a row is then the same when a lost task runs again.
     """
-    shares = [i / blocks for i in range(1, blocks)]
-    cuts = df.agg(F.percentile_approx(order, shares, 10 * blocks)).scalar()
-    below = F.size(F.filter("_mw_cuts", lambda c: c < F.col(order)))
-    return df.withColumn("_mw_cuts", cuts).withColumn(
-        name, F.when(F.col(order).isNull() | F.col("_mw_cuts").isNull(), -1).otherwise(below).cast("long")).drop("_mw_cuts")
+    by, columns = list(by), df.columns
+    order = [c if isinstance(c, Column) else F.col(c) for c in order]
+    dealt = [*[F.col(c) for c in by], *order, F.col(_TIE)]
+    placed = df.withColumn(_TIE, F.monotonically_increasing_id())
+    placed = placed.repartitionByRange(partitions, *dealt) if partitions else placed.repartitionByRange(*dealt)
+    placed = placed.sortWithinPartitions(*dealt).withColumn(_PLACE, F.monotonically_increasing_id()).drop(_TIE)
+    placed = materialize(placed, "ordinals").withColumns({
+        _RANGE: F.shiftright(_PLACE, _PLACE_BITS), _PLACE: F.col(_PLACE).bitwiseAND((1 << _PLACE_BITS) - 1)})
+    ranges = placed.groupBy(*by, _RANGE).agg(F.count(F.lit(1)).alias(_CNT), F.min(_PLACE).alias(_FIRST))
+    before = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    keys = [f"_mw_key{i}" for i in range(len(by))]
+    offsets = ranges.select(
+        *[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col(_RANGE).alias("_mw_of"),
+        (F.coalesce(F.sum(_CNT).over(before), F.lit(0)) - F.col(_FIRST)).alias(_OFF))
+    same = F.col(_RANGE) == F.col("_mw_of")
+    for c, k in zip(by, keys, strict=True):
+        same = same & F.col(c).eqNullSafe(F.col(k))
+    # One row a range and group: few, unless there are very many groups.
+    return placed.join(broadcast_if_small(offsets), same).withColumn(name, F.col(_OFF) + F.col(_PLACE)).select(*columns, name)
 
 
 def block_ordinal(
@@ -46,18 +80,16 @@ def block_ordinal(
     name: str = "ordinal",
     block_size: int = DEFAULT_BLOCK,
     tiebreak: Sequence[str] = (),
-    block: str | None = None,
 ) -> DataFrame:
     """Add ``name``: the 0-based position of each row in its ``by`` group by ``order``.
 
     Equivalent to ``row_number() OVER (PARTITION BY by ORDER BY order) - 1``
     (nulls first, null group keys form a group), but the window runs per (group, block).  With an empty
     ``by`` this is a dense global numbering whose only single-task step sees
-    one row per block.  ``block`` names a column that replaces the default block (by
-    value) where ordinals may be sparse; it must not decrease with ``order``.
+    one row per block.
     """
     by = list(by)
-    numbered = df.withColumn(_BLK, F.coalesce(F.col(block) if block else block_of(order, block_size), F.lit(-(1 << 62))))
+    numbered = df.withColumn(_BLK, F.coalesce(block_of(order, block_size), F.lit(-(1 << 62))))
     counts = numbered.groupBy(*by, _BLK).agg(F.count(F.lit(1)).alias(_CNT))
     before = Window.partitionBy(*by).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
     keys = [f"_mw_key{i}" for i in range(len(by))]

@@ -3,12 +3,12 @@ schema signatures and snapshot diffs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metaweave.functions.exprs import epoch_seconds
-from metaweave.functions.ordered import block_ordinal, ordered_collect, ordered_join, quantile_block
+from metaweave.functions.ordered import ordered_collect, ordered_join, range_ordinal
 from metaweave.model import KIND_LAST_UPDATED, KIND_TABLE_METADATA, S, TABLE_KEYS, TB
 
 def table_metadata(tables: DataFrame, columns: DataFrame, database: str, cluster: str) -> tuple[DataFrame, DataFrame]:
@@ -53,42 +53,51 @@ def columns_text(column_records: DataFrame, name: str = "columns_text", sep: str
 def table_last_updated(table_records: DataFrame) -> DataFrame:
     """Item 14: (db, cluster, schema_name, table_name, last_updated_time_epoch) for
     tables with a last-modified time; whole seconds, fraction dropped."""
-    naive = isinstance(table_records.schema["last_modified"].dataType, T.TimestampNTZType)
     return table_records.where(F.col("last_modified").isNotNull()).select(
-        "db", "cluster", S, TB,
-        epoch_seconds("last_modified", naive=naive).alias("last_updated_time_epoch"),
-    )
+        "db", "cluster", S, TB, last_modified_epoch(table_records).alias("last_updated_time_epoch"))
 
 
-def emit_records(table_records: DataFrame, last_updated: DataFrame) -> DataFrame:
+def last_modified_epoch(table_records: DataFrame) -> Column:
+    """Epoch seconds of ``last_modified``, which may be a naive time or an instant."""
+    naive = isinstance(table_records.schema["last_modified"].dataType, T.TimestampNTZType)
+    return epoch_seconds("last_modified", naive=naive)
+
+
+def emit_records(table_records: DataFrame, last_updated: DataFrame | None = None) -> DataFrame:
     """Item 15: one record stream, each table's metadata record followed by its
     last-updated record, ordered by ``(table_ord, kind_ord)``.
 
-    No total sort happens here; :func:`number_records` adds a dense
-    ``emit_ord`` when a caller needs it.
+    Both records come from the table's own row, without a join; last-updated
+    records of another origin can be given as ``last_updated`` and then join
+    their tables.  No total sort happens here; :func:`number_records` adds a
+    dense ``emit_ord`` when a caller needs it.
     """
-    meta = table_records.select(
-        "table_ord", F.lit(0).alias("kind_ord"), F.lit(KIND_TABLE_METADATA).alias("record_kind"),
-        "db", "cluster", S, TB, "description", "is_view",
-    )
-    lu = last_updated.join(table_records.select(*TABLE_KEYS, "table_ord"), TABLE_KEYS).select(
-        "table_ord", F.lit(1).alias("kind_ord"), F.lit(KIND_LAST_UPDATED).alias("record_kind"),
-        "db", "cluster", S, TB, "last_updated_time_epoch",
-    )
-    return meta.unionByName(lu, allowMissingColumns=True)
+    meta = F.struct(
+        F.lit(0).alias("kind_ord"), F.lit(KIND_TABLE_METADATA).alias("record_kind"),
+        "description", "is_view", F.lit(None).cast("long").alias("last_updated_time_epoch"))
+    updated = F.struct(
+        F.lit(1).alias("kind_ord"), F.lit(KIND_LAST_UPDATED).alias("record_kind"),
+        F.lit(None).cast("string").alias("description"), F.lit(None).cast("boolean").alias("is_view"),
+        F.col("last_updated_time_epoch"))
+    if last_updated is None:
+        tables = table_records.withColumn("last_updated_time_epoch", last_modified_epoch(table_records))
+    else:
+        tables = table_records.join(last_updated.select(*TABLE_KEYS, "last_updated_time_epoch"), TABLE_KEYS, "left")
+    records = F.when(F.col("last_updated_time_epoch").isNull(), F.array(meta)).otherwise(F.array(meta, updated))
+    out = tables.select("table_ord", "db", "cluster", S, TB, F.inline(records))
+    return out.select("table_ord", "kind_ord", "record_kind", "db", "cluster", S, TB, "description", "is_view", "last_updated_time_epoch")
 
 
 def number_records(records: DataFrame, name: str = "emit_ord") -> DataFrame:
-    """Dense 1-based stream position in the order ``(table_ord, kind_ord)``, names breaking ties.
-
-    Ordinals may be sparse, repeated or null (null ordinals come first): the
-    stream is cut at quantiles of ``table_ord``, so no task holds more than
-    about a thousandth of it and no record is lost."""
-    keyed = records.withColumn("_mw_ord", F.col("table_ord") * 2 + F.col("kind_ord"))
-    ties = ["kind_ord", "db", "cluster", S, TB]
-    keyed = quantile_block(keyed, "_mw_ord", "_mw_part")
-    return block_ordinal(keyed, [], "_mw_ord", "_mw_pos", tiebreak=ties, block="_mw_part").select(
-        (F.col("_mw_pos") + 1).alias(name), *records.columns)
+    """Dense 1-based stream position in the order ``(table_ord, table, kind_ord)``.
+
+    Ordinals may be sparse, repeated or null (null ordinals come first): ranges
+    are cut on the whole order key, so records that share one ordinal, or are
+    equal altogether, spread over as many tasks as any others; a table's records
+    stay side by side."""
+    key = ["table_ord", "db", "cluster", S, TB, "kind_ord"]
+    numbered = range_ordinal(records, [], key, "_mw_pos")
+    return numbered.select((F.col("_mw_pos") + 1).alias(name), *records.columns)
 
 
 def table_signature(columns: DataFrame) -> DataFrame:

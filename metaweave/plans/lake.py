@@ -40,7 +40,7 @@ class LakeCatalog:
 
     @property
     def records(self) -> DataFrame:
-        return R.emit_records(self.table_records, self.last_updated)
+        return R.emit_records(self.table_records)
 
 
 def lake_catalog(

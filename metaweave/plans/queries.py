@@ -191,7 +191,7 @@ def q_table_last_updated(spark, sf_dir):
 
 def q_emit_records(spark, sf_dir):
     lake = stages(spark, sf_dir).lake
-    return R.number_records(R.emit_records(lake.table_records, lake.last_updated)).select("emit_ord", "record_kind", S, TB)
+    return R.number_records(R.emit_records(lake.table_records)).select("emit_ord", "record_kind", S, TB)
 
 
 def q_table_signature(spark, sf_dir):

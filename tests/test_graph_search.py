@@ -72,7 +72,10 @@ def test_documents_json_and_index_swap(spark):
     second = index.publish_index(docs, alias="t_idx")
     assert first != second
     assert index.read_index(spark, "t_idx").count() == 2
-    assert not spark.catalog.tableExists(first)
+    # The last three targets stay for readers that are still at one of them; older ones go.
+    third, fourth, fifth = (index.publish_index(docs, alias="t_idx") for _ in range(3))
+    assert [spark.catalog.tableExists(t) for t in (first, second, third, fourth, fifth)] == [False, True, True, True, True]
+    assert index.current_target(spark, "t_idx") == fifth
 
 
 def test_lookup(spark):

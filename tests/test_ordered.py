@@ -5,7 +5,8 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from metaweave.functions.ordered import block_ordinal, ordered_collect, ordered_join
+from metaweave.functions import ordered
+from metaweave.functions.ordered import block_ordinal, ordered_collect, ordered_join, range_ordinal
 
 
 def data(spark, n=400, groups=3, seed=7):
@@ -38,3 +39,31 @@ def test_ordered_collect_and_join(spark):
     assert got == want
     joined = {r.g: r.s for r in ordered_join(df, ["g"], "o", "v", "s", ",", block_size=8).collect()}
     assert joined == {g: ",".join(v) for g, v in want.items()}
+
+
+def test_range_ordinal_matches_row_number(spark):
+    """Repeated, sparse and null order values, null and empty groups."""
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, 0, 0, 1, 10**15, -5]), i) for i in range(900)]
+    df = spark.createDataFrame(rows, "g string, o long, i long")
+    want = {}
+    for g, o, i in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1] is not None, r[1] or 0, r[2])):
+        want.setdefault(g, []).append(i)
+    got = {}
+    for r in range_ordinal(df, ["g"], ["o", "i"], "p", partitions=7).orderBy("p").collect():
+        got.setdefault(r.g, []).append(r.i)
+        assert r.p == len(got[r.g]) - 1
+    assert got == want
+    assert range_ordinal(df.limit(0), ["g"], ["o"]).count() == 0
+
+
+def test_range_ordinal_spreads_equal_rows(spark, monkeypatch):
+    """A million records of one ordinal: no task sorts more than twice its share."""
+    placed = []
+    write = ordered.materialize
+    monkeypatch.setattr(ordered, "materialize", lambda df, name: placed.append(write(df, name)) or placed[-1])
+    df = spark.range(0, 1_000_000, 1, 8).select(F.lit(None).cast("long").alias("o"))
+    got = range_ordinal(df, [], ["o"], "p", partitions=16)
+    assert got.agg(F.countDistinct("p"), F.min("p"), F.max("p")).first() == (1_000_000, 0, 999_999)
+    per_task = [r["count"] for r in placed[0].groupBy(F.input_file_name()).count().collect()]
+    assert len(per_task) == 16 and max(per_task) < 2 * 1_000_000 / 16
