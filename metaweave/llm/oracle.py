@@ -111,3 +111,52 @@ SELECT r.doc_id, r.n AS n_bytes, CAST(coalesce(s.removed, 0) AS BIGINT) AS n_rem
        CASE WHEN s.doc_id IS NULL THEN sha256(r.b) ELSE sha256(unhex(coalesce(k.h, ''))) END AS kept_sha256
 FROM raw r LEFT JOIN sums s USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
+
+# Quartiles are exact here: a sketch holds all its values up to 1024 documents.
+_SIGNALS = (
+    ("symbols_per_word", "n_symbols / greatest(n_words, 1)", 0.02, False),
+    ("chars_per_word", "word_chars / greatest(n_words, 1)", 0.25, True),
+    ("duplicate_lines", "n_dup_lines / greatest(n_lines, 1)", 0.1, False),
+    ("repeated_words", "n_repeat_words / greatest(n_words, 1)", 0.06, False),
+    ("upper_case", "n_upper / greatest(word_chars, 1)", 0.02, False),
+)
+
+
+def _quartiles(level: str, by: str) -> str:
+    parts = ", ".join(f"quantile_disc({n}, 0.25) AS {n}_q1, quantile_disc({n}, 0.75) AS {n}_q3" for n, *_ in _SIGNALS)
+    return f"{level} AS (SELECT {by + ', ' if by else ''}count(*) AS n, {parts} FROM ratios WHERE NOT base_failed{' GROUP BY ' + by if by else ''})"
+
+
+def _outside(name: str, least: float, both: bool) -> str:
+    def of(q):
+        return f"CASE WHEN o.n >= 100 THEN o.{name}_{q} WHEN l.n >= 100 THEN l.{name}_{q} ELSE a.{name}_{q} END"
+    reach = f"4.0::DOUBLE * greatest(({of('q3')}) - ({of('q1')}), {least}::DOUBLE)"
+    low = f" OR r.{name} < ({of('q1')}) - {reach}" if both else ""
+    return f"CASE WHEN r.{name} > ({of('q3')}) + {reach}{low} THEN '{name}' END"
+
+
+ORACLE["op11_quality_rules"] = r"""
+WITH texts AS (SELECT doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+words AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM texts
+), runs AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ')) AS n
+  FROM words, unnest(range(1, len(w) - 6)) AS r(i) WHERE len(w) >= 8
+), repeated AS (SELECT doc_id, count(DISTINCT k) AS n FROM runs, unnest(range(i, i + 8)) AS r(k) WHERE runs.n > 1 GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(len(lines) AS BIGINT) AS n_lines, CAST(length(t) - length(regexp_replace(t, '\p{Lu}+', '', 'g')) AS BIGINT) AS n_upper
+  FROM words LEFT JOIN repeated USING (doc_id)
+), ratios AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, """ + ", ".join(f"{v} AS {n}" for n, v, *_ in _SIGNALS) + """
+  FROM counts
+), """ + ",\n".join([_quartiles("own", "lang, source"), _quartiles("of_lang", "lang"), _quartiles("of_all", "")]) + """
+SELECT r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed,
+       concat_ws(',', """ + ", ".join(_outside(n, least, both) for n, _, least, both in _SIGNALS) + """) AS failed_signals,
+       NOT r.base_failed AND failed_signals = '' AS kept
+FROM ratios r LEFT JOIN own o ON r.lang IS NOT DISTINCT FROM o.lang AND r.source IS NOT DISTINCT FROM o.source
+  LEFT JOIN of_lang l ON r.lang IS NOT DISTINCT FROM l.lang, of_all a
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaweave.llm import ann, decontaminate, language_id, line_dedup, mixing, ngram_join, sharding, suffix_dedup, toxicity, warc
+from metaweave.llm import ann, decontaminate, language_id, line_dedup, mixing, ngram_join, quality_rules, sharding, suffix_dedup, toxicity, warc
 from metaweave.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +98,13 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.items_digest().alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = quality_rules.quality_verdicts(_table(spark, sf_dir, "documents"))
+    return verdicts.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.array_join("failed_signals", ",").alias("failed_signals"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -109,4 +116,5 @@ QUERIES: dict[str, Query] = {
     "op8_ann": op8_ann,
     "op9_ngram_join": op9_ngram_join,
     "op10_decontaminate": op10_decontaminate,
+    "op11_quality_rules": op11_quality_rules,
 }

@@ -20,6 +20,8 @@ COLUMNS = {
     "op7_toxicity": ["doc_id bigint", "held_out boolean", "score double", "predicted int"],
     "op8_ann": ["query_id bigint", "rank int", "vec_id bigint", "score double"],
     "op10_decontaminate": ["doc_id bigint", "n_words bigint", "n_hit bigint", "n_items bigint", "items_sha256 string", "contaminated boolean"],
+    "op11_quality_rules": ["doc_id bigint", "n_words bigint", "word_chars bigint", "n_symbols bigint", "n_dup_lines bigint", "n_repeat_words bigint",
+                           "base_failed boolean", "kept boolean"],
 }
 
 
@@ -32,7 +34,7 @@ def duck():
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(q.split("_")[0][2:]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q.split("_")[0][2:]) for q in QUERIES) == list(range(1, len(QUERIES) + 1))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
@@ -52,7 +54,7 @@ def test_contract_columns(spark, name):
     assert got[:len(COLUMNS[name])] == COLUMNS[name]
 
 
-@pytest.mark.parametrize("name", ["op1_line_dedup", "op5_mixing", "op6_sharding"])
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op5_mixing", "op6_sharding", "op11_quality_rules"])
 def test_native_plans_have_no_python(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoopJoin"))
@@ -60,5 +62,5 @@ def test_native_plans_have_no_python(spark, name):
 
 def test_every_document_has_its_row(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
-    for name in ("op1_line_dedup", "op2_suffix_dedup", "op4_language_id", "op6_sharding", "op7_toxicity", "op9_ngram_join", "op10_decontaminate"):
+    for name in ("op1_line_dedup", "op2_suffix_dedup", "op4_language_id", "op6_sharding", "op7_toxicity", "op9_ngram_join", "op10_decontaminate", "op11_quality_rules"):
         assert QUERIES[name](spark, SF).count() == n, name
