@@ -160,3 +160,62 @@ SELECT r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat
 FROM ratios r LEFT JOIN own o ON r.lang IS NOT DISTINCT FROM o.lang AND r.source IS NOT DISTINCT FROM o.source
   LEFT JOIN of_lang l ON r.lang IS NOT DISTINCT FROM l.lang, of_all a
 """
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _tree(name: str, leaves: str, by: str) -> str:
+    """Nodes of every level of the trees of ``leaves(by, pos, d)``: ``name(by, level, pos, d, n)``."""
+    return f"""{name}({by}, level, pos, d, n) AS (
+  SELECT {by}, 0, pos, d, count(*) OVER (PARTITION BY {by}) FROM {leaves}
+  UNION ALL SELECT {by}, level + 1, up, sha256(string_agg(d, '' ORDER BY pos)), (any_value(n) + 1) // 2
+  FROM (SELECT *, pos // 2 AS up FROM {name} WHERE n > 1) GROUP BY {by}, level, up
+)"""
+
+
+def _steps(name: str, leaves: str, tree: str, by: str) -> str:
+    """For each leaf the ways up: its sibling with its side, or '-'."""
+    return f"""{name} AS (
+  SELECT l.{by}, l.pos, list(CASE WHEN s.d IS NULL THEN '-' WHEN s.pos % 2 = 0 THEN 'L' || s.d ELSE 'R' || s.d END ORDER BY o.level) AS way
+  FROM {leaves} l JOIN {tree} o ON o.{by} IS NOT DISTINCT FROM l.{by} AND o.n > 1 AND o.pos = l.pos >> o.level
+  LEFT JOIN {tree} s ON s.{by} IS NOT DISTINCT FROM l.{by} AND s.level = o.level AND s.pos = xor(o.pos, 1)
+  GROUP BY l.{by}, l.pos
+)"""
+
+
+# crc32 of the id's digits, byte by byte; trees level by level; each proof folded from the leaf up.
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE crc_bits(i, c, k) AS (
+  SELECT i, i, 0 FROM range(256) AS r(i)
+  UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM crc_bits WHERE k < 8
+), crc_table AS (SELECT list(c ORDER BY i) AS t FROM crc_bits WHERE k = 8),
+crc(doc_id, digits, j, c) AS (
+  SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR), 1, 4294967295::BIGINT FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL SELECT doc_id, digits, j + 1, xor(c // 256, t[xor(c % 256, ascii(digits[j])) + 1]) FROM crc, crc_table WHERE j <= length(digits)
+), ids AS (SELECT doc_id, xor(c, 4294967295::BIGINT) % 7 = 0 AS tampered FROM crc WHERE j > length(digits)),
+hashed AS (
+  SELECT doc_id, lang, {_leaf('n_chars')} AS d, CASE WHEN tampered THEN {_leaf('(n_chars + 1)')} END AS forged FROM documents LEFT JOIN ids USING (doc_id)
+), leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, d) - 1 AS pos FROM hashed),
+{_tree("nodes", "leaves", "lang")},
+subroots AS (SELECT 0 AS one, lang, d, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM nodes WHERE n = 1),
+{_tree("tops", "subroots", "one")},
+{_steps("low", "leaves", "nodes", "lang")},
+{_steps("high", "subroots", "tops", "one")},
+proofs AS (
+  SELECT l.doc_id, l.d AS leaf, coalesce(l.forged, l.d) AS shown, s.d AS subroot, r.d AS root, list_concat(coalesce(low.way, []), coalesce(high.way, [])) AS way
+  FROM leaves l LEFT JOIN low ON l.lang IS NOT DISTINCT FROM low.lang AND l.pos = low.pos
+  JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang LEFT JOIN high ON s.pos = high.pos, (SELECT d FROM tops WHERE n = 1) r
+), folded AS (
+  SELECT *, list_reduce(list_prepend(shown, way), lambda acc, x: CASE x[1] WHEN 'L' THEN sha256(x[2:] || acc) WHEN 'R' THEN sha256(acc || x[2:])
+                                                                        ELSE sha256(acc) END) AS folded_root FROM proofs
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(list_filter(way, lambda x: x <> '-'), lambda x: x[2:]), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folded
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaweave.llm import ann, decontaminate, language_id, line_dedup, mixing, ngram_join, quality_rules, sharding, suffix_dedup, toxicity, warc
+from metaweave.llm import ann, decontaminate, language_id, line_dedup, merkle_manifest, mixing, ngram_join, quality_rules, sharding, suffix_dedup, toxicity, warc
 from metaweave.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,17 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("failed_signals", ",").alias("failed_signals"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 7 divides the id's crc32, the proof is shown a document with one more character in its count."""
+    docs = _table(spark, sf_dir, "documents")
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    forged = F.when(tampered, merkle_manifest.leaf_digest(docs, n_chars=F.col("n_chars") + 1))
+    proven = merkle_manifest.manifest(docs, forged)
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", merkle_manifest.siblings_digest(F.col("proof")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -117,4 +128,5 @@ QUERIES: dict[str, Query] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_decontaminate": op10_decontaminate,
     "op11_quality_rules": op11_quality_rules,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }

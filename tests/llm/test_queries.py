@@ -22,6 +22,7 @@ COLUMNS = {
     "op10_decontaminate": ["doc_id bigint", "n_words bigint", "n_hit bigint", "n_items bigint", "items_sha256 string", "contaminated boolean"],
     "op11_quality_rules": ["doc_id bigint", "n_words bigint", "word_chars bigint", "n_symbols bigint", "n_dup_lines bigint", "n_repeat_words bigint",
                            "base_failed boolean", "kept boolean"],
+    "op12_merkle_manifest": ["doc_id bigint", "leaf string", "subroot string", "root string", "proof_sha256 string", "folded_root string", "verified boolean"],
 }
 
 
@@ -62,5 +63,5 @@ def test_native_plans_have_no_python(spark, name):
 
 def test_every_document_has_its_row(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
-    for name in ("op1_line_dedup", "op2_suffix_dedup", "op4_language_id", "op6_sharding", "op7_toxicity", "op9_ngram_join", "op10_decontaminate", "op11_quality_rules"):
+    for name in ("op1_line_dedup", "op2_suffix_dedup", "op4_language_id", "op6_sharding", "op7_toxicity", "op9_ngram_join", "op10_decontaminate", "op11_quality_rules", "op12_merkle_manifest"):
         assert QUERIES[name](spark, SF).count() == n, name
