@@ -174,7 +174,8 @@ def manifest(docs: DataFrame, forged: Column | None = None, bits: int = BITS) ->
     for level in tops[-2::-1]:
         outer = written(descend(level, outer, bits), "merkle-outer")
     above = outer.select(F.col("at").alias("tree"), F.lit(0).cast("long").alias("at"), "path", "root")
-    outer = trees[-1].select("tree", F.col("digest").alias("subroot")).join(above, "tree").select("tree", "at", "path", "subroot", "root")
+    outer = trees[-1].select("tree", F.col("digest").alias("subroot")).join(above, "tree")
+    outer = written(outer.select("tree", "at", "path", "subroot", "root"), "merkle-outer")
     for level in trees[-2:0:-1]:
         outer = written(descend(level, outer, bits), "merkle-outer")
     kind = dict(docs.dtypes)["doc_id"]
