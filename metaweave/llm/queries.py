@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaweave.llm import ann, decontaminate, language_id, line_dedup, merkle_manifest, mixing, ngram_join, quality_rules, sharding, suffix_dedup, toxicity, warc
+from metaweave.llm import ann, decontaminate, embedding_whitening, language_id, line_dedup, merkle_manifest, mixing, ngram_join, quality_rules, sharding, suffix_dedup, toxicity, warc
 from metaweave.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +116,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -129,4 +133,5 @@ QUERIES: dict[str, Query] = {
     "op10_decontaminate": op10_decontaminate,
     "op11_quality_rules": op11_quality_rules,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }

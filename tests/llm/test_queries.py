@@ -23,6 +23,7 @@ COLUMNS = {
     "op11_quality_rules": ["doc_id bigint", "n_words bigint", "word_chars bigint", "n_symbols bigint", "n_dup_lines bigint", "n_repeat_words bigint",
                            "base_failed boolean", "kept boolean"],
     "op12_merkle_manifest": ["doc_id bigint", "leaf string", "subroot string", "root string", "proof_sha256 string", "folded_root string", "verified boolean"],
+    "op13_embedding_whitening": ["vec_id bigint", "component int", "n bigint", "deviation bigint", "whitened double", "explained double", "identity_error double"],
 }
 
 
