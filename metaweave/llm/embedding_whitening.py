@@ -12,8 +12,8 @@ Entries ``c`` become integers ``floor(256 * c)``.  The fit list holds each disti
 * **Projection.**  A last pass over all rows, with the components (a few vectors) sent along.
 
 Vectors that are null or hold null or non-finite entries take no part.  Each length of vectors is a space of its own; empty
-vectors have no dimension and give no rows.  Components without variance cannot be scaled and are left out, so a space of one
-distinct vector gives no rows.  Equal eigenvalues have orthogonal components that span the same space.  Integers beyond 64
+vectors have no dimension and give no rows.  Components whose variance is rounding (2e-11 of the largest or less) cannot be
+scaled and are left out, so a space of one distinct vector gives no rows.  Equal eigenvalues have orthogonal components that span the same space.  Integers beyond 64
 bits are held at the nearest one; a deviation beyond them is null.  Repeated rows give rows of their own and count once in
 the fit; null and repeated ids are carried.  Further columns take no part.  An empty table gives no rows.
 """
@@ -36,6 +36,8 @@ COMPONENTS = 4
 FAN_IN = 64
 #: Packed vectors handled at once.
 BATCH_BYTES = 1 << 22
+#: A component counts if rounding moves its variance by less than this share; else it is rounding itself.
+MAX_ROUNDING = 1e-5
 _LONG = 1 << 63
 
 
@@ -265,7 +267,7 @@ def leading_eigenpairs(v: np.ndarray, k: int) -> list[tuple[float, np.ndarray]]:
     pairs.sort(key=lambda p: -p[0])
     out = []
     for e, x in pairs:
-        if e > 16 * d * tiny:
+        if e * MAX_ROUNDING > tiny:
             out.append((e * scale, x * np.sign(x[np.abs(x).argmax()])))
     return out
 
