@@ -62,6 +62,13 @@ PG_COLUMNS = T.StructType([
     T.StructField("col_sort_order", T.IntegerType()),
 ])
 
+# Lines of commit files and rows of checkpoint files, with the paths of their files (see sources.commit_log).
+RAW_LOG_LINES = "file_path string, line string"
+RAW_LOG_CHECKPOINTS = (
+    "file_path string, metaData struct<id:string,description:string,format:struct<provider:string>>, "
+    "add struct<path:string,size:bigint,modificationTime:bigint>, remove struct<path:string,deletionTimestamp:bigint>")
+TABLE_PATHS = f"table_path string, {S} string, {TB} string"
+
 RAW_SCHEMAS_BY_NAME = {
     "raw_schemas": RAW_SCHEMAS,
     "raw_tables": RAW_TABLES,
@@ -69,6 +76,9 @@ RAW_SCHEMAS_BY_NAME = {
     "raw_describe": RAW_DESCRIBE,
     "raw_describe_ext": RAW_DESCRIBE_EXT,
     "raw_commits": RAW_COMMITS,
+    "raw_log_lines": RAW_LOG_LINES,
+    "raw_log_checkpoints": RAW_LOG_CHECKPOINTS,
+    "table_paths": TABLE_PATHS,
     "pg_columns": PG_COLUMNS,
 }
 
@@ -134,14 +144,6 @@ REASON_NO_DETAIL = "no_detail"
 REASON_NO_COLUMNS = "no_columns"
 REASON_KEPT = "kept"
 
-# Keys read from a table's or view's detail (must match the catalog's names).
-DETAIL_FORMAT_KEY = "format"
-DETAIL_DESCRIPTION_KEY = "description"
-DETAIL_LAST_MODIFIED_KEY = "lastModified"
-
 # DESCRIBE EXTENDED: rows after the first row whose name contains this text are
 # key/value properties.
 DETAILED_TABLE_MARKER = "# Detailed Table"
-
-DELTA_FORMAT = "delta"
-VIEW_TABLE_TYPE = "view"

@@ -334,6 +334,58 @@ SELECT query_id, CAST(rk AS INT) AS rank, key, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, key) AS rk FROM sc) WHERE rk <= 10""",
 }
 
+# Item 4 over logs: the fixture's log files as rows, then the state at each table's newest version.
+CTES.update({
+    "log_versions": ((), """
+SELECT *, CASE WHEN (top + 1) // 10 * 10 - 1 >= 9 THEN (top + 1) // 10 * 10 - 1 END AS cp, CASE WHEN user_id % 3 = 0 THEN 2 ELSE 1 END AS parts,
+  epoch_us(ts) // 1000 AS ms, concat('lake/u', CAST(user_id AS VARCHAR)) AS table_path,
+  CASE WHEN event_type = 'signup' THEN 'delta' WHEN event_type = 'error' THEN 'parquet' END AS fmt
+FROM (SELECT user_id, event_id, event_type, ts, row_number() OVER w - 1 AS v, count(*) OVER (PARTITION BY user_id) - 1 AS top,
+        lead(event_type) OVER w AS next_type FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))"""),
+    # Every fifth table lacks a part of its last checkpoint and starts from the one before.
+    "log_base": (("log_versions",), """
+SELECT DISTINCT user_id, table_path, CASE WHEN user_id % 5 <> 0 THEN cp WHEN cp - 10 >= 9 THEN cp - 10 END AS base FROM log_versions"""),
+    "log_files": (("log_versions", "log_base"), """
+SELECT c.*, b.base FROM log_versions c JOIN log_base b USING (user_id) WHERE event_id % 97 <> 0 AND (cp IS NULL OR v >= cp - 12)"""),
+    "log_later": (("log_files",), "SELECT * FROM log_files WHERE base IS NULL OR v > base"),
+    "log_state": (("log_versions", "log_base", "log_later"), """
+SELECT b.table_path, v AS path, b.base AS version, true AS live, event_id * 10 + 1 AS size, ms
+FROM log_versions c JOIN log_base b USING (user_id) WHERE v <= b.base AND NOT (coalesce(next_type, '') = 'purchase' AND v < b.base)
+UNION ALL SELECT table_path, v, v, true, event_id * 10 + 1, ms FROM log_later
+UNION ALL SELECT table_path, v - 1, v, false, 0, NULL FROM log_later WHERE event_type = 'purchase' AND v > 0"""),
+    "log_meta": (("log_versions", "log_base", "log_later"), """
+SELECT table_path, max_by({'f': fmt, 'd': concat('rev ', CAST(event_id AS VARCHAR))}, v) AS m FROM (
+  SELECT b.table_path, fmt, event_id, v FROM log_versions c JOIN log_base b USING (user_id) WHERE v <= b.base AND fmt IS NOT NULL
+  UNION ALL SELECT table_path, fmt, event_id, v FROM log_later WHERE fmt IS NOT NULL) GROUP BY table_path"""),
+    "log_there": (("log_base", "log_later"), """
+SELECT DISTINCT table_path, v FROM (SELECT table_path, v FROM log_later UNION ALL SELECT table_path, coalesce(base, -1) FROM log_later
+  UNION ALL SELECT table_path, base FROM log_base WHERE base IS NOT NULL)"""),
+    "log_gaps": (("log_there",), """
+SELECT table_path, sum(nxt - v - 1) AS n, min(v + 1) AS first_missing, max(nxt - 1) AS last_missing
+FROM (SELECT table_path, v, lead(v) OVER (PARTITION BY table_path ORDER BY v) AS nxt FROM log_there) WHERE nxt > v + 1 GROUP BY table_path"""),
+    "replayed": (("log_files", "log_state", "log_meta", "log_there", "log_gaps", "log_base"), """
+SELECT t.table_path, b.base AS base_version, t.version, m.m.f AS format, m.m.d AS description,
+  CAST(coalesce(l.n_files, 0) AS BIGINT) AS n_files, CAST(coalesce(l.n_bytes, 0) AS BIGINT) AS n_bytes,
+  CAST(coalesce(g.n, 0) AS BIGINT) AS n_missing, g.first_missing, g.last_missing, m.m IS NOT NULL AND coalesce(g.n, 0) = 0 AS complete,
+  coalesce(c.ms, l.written) AS last_modified_ms
+FROM (SELECT table_path, max(v) AS version FROM log_there GROUP BY table_path) t JOIN log_base b USING (table_path)
+LEFT JOIN log_files c ON c.table_path = t.table_path AND c.v = t.version
+LEFT JOIN log_meta m ON m.table_path = t.table_path LEFT JOIN log_gaps g ON g.table_path = t.table_path
+LEFT JOIN (SELECT table_path, count(*) FILTER (WHERE live) AS n_files, sum(size) FILTER (WHERE live) AS n_bytes, max(written) AS written FROM (
+    SELECT table_path, path, max_by(live, version) AS live, max_by(size, version) AS size, max(ms) AS written
+    FROM log_state GROUP BY table_path, path) GROUP BY table_path) l ON l.table_path = t.table_path"""),
+    "scraped_log": (("raw_tables", "replayed"), """
+SELECT r.schema_name, r.table_name, d.format, d.description, d.last_modified_ms, d.table_path IS NOT NULL AS has_detail
+FROM raw_tables r LEFT JOIN replayed d ON d.complete AND d.table_path = concat('lake/u', CAST(r.table_ord AS VARCHAR))
+WHERE NOT (coalesce(table_type, '') = '' OR lower(table_type) = 'view')"""),
+})
+ORACLE["commit_log_replay"] = with_ctes("replayed") + "SELECT * FROM replayed"
+ORACLE["lake_from_commit_log"] = with_ctes("scraped_log", "pcols") + """
+SELECT s.schema_name, s.table_name, s.format, s.description, CAST(coalesce(n.n_columns, 0) AS INT) AS n_columns,
+  CASE WHEN NOT s.has_detail THEN 'no_detail' WHEN coalesce(n.n_columns, 0) = 0 THEN 'no_columns' ELSE 'kept' END AS reason, s.last_modified_ms
+FROM scraped_log s LEFT JOIN (SELECT schema_name, table_name, count(*) AS n_columns FROM pcols GROUP BY schema_name, table_name) n
+ON n.schema_name = s.schema_name AND n.table_name = s.table_name"""
+
 # Option variants: the other partition match rule (Q1) and delta_only=False.
 ORACLE["partition_columns_name_first"] = with_ctes("pcols_name_first") + """
 SELECT schema_name, table_name, col_name, data_type, description, sort_order, is_partition FROM pcols_name_first"""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from metaweave.functions.exprs import node_key
 from metaweave.model import S, TABLE_KEYS, TB
+from metaweave.operators import commit_log as L
 from metaweave.operators import describe as D
 from metaweave.operators import detail as X
 from metaweave.operators import graph as G
@@ -25,7 +26,7 @@ from metaweave.operators import search as Q
 from metaweave.operators.scope import relational_catalog, scope_exclude, scope_include
 from metaweave.plans.lake import LakeCatalog, lake_catalog
 from metaweave.session import materialize, scratch_path
-from metaweave.sources import exchange, index
+from metaweave.sources import commit_log, exchange, index
 from metaweave.sources.fixtures import Fixtures, landed_fixtures
 
 # Identity of the lake catalog in every query.
@@ -126,6 +127,24 @@ def q_commit_log_detail(spark, sf_dir):
     return X.commit_log_detail(_fx(spark, sf_dir).raw_commits)
 
 
+def _replayed(spark, sf_dir) -> DataFrame:
+    fx = _fx(spark, sf_dir)
+    return L.replay_commit_log(commit_log.parse_landed_lines(fx.raw_log_lines), commit_log.checkpoint_rows(fx.raw_log_checkpoints))
+
+
+def q_commit_log_replay(spark, sf_dir):
+    return _replayed(spark, sf_dir).withColumn("last_modified_ms", F.unix_millis("last_modified")).drop("last_modified")
+
+
+def q_lake_from_commit_log(spark, sf_dir):
+    # Entry point A with details from the logs: every entry of the listing with its reason.
+    fx = _fx(spark, sf_dir)
+    detail = L.replayed_table_detail(_replayed(spark, sf_dir), fx.table_paths)
+    lake = lake_catalog(fx.all_raw(), cluster=CLUSTER, database=DATABASE, table_detail=detail)
+    return lake.checked.where(~F.col("is_view")).select(
+        *TABLE_KEYS, "format", "description", "n_columns", "reason", F.unix_millis("last_modified").alias("last_modified_ms"))
+
+
 # -- 2.2 DESCRIBE interpretation -------------------------------------------------
 
 def q_describe_sections(spark, sf_dir):
@@ -320,6 +339,8 @@ QUERIES: dict[str, Query] = {
     "scope_include": q_scope_include,
     "relational_catalog": q_relational_catalog,
     "commit_log_detail": q_commit_log_detail,
+    "commit_log_replay": q_commit_log_replay,
+    "lake_from_commit_log": q_lake_from_commit_log,
     "describe_sections": q_describe_sections,
     "describe_columns": q_describe_columns,
     "partition_columns": q_partition_columns,

@@ -171,6 +171,73 @@ class Fixtures:
             F.when(e == "signup", "delta").when(e == "error", "parquet").alias("format"),
         )
 
+    @cached_property
+    def _log_versions(self) -> DataFrame:
+        """Events as commits of one table per user: version, action times and the table's checkpoint versions."""
+        own = Window.partitionBy("user_id")
+        u, v = F.col("user_id"), F.col("v")
+        last = F.floor((F.col("top") + 1) / 10).cast("long") * 10 - 1
+        return (
+            self.source("events").select("user_id", "event_id", "event_type", "ts")
+            .withColumns({"v": F.row_number().over(own.orderBy("event_id")).cast("long") - 1, "top": F.count(F.lit(1)).over(own) - 1})
+            .withColumns({
+                "cp": F.when(last >= 9, last),
+                "parts": F.when(u % 3 == 0, 2).otherwise(1),
+                "ms": F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts").cast("timestamp_ntz")),
+                "next_type": F.lead("event_type").over(own.orderBy("event_id")),
+                "table": F.concat(F.lit("lake/u"), _txt("user_id")),
+                "file": F.concat(F.lit("f"), _txt(v), F.lit(".parquet"))})
+        )
+
+    @cached_property
+    def raw_log_lines(self) -> DataFrame:
+        """Lines of the commit files that are still there: some are lost, old ones have been cleaned up."""
+        e, v = F.col("event_type"), F.col("v")
+
+        def line(name, value):
+            return F.to_json(F.struct(value.alias(name)))
+
+        ms = F.col("ms")
+        lines = F.array_compact(F.array(
+            line("commitInfo", F.struct(ms.alias("timestamp"), e.alias("operation"))),
+            F.when(e.isin("signup", "error"), line("metaData", F.struct(
+                F.col("table").alias("id"), F.concat(F.lit("rev "), _txt("event_id")).alias("description"),
+                F.struct(F.when(e == "signup", "delta").otherwise("parquet").alias("provider")).alias("format")))),
+            line("add", F.struct(F.col("file").alias("path"), (F.col("event_id") * 10 + 1).alias("size"), ms.alias("modificationTime"))),
+            F.when((e == "purchase") & (v > 0), line("remove", F.struct(
+                F.concat(F.lit("f"), _txt(v - 1), F.lit(".parquet")).alias("path"), ms.alias("deletionTimestamp"))))))
+        there = (F.col("event_id") % 97 != 0) & (F.col("cp").isNull() | (v >= F.col("cp") - 12))
+        return self._log_versions.where(there).select(
+            F.concat(F.col("table"), F.lit("/_delta_log/"), F.lpad(_txt(v), 20, "0"), F.lit(".json")).alias("file_path"),
+            F.explode(lines).alias("line"))
+
+    @cached_property
+    def raw_log_checkpoints(self) -> DataFrame:
+        """Rows of the last two checkpoints of each table, in one or two parts; every fifth table lacks the last part of its last."""
+        e, v, k = F.col("event_type"), F.col("v"), F.col("k")
+        at = self._log_versions.where("cp IS NOT NULL").withColumn("k", F.explode(F.array("cp", F.col("cp") - 10))).where((k >= 9) & (v <= k))
+        live = at.where(~((F.col("next_type") == "purchase") & (v < k)) | F.col("next_type").isNull()).select(
+            "user_id", "table", "cp", "k", "parts", (v % F.col("parts") + 1).cast("int").alias("part"),
+            F.lit(None).cast("struct<id:string,description:string,format:struct<provider:string>>").alias("metaData"),
+            F.struct(F.col("file").alias("path"), (F.col("event_id") * 10 + 1).alias("size"), F.col("ms").alias("modificationTime")).alias("add"))
+        meta = at.where(e.isin("signup", "error")).groupBy("user_id", "table", "cp", "k", "parts").agg(
+            F.max_by(F.struct(F.col("table").alias("id"), F.concat(F.lit("rev "), _txt("event_id")).alias("description"),
+                              F.struct(F.when(e == "signup", "delta").otherwise("parquet").alias("provider")).alias("format")), v).alias("metaData"))
+        meta = meta.select("user_id", "table", "cp", "k", "parts", F.lit(1).alias("part"), "metaData",
+                           F.lit(None).cast("struct<path:string,size:bigint,modificationTime:bigint>").alias("add"))
+        number = F.when(F.col("parts") > 1, F.concat(F.lit("."), F.lpad(_txt("part"), 10, "0"), F.lit("."), F.lpad(_txt("parts"), 10, "0"))).otherwise("")
+        lost = (F.col("user_id") % 5 == 0) & (k == F.col("cp")) & (F.col("part") == F.col("parts"))
+        return live.unionByName(meta).where(~lost).select(
+            F.concat(F.col("table"), F.lit("/_delta_log/"), F.lpad(_txt(k), 20, "0"), F.lit(".checkpoint"), number, F.lit(".parquet")).alias("file_path"),
+            "metaData", "add", F.lit(None).cast("struct<path:string,deletionTimestamp:bigint>").alias("remove"))
+
+    @cached_property
+    def table_paths(self) -> DataFrame:
+        """Which table of the listing each log belongs to."""
+        users = self.source("events").select("user_id").distinct()
+        return self.raw_tables.join(users, F.col("table_ord") == F.col("user_id")).select(
+            F.concat(F.lit("lake/u"), _txt("user_id")).alias("table_path"), S, TB)
+
     @cached_property
     def pg_columns(self) -> DataFrame:
         size = F.col("p_size")
@@ -213,7 +280,7 @@ class Fixtures:
 
 
 LANDED_NAMES = ["raw_schemas", "raw_tables", "raw_table_detail", "raw_describe", "raw_describe_ext",
-                "raw_commits", "pg_columns", "exclude_list", "schema_list"]
+                "raw_commits", "raw_log_lines", "raw_log_checkpoints", "table_paths", "pg_columns", "exclude_list", "schema_list"]
 LANDED_SCHEMAS = {**RAW_SCHEMAS_BY_NAME, "exclude_list": RAW_SCHEMAS, "schema_list": RAW_SCHEMAS}
 
 # (application id, data directory) -> folder holding the landed fixture tables.
