@@ -6,11 +6,11 @@ Keys are ``/``-joined, escaped identity parts:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metaweave.functions.exprs import node_key
-from metaweave.functions.ordered import ordered_join
+from metaweave.functions.ordered import DEFAULT_BLOCK, block_of
 from metaweave.model import (
     EDGE_CLUSTER,
     EDGE_COLUMN,
@@ -106,29 +106,77 @@ def edges_typed(edges: DataFrame, typ: str) -> DataFrame:
     return edges.where(F.col("type") == typ)
 
 
-def table_context(nodes: DataFrame, edges: DataFrame, keys: DataFrame | None = None) -> DataFrame:
-    """Table nodes with their schema, cluster and database names, walked up the edges:
-    (key, name, description, is_view, schema_name, cluster, database).
+def table_part(key: Column | str) -> Column:
+    """The key of the table that a node key lies under; a key above the tables stands for itself."""
+    return F.substring_index(key, "/", len(TABLE_PARTS))
 
-    Parents are few: the cluster and database hops run on the schema rows
-    only, and the table rows take one join to their schema's context.
-    ``keys`` (a ``key`` column) restricts the table rows.
-    """
-    tables = nodes_labelled(nodes, LABEL_TABLE).select("key", "name", "description", "is_view")
-    if keys is not None:
-        tables = tables.join(keys, "key", "left_semi")
-    hop_schema = edges_typed(edges, EDGE_TABLE).select(F.col("end_key").alias("key"), F.col("start_key").alias("_sk"))
+
+def parent_part(key: Column | str) -> Column:
+    """The key without its last part."""
+    c = F.col(key) if isinstance(key, str) else key
+    return F.regexp_extract(c, "^(.*)/[^/]*$", 1)
+
+
+def schema_context(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(_sk, schema_name, cluster, database) of every schema node: a few rows, read from the folders above the tables only."""
     schema = nodes_labelled(nodes, LABEL_SCHEMA).select(F.col("key").alias("_sk"), F.col("name").alias(S))
     hop_cluster = edges_typed(edges, EDGE_SCHEMA).select(F.col("end_key").alias("_sk"), F.col("start_key").alias("_ck"))
     cluster = nodes_labelled(nodes, LABEL_CLUSTER).select(F.col("key").alias("_ck"), F.col("name").alias("cluster"))
     hop_db = edges_typed(edges, EDGE_CLUSTER).select(F.col("end_key").alias("_ck"), F.col("start_key").alias("_dk"))
     db = nodes_labelled(nodes, LABEL_DATABASE).select(F.col("key").alias("_dk"), F.col("name").alias("database"))
-    parents = (
-        schema.join(hop_cluster, "_sk", "left").join(cluster, "_ck", "left")
-        .join(hop_db, "_ck", "left").join(db, "_dk", "left")
-        .select("_sk", S, "cluster", "database")
-    )
-    return tables.join(hop_schema, "key", "left").join(parents, "_sk", "left").drop("_sk")
+    return (schema.join(hop_cluster, "_sk", "left").join(cluster, "_ck", "left").join(hop_db, "_ck", "left").join(db, "_dk", "left")
+            .select("_sk", S, "cluster", "database"))
+
+
+#: Values of the filter that is sent to the scans of a lookup: its size does not depend on the number of requests.
+REQUEST_BITS = 18
+
+
+def requested(rows: DataFrame, table_key: Column, keys: DataFrame, bits: int = REQUEST_BITS) -> DataFrame:
+    """Rows whose table may be among ``keys``: a Bloom filter of one hash, as a join with at most ``2**bits`` broadcast numbers.
+
+    Some rows of other tables pass; all rows of the requested ones do.
+    """
+    def place(key):
+        return F.pmod(F.xxhash64(key), F.lit(1 << bits)).cast("int")
+
+    wanted = keys.select(place(F.col("key")).alias("_mw_place")).distinct()
+    return rows.withColumn("_mw_place", place(table_key)).join(F.broadcast(wanted), "_mw_place", "left_semi").drop("_mw_place")
+
+
+def assembled_tables(nodes: DataFrame, edges: DataFrame, keys: DataFrame | None = None, block_size: int = DEFAULT_BLOCK) -> DataFrame:
+    """Every table node with its parents and columns, read from the graph:
+    (key, name, description, is_view, schema_name, cluster, database, columns), columns in order.
+
+    A node's parent is decoded from its path key and checked against the edges: tables and columns meet their edges in
+    one join, so nodes and edges below the schemas are scanned once each.  From there the plan is linear: columns gather
+    per (table, block of positions) with their table's own row, then blocks per table.  A column without its edge, or
+    whose table has no node, is left out; a table without an edge to a schema has no parents.  ``keys`` (a ``key``
+    column) restricts the tables: nodes and edges of others are filtered out before they are exchanged.
+    """
+    below = nodes.where(F.col("label").isin(LABEL_TABLE, LABEL_COLUMN)).select("label", "key", "name", "description", "col_type", "sort_order", "is_view")
+    links = edges.where(F.col("type").isin(EDGE_TABLE, EDGE_COLUMN)).select("type", "start_key", "end_key")
+    if keys is not None:
+        below = requested(below, table_part("key"), keys)
+        links = requested(links, table_part("end_key"), keys)
+    links = links.where(F.col("start_key") == parent_part("end_key")).select(F.col("end_key").alias("key"), F.col("type").alias("_type"), F.col("start_key").alias("_up"))
+    column = F.col("label") == LABEL_COLUMN
+    hop = F.when(column, EDGE_COLUMN).otherwise(EDGE_TABLE)
+    linked = below.withColumn("_type", hop).join(links, ["key", "_type"], "left").where(~column | F.col("_up").isNotNull())
+    placed = linked.select(
+        F.when(column, F.col("_up")).otherwise(F.col("key")).alias("key"),
+        F.when(column, F.coalesce(block_of("sort_order", block_size), F.lit(0))).otherwise(0).alias("_b"),
+        F.when(~column, F.struct("name", "description", "is_view", F.col("_up").alias("_sk"))).alias("_t"),
+        F.when(column, F.struct(F.col("sort_order").alias("o"), F.col("name").alias("n"), "description", "col_type")).alias("_c"))
+    if keys is not None:
+        placed = placed.join(keys.select("key"), "key", "left_semi")
+    # max, not first: a table has one node, and a maximum is the same in every run.
+    parts = placed.groupBy("key", "_b").agg(F.max("_t").alias("_t"), F.array_sort(F.collect_list("_c")).alias("_cs"))
+    tables = parts.groupBy("key").agg(
+        F.max("_t").alias("_t"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_b", "_cs"))), lambda p: p["_cs"])).alias("_cs"))
+    found = tables.where(F.col("_t").isNotNull()).select(
+        "key", "_t.*", F.transform("_cs", lambda c: F.struct(c["n"].alias("name"), c["description"], c["col_type"], c["o"].alias("sort_order"))).alias("columns"))
+    return found.join(schema_context(nodes, edges), "_sk", "left").drop("_sk")
 
 
 def graph_lookup(nodes: DataFrame, edges: DataFrame, keys: DataFrame, last_updated: DataFrame | None = None) -> DataFrame:
@@ -136,19 +184,14 @@ def graph_lookup(nodes: DataFrame, edges: DataFrame, keys: DataFrame, last_updat
     schema / cluster / database names, ``columns_text`` (``sort_order:name:col_type``
     in column order) and ``last_updated_epoch``.
 
-    The request table may be as large as the graph; everything is an equi
-    join on keys, and the column text is built per (table, block).
+    The request table may be as large as the graph.  What it asks for reaches the scans of nodes and edges as a filter of
+    bounded size (:func:`requested`), so a small request exchanges little of a large graph.
     """
     req = keys.select("key").distinct()
-    found = table_context(nodes, edges, req).withColumnRenamed("name", TB)
-    col_edges = edges_typed(edges, EDGE_COLUMN).join(req.select(F.col("key").alias("start_key")), "start_key", "left_semi")
-    cols = col_edges.join(
-        nodes_labelled(nodes, LABEL_COLUMN).select(F.col("key").alias("end_key"), "name", "col_type", "sort_order"),
-        "end_key",
-    )
-    item = F.concat_ws(":", F.col("sort_order").cast("string"), "name", F.coalesce("col_type", F.lit("")))
-    text = ordered_join(cols, ["start_key"], "sort_order", item, "columns_text", "|").withColumnRenamed("start_key", "key")
-    out = req.join(found, "key", "left").join(text, "key", "left")
+    found = assembled_tables(nodes, edges, req).withColumnRenamed("name", TB)
+    text = F.transform("columns", lambda c: F.concat_ws(":", c["sort_order"].cast("string"), c["name"], F.coalesce(c["col_type"], F.lit(""))))
+    found = found.withColumn("columns_text", F.when(F.size("columns") > 0, F.array_join(text, "|"))).drop("columns")
+    out = req.join(found, "key", "left")
     if last_updated is not None:
         lu = last_updated.select(node_key(*TABLE_PARTS).alias("key"),
                                  F.col("last_updated_time_epoch").alias("last_updated_epoch"))

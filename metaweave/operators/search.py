@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from metaweave.functions.exprs import node_key, tokens
-from metaweave.functions.ordered import ordered_collect
 from metaweave.functions.sizing import at_most
-from metaweave.model import EDGE_COLUMN, LABEL_COLUMN, S, TB
-from metaweave.operators.graph import edges_typed, nodes_labelled, table_context
+from metaweave.model import S, TB
+from metaweave.operators.graph import assembled_tables
 
 # BM25 parameters (Robertson & Zaragoza, 2009).
 BM25_K1 = 1.2
@@ -28,15 +27,11 @@ def search_documents(
     column_descriptions[] (nulls skipped), last_updated_epoch."""
     if entity_type != "table":
         raise ValueError(f"unsupported entity_type {entity_type!r}; only 'table' documents exist")
-    ctx = table_context(nodes, edges)
-    cols = edges_typed(edges, EDGE_COLUMN).select(F.col("start_key").alias("key"), F.col("end_key").alias("_ck")).join(
-        nodes_labelled(nodes, LABEL_COLUMN).select(F.col("key").alias("_ck"), "name", "description", "sort_order"), "_ck")
-    listed = ordered_collect(cols, ["key"], "sort_order", F.struct("name", "description"), "_cols")
-    docs = ctx.join(listed, "key", "left").select(
+    none = F.array().cast("array<string>")
+    docs = assembled_tables(nodes, edges).select(
         "key", "database", "cluster", S, "name", "description",
-        F.coalesce(F.transform("_cols", lambda c: c["name"]), F.array().cast("array<string>")).alias("column_names"),
-        F.coalesce(F.filter(F.transform("_cols", lambda c: c["description"]), lambda d: d.isNotNull()),
-                   F.array().cast("array<string>")).alias("column_descriptions"),
+        F.coalesce(F.transform("columns", lambda c: c["name"]), none).alias("column_names"),
+        F.coalesce(F.array_compact(F.transform("columns", lambda c: c["description"])), none).alias("column_descriptions"),
     )
     if last_updated is None:
         return docs.withColumn("last_updated_epoch", F.lit(None).cast("long"))

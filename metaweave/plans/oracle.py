@@ -183,6 +183,12 @@ UNION ALL SELECT {key('db', 'cluster', 'schema_name')}, {key('db', 'cluster', 's
   FROM trec
 UNION ALL SELECT {key('db', 'cluster', 'schema_name', 'table_name')},
   {key('db', 'cluster', 'schema_name', 'table_name', 'col_name')}, 'COLUMN' FROM crec"""),
+    "edges_b": (("trec", "crec_b"), f"""
+SELECT DISTINCT {key('db')} AS start_key, {key('db', 'cluster')} AS end_key, 'CLUSTER' AS type FROM trec
+UNION ALL SELECT DISTINCT {key('db', 'cluster')}, {key('db', 'cluster', 'schema_name')}, 'SCHEMA' FROM trec
+UNION ALL SELECT {key('db', 'cluster', 'schema_name')}, {key('db', 'cluster', 'schema_name', 'table_name')}, 'TABLE' FROM trec
+UNION ALL SELECT {key('db', 'cluster', 'schema_name', 'table_name')}, {key('db', 'cluster', 'schema_name', 'table_name', 'col_name')}, 'COLUMN'
+  FROM crec_b"""),
     "docs": (("trec", "crec", "lu"), f"""
 SELECT {key('t.db', 't.cluster', 't.schema_name', 't.table_name')} AS key, t.db AS database, t.cluster,
   t.schema_name, t.table_name AS name, t.description, c.column_names, c.column_descriptions,
@@ -295,6 +301,10 @@ SELECT coalesce(b.key, a.key) AS key,
   CASE WHEN b.key IS NOT NULL THEN b.col_type ELSE a.col_type END AS col_type,
   CASE WHEN b.key IS NOT NULL THEN 'run_b' ELSE 'run_a' END AS publish_tag
 FROM nodes a FULL OUTER JOIN nodes_b b ON a.key = b.key""",
+    "publish_upsert_edges": with_ctes("edges", "edges_b") + """
+SELECT coalesce(b.start_key, a.start_key) AS start_key, coalesce(b.end_key, a.end_key) AS end_key, coalesce(b.type, a.type) AS type,
+  CASE WHEN b.end_key IS NOT NULL THEN 'run_b' ELSE 'run_a' END AS publish_tag
+FROM edges a FULL OUTER JOIN edges_b b ON a.start_key = b.start_key AND a.end_key = b.end_key AND a.type = b.type""",
     "search_documents": with_ctes("docs") + FLAT_DOCS,
     "json_exchange": with_ctes("docs") + FLAT_DOCS,
     "publish_index": with_ctes("docs") + FLAT_DOCS,

@@ -28,11 +28,14 @@ from metaweave.plans.lake import LakeCatalog, lake_catalog
 from metaweave.session import materialize, scratch_path
 from metaweave.sources import commit_log, exchange, index
 from metaweave.sources.fixtures import Fixtures, landed_fixtures
+from metaweave.sources.graph_store import GraphStore
 
 # Identity of the lake catalog in every query.
 DATABASE = "delta"
 CLUSTER = "main"
 TOP_K = 10
+# Buckets of the stages' graph: a few files a label at the test scales.
+GRAPH_BUCKETS = 16
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,9 +71,18 @@ class Stages:
 
     @cached_property
     def graph(self) -> tuple[DataFrame, DataFrame]:
+        store = self.new_store()
+        return store.nodes().drop("publish_tag"), store.edges().drop("publish_tag")
+
+    def new_store(self) -> GraphStore:
         tables, columns = self.lake.table_records, self.lake.column_records
-        return (materialize(G.graph_nodes(tables, columns), "nodes"),
-                materialize(G.graph_edges(tables, columns), "edges"))
+        store = GraphStore(self.spark, scratch_path(self.spark, "graph"), buckets=GRAPH_BUCKETS)
+        return store.create(G.graph_nodes(tables, columns), G.graph_edges(tables, columns), "run_a")
+
+    @cached_property
+    def merged_store(self) -> GraphStore:
+        """A store of its own for the merge queries; merging the same batch again leaves it as it is."""
+        return self.new_store()
 
     @cached_property
     def last_updated(self) -> DataFrame:
@@ -259,13 +271,21 @@ def q_csv_exchange_edges(spark, sf_dir):
     return back
 
 
-def q_publish_upsert(spark, sf_dir):
+def _merged(spark, sf_dir) -> GraphStore:
+    """The store of run_a after the second column snapshot's graph came in as run_b."""
     st = stages(spark, sf_dir)
     tables, columns = st.lake.table_records, st.lake.columns
-    current = st.graph[0].withColumn("publish_tag", F.lit("run_a"))
     cols_b = R.column_records_of(st.fx.columns_b(columns), tables, DATABASE, CLUSTER)
-    batch = G.graph_nodes(tables, cols_b)
-    return G.publish_upsert(current, batch, "run_b").select("key", "label", "description", "col_type", "publish_tag")
+    st.merged_store.upsert(G.graph_nodes(tables, cols_b), G.graph_edges(tables, cols_b), "run_b")
+    return st.merged_store
+
+
+def q_publish_upsert(spark, sf_dir):
+    return _merged(spark, sf_dir).nodes().select("key", "label", "description", "col_type", "publish_tag")
+
+
+def q_publish_upsert_edges(spark, sf_dir):
+    return _merged(spark, sf_dir).edges()
 
 
 def _flat_docs(docs: DataFrame) -> DataFrame:
@@ -359,6 +379,7 @@ QUERIES: dict[str, Query] = {
     "csv_exchange": q_csv_exchange,
     "csv_exchange_edges": q_csv_exchange_edges,
     "publish_upsert": q_publish_upsert,
+    "publish_upsert_edges": q_publish_upsert_edges,
     "search_documents": q_search_documents,
     "json_exchange": q_json_exchange,
     "publish_index": q_publish_index,
