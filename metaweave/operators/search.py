@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metaweave.functions.exprs import node_key, tokens
-from metaweave.functions.sizing import at_most
 from metaweave.model import S, TB
 from metaweave.operators.graph import assembled_tables
 
@@ -40,69 +41,132 @@ def search_documents(
     return docs.join(lu, "key", "left")
 
 
-def search_index(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Item 26: ``(postings, doclen)``.
+#: Fields of a document, in the order in which its terms are counted.
+FIELDS = ("name", "description", "column_names", "column_descriptions")
+#: Folders that postings are dealt into by term; a query reads the folders of its terms.
+TERM_BUCKETS = 256
+
+
+def term_bucket(term: Column | str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
 
-    ``postings(term, key, tf, doc_len)``: term frequency of every term in every
-    document, over the name, description, column names and column
-    descriptions; the document length rides along so ranking needs no join
-    on documents.  ``doclen(key, doc_len)``.  Both are partial aggregates:
-    a common term or a long document never lands whole in one task.
+@dataclass(frozen=True)
+class SearchIndex:
+    """An inverted index.
+
+    * ``postings(term, key, tf, doc_len, fields, bucket)``: how often a term stands in a document, the document's length in
+      terms, and the term's 0-based positions in each field (``array<struct<field, positions>>``);
+    * ``terms(term, df, max_tf, min_len, bucket)``: in how many documents, its largest frequency and the shortest document,
+      which bound what the term can add to any document's score;
+    * ``stats(n_docs, total_len)``: one row.
     """
-    texts = docs.select(
-        "key",
-        F.explode(F.concat(F.array("name", "description"), "column_names", "column_descriptions")).alias("_t"),
-    ).where(F.col("_t").isNotNull())
-    terms = texts.select("key", F.explode(tokens("_t")).alias("term"))
-    tf = terms.groupBy("term", "key").agg(F.count(F.lit(1)).alias("tf"))
-    doclen = tf.groupBy("key").agg(F.sum("tf").alias("doc_len"))
-    postings = tf.join(doclen, "key")
-    return postings, doclen
-
-
-def search_rank(
-    queries: DataFrame,
-    postings: DataFrame,
-    doclen: DataFrame,
-    k: int = 10,
-    k1: float = BM25_K1,
-    b: float = BM25_B,
-) -> DataFrame:
+
+    postings: DataFrame
+    terms: DataFrame
+    stats: DataFrame
+
+    def write(self, path: str) -> SearchIndex:
+        """Postings by ranges of (term, document), sorted: a term's postings lie together, a very common term's in many files."""
+        spark = self.postings.sparkSession
+        self.postings.repartitionByRange("bucket", "term", "key").sortWithinPartitions("bucket", "term", "key").write.partitionBy("bucket").parquet(f"{path}/postings")
+        stored = spark.read.parquet(f"{path}/postings").select(*self.postings.columns)
+        _terms(stored).write.parquet(f"{path}/terms")
+        self.stats.write.parquet(f"{path}/stats")
+        return SearchIndex.read(spark, path)
+
+    @staticmethod
+    def read(spark: SparkSession, path: str) -> SearchIndex:
+        return SearchIndex(*[spark.read.parquet(f"{path}/{name}") for name in ("postings", "terms", "stats")])
+
+
+def _terms(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("term", "bucket").agg(
+        F.count(F.lit(1)).alias("df"), F.max("tf").alias("max_tf"), F.min("doc_len").alias("min_len")).select("term", "df", "max_tf", "min_len", "bucket")
+
+
+def search_index(docs: DataFrame, buckets: int = TERM_BUCKETS) -> SearchIndex:
+    """Item 26: the inverted index of search documents (see :class:`SearchIndex`), lazily.
+
+    A document's terms are numbered, and counted, in its own row, so documents are scanned once and lengths need no join;
+    elements of a list field follow one another.  One shuffle on (term, document) with partial counts: neither a common
+    term nor a long document lands whole in one task.
+    """
+    kinds = dict(docs.dtypes)
+
+    def of_field(no: int, name: str) -> Column:
+        text = F.array_join(name, " ") if kinds[name].startswith("array") else F.col(name)
+        terms = F.coalesce(tokens(text), F.array().cast("array<string>"))
+        return F.transform(terms, lambda t, i: F.struct(t.alias("term"), F.lit(no).alias("f"), i.alias("p")))
+
+    hits = F.flatten(F.array(*[of_field(no, name) for no, name in enumerate(FIELDS)]))
+    counted = docs.select("key", hits.alias("hits")).select("key", F.size("hits").cast("long").alias("doc_len"), "hits")
+    found = counted.select("key", "doc_len", F.inline("hits")).groupBy("term", "key").agg(
+        F.count(F.lit(1)).alias("tf"), F.max("doc_len").alias("doc_len"), F.array_sort(F.collect_list(F.struct("f", "p"))).alias("hits"))
+
+    def places(no: int, name: str) -> Column:
+        own = F.filter("hits", lambda h: h["f"] == no)
+        return F.struct(F.lit(name).alias("field"), F.transform(own, lambda h: h["p"]).alias("positions"))
+
+    fields = F.array(*[places(no, name) for no, name in enumerate(FIELDS)])
+    postings = found.select("term", "key", "tf", "doc_len", F.filter(fields, lambda f: F.size(f["positions"]) > 0).alias("fields"),
+                            term_bucket("term", buckets).alias("bucket"))
+    stats = counted.where("doc_len > 0").agg(F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.sum("doc_len"), F.lit(0)).alias("total_len"))
+    return SearchIndex(postings, _terms(postings), stats)
+
+
+def search_rank(queries: DataFrame, index: SearchIndex, k: int = 10, k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
     """Item 27: top-``k`` documents per query by BM25, ties broken by key.
 
-    ``queries(query_id, text)``; output (query_id, rank, key, score) with the
-    score rounded to 6 places before ranking.  The corpus size and mean
-    length are one aggregate row; the query-term table is small and joins the
-    postings by term.  ``row_number() <= k`` is planned as a partial per-task
-    limit before the shuffle on ``query_id``, so a query that matches every
-    document still ships at most ``k`` rows per task.
+    ``queries(query_id, text)``; output (query_id, rank, key, score) with the score rounded to 6 places before ranking.
+
+    * The query's terms meet the term dictionary; each gets its weight and the most it can add to a score.
+    * Rare terms first: the postings of a query's rarest terms, as many as hold ``k`` documents, give the ``k``-th best
+      score so far.  No document below it can be in the result.
+    * The query's weakest terms that together cannot reach that score need no candidates of their own: only documents with
+      one of the other terms are scored, and the postings of weak, that is common, terms are reduced to those documents
+      before they are exchanged.
+
+    Postings are read by their bucket, pruned at run time to the buckets of the query's terms; nothing runs while the query
+    is built.  ``row_number() <= k`` is planned as a per-task limit before the shuffle on ``query_id``.
     """
-    stats = doclen.agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl")).first()
-    n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
-    qterms = queries.select("query_id", F.explode(F.array_distinct(tokens("text"))).alias("term"))
-    # One size check on the query-term side bounds both small sides below
-    # (the weighted terms are a subset of it); above the bound the joins are
-    # left to the planner.
-    small = at_most(qterms)
-
-    def side(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if small else df
-
-    # Postings of the query terms only; the postings are never shuffled for it.
-    matched = postings.join(side(qterms.select("term").distinct()), "term", "left_semi")
-    df_t = matched.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = side(qterms.join(df_t.select("term", idf.alias("idf")), "term"))
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("doc_len") / F.lit(avgdl if avgdl else 1.0))
-    part = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    scored = (
-        matched.join(weighted, "term")
-        .groupBy("query_id", "key")
-        .agg(F.round(F.sum(part), SCORE_DIGITS).alias("score"))
-    )
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("key"))
+    n_docs = F.coalesce(index.stats.select("n_docs").scalar(), F.lit(0)).cast("double")
+    total = F.coalesce(index.stats.select("total_len").scalar(), F.lit(0)).cast("double")
+    asked = queries.select("query_id", F.explode(F.array_distinct(tokens("text"))).alias("term")).where(F.length("term") > 0)
+
+    def weight(tf: Column, length: Column) -> Column:
+        mean = F.col("mean_len")
+        norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * length / F.when(mean > 0, mean).otherwise(1.0))
+        return F.col("idf") * tf * F.lit(k1 + 1.0) / (tf + norm)
+
+    idf = F.log(F.lit(1.0) + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    terms = asked.join(index.terms, "term").withColumns({"n": n_docs, "mean_len": total / F.greatest(n_docs, F.lit(1.0))}).withColumn("idf", idf)
+    terms = terms.withColumn("most", weight(F.col("max_tf"), F.col("min_len"))).select("query_id", "term", "bucket", "df", "idf", "mean_len", "most")
+
+    # A query has few terms: its windows are small, and there are as many as queries.
+    rare = Window.partitionBy("query_id").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
+    seeds = terms.withColumn("held", F.coalesce(F.sum("df").over(rare), F.lit(0))).where(F.col("held") < k)
+
+    def scored(some: DataFrame) -> DataFrame:
+        hits = index.postings.select("bucket", "term", "key", "tf", "doc_len").join(some, ["bucket", "term"])
+        return hits.select("query_id", "key", weight(F.col("tf"), F.col("doc_len")).alias("part"))
+
+    def summed(parts: DataFrame) -> DataFrame:
+        return parts.groupBy("query_id", "key").agg(F.round(F.sum("part"), SCORE_DIGITS).alias("score"))
+
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("key"))
+    reached = summed(scored(seeds)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    # The k-th best score of the seeds; fewer than k documents say nothing.
+    bar = reached.groupBy("query_id").agg(F.max(F.when(F.col("rank") == k, F.col("score"))).alias("bar"))
+    weakest = Window.partitionBy("query_id").orderBy("most", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Half a step of the rounding on either side, so that equal rounded scores stay in.
+    within = F.sum("most").over(weakest) + 2 * 10.0**-SCORE_DIGITS < F.col("bar")
+    ranked = terms.join(bar, "query_id", "left").withColumn("weak", F.coalesce(within, F.lit(False))).drop("bar")
+    strong = scored(ranked.where(~F.col("weak")))
+    candidates = strong.select("query_id", "key").distinct()
+    weak = scored(ranked.where(F.col("weak"))).join(candidates, ["query_id", "key"], "left_semi")
     return (
-        scored.withColumn("rank", F.row_number().over(w))
+        summed(strong.unionByName(weak)).withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
         .select("query_id", F.col("rank").cast("int").alias("rank"), "key", "score")
     )

@@ -320,7 +320,18 @@ LEFT JOIN (SELECT {key('db', 'cluster', 'schema_name', 'table_name')} AS key,
            FROM crec GROUP BY db, cluster, schema_name, table_name) c ON c.key = r.key
 LEFT JOIN (SELECT {key('db', 'cluster', 'schema_name', 'table_name')} AS key, last_updated_time_epoch FROM lu) l
   ON l.key = r.key""",
-    "search_index": with_ctes("postings") + "SELECT term, key, tf FROM postings",
+    # Positions count the terms of a field; the elements of a list follow one another.
+    "search_index": with_ctes("docs") + """,
+texts AS (
+  SELECT key, 'name' AS field, name AS txt FROM docs UNION ALL SELECT key, 'description', description FROM docs
+  UNION ALL SELECT key, 'column_names', replace(column_names, ',', ' ') FROM docs
+  UNION ALL SELECT key, 'column_descriptions', column_descriptions FROM docs
+), split AS (SELECT key, field, list_filter(regexp_split_to_array(lower(txt), '[^a-z0-9]+'), lambda t: t <> '') AS ts FROM texts WHERE txt IS NOT NULL),
+hits AS (SELECT key, field, ts[p + 1] AS term, p FROM split, unnest(range(0, len(ts))) AS r(p)),
+lens AS (SELECT key, count(*) AS doc_len FROM hits GROUP BY key),
+tfs AS (SELECT term, key, count(*) AS tf FROM hits GROUP BY term, key)
+SELECT h.term, h.key, any_value(tf) AS tf, any_value(doc_len) AS doc_len, field, string_agg(CAST(p AS VARCHAR), ',' ORDER BY p) AS positions
+FROM hits h JOIN lens USING (key) JOIN tfs ON tfs.term = h.term AND tfs.key = h.key GROUP BY h.term, h.key, field""",
     "search_rank": with_ctes("postings") + """,
 dl AS (SELECT key, sum(tf) AS doc_len FROM postings GROUP BY key),
 st AS (SELECT count(*) AS n, avg(doc_len) AS avgdl FROM dl),

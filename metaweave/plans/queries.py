@@ -36,6 +36,7 @@ CLUSTER = "main"
 TOP_K = 10
 # Buckets of the stages' graph: a few files a label at the test scales.
 GRAPH_BUCKETS = 16
+TERM_BUCKETS = 64
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,16 +95,11 @@ class Stages:
         return materialize(Q.search_documents(nodes, edges, self.last_updated), "search-docs")
 
     @cached_property
-    def postings(self) -> DataFrame:
-        postings, _ = Q.search_index(self.docs)
-        return materialize(postings, "postings")
-
-    @cached_property
-    def doclen(self) -> DataFrame:
-        return materialize(self.postings.select("key", "doc_len").distinct(), "doclen")
+    def index(self) -> Q.SearchIndex:
+        return Q.search_index(self.docs, TERM_BUCKETS).write(scratch_path(self.spark, "search-index"))
 
     def build_all(self) -> None:
-        self.doclen  # noqa: B018 - builds every stage before it
+        self.index  # noqa: B018 - builds every stage before it
 
 
 _STAGES: dict[tuple[str, str], Stages] = {}
@@ -327,8 +323,10 @@ def q_graph_lookup(spark, sf_dir):
 
 
 def q_search_index(spark, sf_dir):
-    postings, _ = Q.search_index(stages(spark, sf_dir).docs)
-    return postings.select("term", "key", "tf")
+    """Every term of every field of every document with its positions."""
+    postings = Q.search_index(stages(spark, sf_dir).docs).postings
+    return postings.select("term", "key", "tf", "doc_len", F.inline("fields")).select(
+        "term", "key", "tf", "doc_len", "field", F.array_join(F.transform("positions", lambda p: p.cast("string")), ",").alias("positions"))
 
 
 def search_queries(fx: Fixtures) -> DataFrame:
@@ -351,7 +349,7 @@ def search_queries(fx: Fixtures) -> DataFrame:
 def q_search_rank(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     st = stages(spark, sf_dir)
-    return Q.search_rank(search_queries(fx), st.postings, st.doclen, k=TOP_K)
+    return Q.search_rank(search_queries(fx), st.index, k=TOP_K)
 
 
 QUERIES: dict[str, Query] = {

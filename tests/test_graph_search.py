@@ -1,5 +1,10 @@
 """Graph keys, CSV / JSON hand-off, upsert, index swap, search."""
 
+import math
+import random
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from metaweave.model import NODES
@@ -93,11 +98,11 @@ def test_bm25_ranks_rare_term_first(spark):
          ("k3", "gamma", None, ["common"], [])],
         "key string, name string, description string, column_names array<string>, "
         "column_descriptions array<string>")
-    postings, doclen = Q.search_index(docs)
-    tf = {(r.term, r.key): r.tf for r in postings.collect()}
+    index = Q.search_index(docs)
+    tf = {(r.term, r.key): r.tf for r in index.postings.collect()}
     assert tf[("rare", "k2")] == 2 and tf[("common", "k1")] == 1
     queries = spark.createDataFrame([(1, "rare common"), (2, "nothing")], "query_id int, text string")
-    ranked = Q.search_rank(queries, postings, doclen, k=2).orderBy("query_id", "rank").collect()
+    ranked = Q.search_rank(queries, index, k=2).orderBy("query_id", "rank").collect()
     # k2 holds the rare term; of the rest the shorter document (k3) ranks first.
     assert [(r.query_id, r.rank, r.key) for r in ranked] == [(1, 1, "k2"), (1, 2, "k3")]
 
@@ -107,14 +112,71 @@ def test_topk_is_limited_before_the_shuffle(spark):
         [(f"k{i}", f"n{i}", "common", [], []) for i in range(50)],
         "key string, name string, description string, column_names array<string>, "
         "column_descriptions array<string>")
-    postings, doclen = Q.search_index(docs)
+    index = Q.search_index(docs)
     queries = spark.createDataFrame([(1, "common")], "query_id int, text string")
-    ranked = Q.search_rank(queries, postings, doclen, k=3)
+    ranked = Q.search_rank(queries, index, k=3)
     assert ranked.count() == 3
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
 
+DOCS = "key string, name string, description string, column_names array<string>, column_descriptions array<string>"
+
+
+def test_postings_keep_fields_and_positions(spark):
+    docs = spark.createDataFrame([("k", "a-b a", "B c", ["a", "x a"], [None, "c"]), ("none", None, "...", [], None)], DOCS)
+    index = Q.search_index(docs)
+    got = {r.term: ([(f.field, f.positions) for f in r.fields], r.tf, r.doc_len) for r in index.postings.collect()}
+    assert got["a"] == ([("name", [0, 2]), ("column_names", [0, 2])], 4, 9)
+    assert got["b"] == ([("name", [1]), ("description", [0])], 2, 9)
+    assert got["c"] == ([("description", [1]), ("column_descriptions", [0])], 2, 9) and set(got) == {"a", "b", "c", "x"}
+    assert [tuple(r) for r in index.stats.collect()] == [(1, 9)]
+    assert Q.search_rank(spark.createDataFrame([(1, "a")], "query_id int, text string"), Q.search_index(docs.limit(0)), k=3).count() == 0
+
+
+def bm25(docs, queries, k):
+    """All documents of every query, in plain Python."""
+    words = {d[0]: [w for w in re.split("[^a-z0-9]+", " ".join([d[1] or "", d[2] or "", *d[3], *d[4]]).lower()) if w] for d in docs}
+    words = {key: w for key, w in words.items() if w}
+    mean = sum(map(len, words.values())) / len(words)
+    out = []
+    for q, text in queries:
+        scores = {}
+        for t in set(re.split("[^a-z0-9]+", text.lower())) - {""}:
+            df = sum(t in w for w in words.values())
+            for key, w in words.items():
+                if tf := w.count(t):
+                    idf = math.log(1 + (len(words) - df + 0.5) / (df + 0.5))
+                    scores[key] = scores.get(key, 0) + idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(w) / mean))
+        best = sorted(scores, key=lambda x: (-round(scores[x], 6), x))[:k]
+        out += [(q, i + 1, key) for i, key in enumerate(best)]
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_pruned_ranking_equals_full_scoring(spark, tmp_path, seed):
+    """Zipf-like terms: common ones are weak, rare ones fewer than k; ties; unknown terms; an index read back from files."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(120)]
+    weights = [1 / (i + 1) for i in range(120)]
+    docs = [(f"k{i:03d}", " ".join(rng.choices(vocabulary, weights, k=rng.randint(0, 12))), None, rng.choices(vocabulary, weights, k=2) if i % 3 else [], []) for i in range(400)]
+    queries = [(q, " ".join(rng.choices(vocabulary, k=rng.randint(1, 6)) + rng.choices(vocabulary, weights, k=3) + ["unknown"])) for q in range(25)]
+    index = Q.search_index(spark.createDataFrame(docs, DOCS), 8).write(str(tmp_path / "index"))
+    asked = spark.createDataFrame(queries, "query_id int, text string")
+    for k in (1, 5, 500):
+        got = [(r.query_id, r.rank, r.key) for r in Q.search_rank(asked, index, k=k).collect()]
+        assert sorted(got) == sorted(bm25(docs, queries, k))
+
+
+def test_ranking_reads_the_query_terms_folders_only(spark, tmp_path):
+    index = Q.search_index(spark.createDataFrame([(f"k{i}", f"n{i} common", None, [], []) for i in range(300)], DOCS), 64).write(str(tmp_path / "index"))
+    queries = spark.createDataFrame([(1, "n7 n9")], "query_id int, text string")
+    ranked = Q.search_rank(queries, index, k=3)
+    assert {r.key for r in ranked.collect()} == {"k7", "k9"}
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
 def test_broadcast_only_under_the_bound(spark):
     from metaweave.functions.sizing import at_most, broadcast_if_small
     small = spark.range(5)
