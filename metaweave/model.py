@@ -6,6 +6,8 @@ from pyspark.sql import types as T
 
 S, TB = "schema_name", "table_name"
 TABLE_KEYS = [S, TB]
+# Block of line numbers, a column of DESCRIBE rows that were landed in buckets.
+ROW_BLOCK = "row_block"
 
 # --- landed raw tables -------------------------------------------------------
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from metaweave.functions.exprs import is_describe_marker
 from metaweave.functions.ordered import DEFAULT_BLOCK, block_of
-from metaweave.model import DETAILED_TABLE_MARKER, S, TABLE_KEYS, TB
+from metaweave.model import DETAILED_TABLE_MARKER, ROW_BLOCK, S, TABLE_KEYS, TB
 
 SECTION_COLUMN = "column"
 SECTION_MARKER = "marker"
@@ -27,8 +27,6 @@ MATCH_DATA_TYPE_FIRST = "data_type_first"
 MATCH_NAME_FIRST = "name_first"
 
 _BLK, _OFF, _FIRST = "_mw_blk", "_mw_off", "_mw_first_marker"
-PAYLOAD_TYPE = "struct<row_no:int,data_type:string,description:string,sort_order:int>"
-REF_TYPE = "struct<c:string,t:string>"
 
 
 def annotate_describe(raw_describe: DataFrame, block_size: int = DEFAULT_BLOCK) -> DataFrame:
@@ -44,9 +42,12 @@ def annotate_describe(raw_describe: DataFrame, block_size: int = DEFAULT_BLOCK)
     of later blocks get the count of rows and the first marker of all earlier
     blocks from a per-block summary; that summary only has rows for tables
     spanning several blocks, so the lookup is a join with a small table.
+    Input landed in buckets of (table, block) (``sources.landed.land_describe``)
+    is numbered where it lies, without a shuffle of its rows.
     """
     marker = is_describe_marker("col_name")
-    d = raw_describe.withColumn(_BLK, block_of("row_no", block_size))
+    landed = ROW_BLOCK in raw_describe.columns and block_size == DEFAULT_BLOCK
+    d = raw_describe.withColumnRenamed(ROW_BLOCK, _BLK) if landed else raw_describe.withColumn(_BLK, block_of("row_no", block_size))
     per_block = d.groupBy(*TABLE_KEYS, _BLK).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(F.when(marker, F.col("row_no"))).alias("_mk"),
@@ -81,7 +82,7 @@ def annotate_describe(raw_describe: DataFrame, block_size: int = DEFAULT_BLOCK)
             F.when(F.col("section") == SECTION_COLUMN,
                    (F.coalesce(F.col(_OFF), F.lit(0)) + F.col("_mw_rn") - 1).cast("int")),
         )
-        .drop(_BLK, _OFF, "_mw_rn", "_mw_marker_here", "_mw_marker_before")
+        .drop(_BLK, ROW_BLOCK, _OFF, "_mw_rn", "_mw_marker_here", "_mw_marker_before")
     )
 
 
@@ -123,66 +124,38 @@ def partition_columns(annotated: DataFrame, match: str = MATCH_DATA_TYPE_FIRST)
     """
     if match not in (MATCH_DATA_TYPE_FIRST, MATCH_NAME_FIRST):
         raise ValueError(f"unknown match rule {match!r}")
-    first, second = (0, 1) if match == MATCH_DATA_TYPE_FIRST else (1, 0)
     section = F.col("section")
-    ref = F.struct(F.col("col_name").alias("c"), F.col("data_type").alias("t"))
+    named, typed = F.col("col_name"), F.col("data_type")
+    first, second = (typed, named) if match == MATCH_DATA_TYPE_FIRST else (named, typed)
     payload = F.struct(
         F.col("row_no"), F.col("data_type"),
         F.nullif(F.col("comment"), F.lit("")).alias("description"), F.col("sort_order"),
     )
-
-    def entry(name, pri, r, p):
-        return F.struct(name.alias("name"), pri.alias("pri"), r.alias("ref"), p.alias("payload"))
-
-    # One pass over the non-marker rows: a column row names itself and carries
-    # its values; a partition row names two candidates, its data_type and its
-    # col_name, ranked by the match rule.
-    entries = F.when(
-        section == SECTION_COLUMN,
-        F.array(entry(F.col("col_name"), F.lit(None).cast("int"),
-                      F.lit(None).cast(REF_TYPE), payload)),
-    ).otherwise(F.array(
-        entry(F.col("data_type"), F.lit(first), ref, F.lit(None).cast(PAYLOAD_TYPE)),
-        entry(F.col("col_name"), F.lit(second), ref, F.lit(None).cast(PAYLOAD_TYPE)),
-    ))
-    is_col_entry = F.col("pri").isNull()
+    column = section == SECTION_COLUMN
     # Rows without a schema or table name belong to no table.
     keyed = F.col(S).isNotNull() & F.col(TB).isNotNull()
-    per_name = (
+    # A column row gives its name; a partition row asks whether its first candidate is a column, and brings its second.
+    # Struct order: the highest row_no wins.
+    entries = (
         annotated.where(keyed & (section != SECTION_MARKER))
-        .select(*TABLE_KEYS, F.inline(entries))
-        .groupBy(*TABLE_KEYS, "name")
-        .agg(
-            F.max("payload").alias("last"),          # struct order: highest row_no wins
-            F.max(is_col_entry).alias("is_column"),
-            F.collect_list(F.when(~is_col_entry, F.struct("pri", "ref"))).alias("refs"),
-        )
-        .where(F.col("is_column"))
-    )
-    # Linear from here, so the DESCRIBE pass runs once.  Each column passes
-    # through under its own key; each partition row it can answer becomes a
-    # vote under the partition row's key, and the best-ranked column wins it.
-    own = F.array(F.struct(
-        F.struct(F.lit(0).alias("kind"), F.col("name").alias("n"), F.lit(None).cast(REF_TYPE).alias("r")).alias("k"),
-        F.col("name").alias("name"), F.col("last").alias("last"), F.lit(None).cast("int").alias("pri"),
-    ))
-    votes = F.transform("refs", lambda v: F.struct(
-        F.struct(F.lit(1).alias("kind"), F.lit(None).cast("string").alias("n"), v["ref"].alias("r")).alias("k"),
-        F.col("name").alias("name"), F.lit(None).cast(PAYLOAD_TYPE).alias("last"), v["pri"].alias("pri"),
-    ))
-    resolved = (
-        per_name.select(*TABLE_KEYS, F.inline(F.concat(own, votes)))
-        .groupBy(*TABLE_KEYS, "k")
-        .agg(
-            F.max("last").alias("last"),
-            F.coalesce(F.min_by("name", "pri"), F.max("name")).alias("name"),
-        )
+        .select(*TABLE_KEYS, F.when(column, named).otherwise(first).alias("name"),
+                (~column).alias("asks"), F.when(~column, second).alias("second"), F.when(column, payload).alias("payload"))
+        .groupBy(*TABLE_KEYS, "name", "asks", "second").agg(F.max("payload").alias("payload"))
     )
+    # The name's own entry and all questions about it meet: the last of its values and whether it was asked for.
+    same = Window.partitionBy(*TABLE_KEYS, "name")
+    met = entries.withColumns({"is_column": F.max(~F.col("asks")).over(same), "asked": F.max("asks").over(same)})
+    # A column keeps its row; a question about no column becomes a mark on the second candidate.
+    marks = F.col("asks") & ~F.col("is_column")
     return (
-        resolved.groupBy(*TABLE_KEYS, "name")
-        .agg(F.max("last").alias("last"), F.max(F.col("k.kind") == 1).alias("is_partition"))
+        met.where(~F.col("asks") | marks)
+        .select(*TABLE_KEYS, F.when(marks, F.col("second")).otherwise(F.col("name")).alias("col_name"),
+                "payload", F.when(marks, True).otherwise(F.col("asked")).alias("is_partition"))
+        .groupBy(*TABLE_KEYS, "col_name")
+        .agg(F.max("payload").alias("last"), F.max("is_partition").alias("is_partition"))
+        .where(F.col("last").isNotNull())
         .select(
-            *TABLE_KEYS, F.col("name").alias("col_name"),
+            *TABLE_KEYS, "col_name",
             F.col("last.data_type").alias("data_type"),
             F.col("last.description").alias("description"),
             F.col("last.sort_order").alias("sort_order"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from metaweave.model import RAW_SCHEMAS, RAW_SCHEMAS_BY_NAME, S, TB
 from metaweave.session import scratch_path
-from metaweave.sources.landed import write_landed
+from metaweave.sources.landed import land_describe, write_landed
 
 SOURCE_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -297,6 +297,12 @@ class LandedFixtures(Fixtures):
         for name in LANDED_NAMES:
             df = spark.read.schema(LANDED_SCHEMAS[name]).parquet(f"{root}/{name}")
             self.__dict__[name] = df  # fills the cached properties
+        self.__dict__["raw_describe"] = spark.table(describe_table(root))
+
+
+def describe_table(root: str) -> str:
+    """Name of the saved table that holds the landed DESCRIBE rows of ``root``."""
+    return "mw_describe_" + root.rsplit("-", 1)[-1]
 
 
 def landed_fixtures(spark: SparkSession, sf_dir: str) -> LandedFixtures:
@@ -304,6 +310,8 @@ def landed_fixtures(spark: SparkSession, sf_dir: str) -> LandedFixtures:
     root = _LANDED.get(key)
     if root is None:
         root = scratch_path(spark, "landed")
-        write_landed(Fixtures(spark, sf_dir).all_raw(), root)
+        raw = Fixtures(spark, sf_dir).all_raw()
+        land_describe(raw.pop("raw_describe"), describe_table(root), f"{root}/raw_describe")
+        write_landed(raw, root)
         _LANDED[key] = root
     return LandedFixtures(spark, sf_dir, root)

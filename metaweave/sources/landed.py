@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaweave.model import RAW_SCHEMAS_BY_NAME
+from metaweave.functions.ordered import DEFAULT_BLOCK, block_of
+from metaweave.model import RAW_SCHEMAS_BY_NAME, ROW_BLOCK
 
 
 def read_landed(spark: SparkSession, root: str, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
@@ -38,6 +39,21 @@ def write_landed(tables: Mapping[str, DataFrame], root: str, mode: str = "overwr
          .parquet(f"{root.rstrip('/')}/{name}"))
 
 
+def land_describe(raw_describe: DataFrame, table: str, path: str, buckets: int | None = None) -> DataFrame:
+    """Land DESCRIBE rows as the saved table ``table`` under ``path``, in buckets of (schema, table, block of lines).
+
+    Sections and positions are computed per (table, block), so a reader of the landed table shuffles none of its rows
+    for them; a table with very many lines has many blocks and lies in many buckets.
+    """
+    n = buckets or raw_describe.sparkSession.sparkContext.defaultParallelism
+    blocked = raw_describe.withColumn(ROW_BLOCK, block_of("row_no", DEFAULT_BLOCK))
+    keys = ["schema_name", "table_name", ROW_BLOCK]
+    # One task a bucket: its rows are sorted once and lie in one file.
+    (blocked.repartition(n, *keys).write.mode("overwrite").option("path", path).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .bucketBy(n, *keys).sortBy(*keys, "row_no").saveAsTable(table))
+    return raw_describe.sparkSession.table(table)
+
+
 def relational_columns_jdbc(
     spark: SparkSession,
     url: str,
