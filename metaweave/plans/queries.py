@@ -99,7 +99,7 @@ class Stages:
         return Q.search_index(self.docs, TERM_BUCKETS).write(scratch_path(self.spark, "search-index"))
 
     def build_all(self) -> None:
-        self.index  # noqa: B018 - builds every stage before it
+        self.index, self.merged_store  # noqa: B018 - builds every stage before them
 
 
 _STAGES: dict[tuple[str, str], Stages] = {}
@@ -267,21 +267,23 @@ def q_csv_exchange_edges(spark, sf_dir):
     return back
 
 
-def _merged(spark, sf_dir) -> GraphStore:
-    """The store of run_a after the second column snapshot's graph came in as run_b."""
+def _batch_b(spark, sf_dir) -> tuple[Stages, DataFrame, DataFrame]:
+    """The stages, and the records of the second column snapshot."""
     st = stages(spark, sf_dir)
     tables, columns = st.lake.table_records, st.lake.columns
-    cols_b = R.column_records_of(st.fx.columns_b(columns), tables, DATABASE, CLUSTER)
-    st.merged_store.upsert(G.graph_nodes(tables, cols_b), G.graph_edges(tables, cols_b), "run_b")
-    return st.merged_store
+    return st, tables, R.column_records_of(st.fx.columns_b(columns), tables, DATABASE, CLUSTER)
 
 
 def q_publish_upsert(spark, sf_dir):
-    return _merged(spark, sf_dir).nodes().select("key", "label", "description", "col_type", "publish_tag")
+    st, tables, columns = _batch_b(spark, sf_dir)
+    st.merged_store.upsert(G.graph_nodes(tables, columns), None, "run_b")
+    return st.merged_store.nodes().select("key", "label", "description", "col_type", "publish_tag")
 
 
 def q_publish_upsert_edges(spark, sf_dir):
-    return _merged(spark, sf_dir).edges()
+    st, tables, columns = _batch_b(spark, sf_dir)
+    st.merged_store.upsert(None, G.graph_edges(tables, columns), "run_b")
+    return st.merged_store.edges()
 
 
 def _flat_docs(docs: DataFrame) -> DataFrame:

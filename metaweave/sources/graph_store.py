@@ -1,17 +1,21 @@
 """The current graph as a store that batches are merged into.
 
-Nodes lie under ``nodes/label=<label>/bucket=<n>``, edges under ``edges/type=<type>/bucket=<n>``.  The bucket is a hash of
-the table a row belongs to (a column's, its edge's or the table's own key up to the table part), so what is known about a
-table lies in one bucket of each label and type, a read of one label or type scans its folder only, and a batch rewrites
-only the buckets of its tables: the cost of a merge follows the batch, not the graph.
-
-A merge is written to the shared folder first and then moved over the touched buckets (dynamic partition overwrite).
-If it is cut off between two buckets, running the batch again completes it: upserting twice is upserting once.
-Writers of one graph take turns.  A bucket that holds a very large table is written by many tasks (rebalanced writes).
+Nodes lie under ``nodes/label=<label>/bucket=<n>/run=<run>``, edges under ``edges/type=<type>/bucket=<n>/run=<run>``.  The
+bucket is a hash of the table a row belongs to (a column's, its edge's or the table's own key up to the table part), so what
+is known about a table lies in one bucket of each label and type, a read of one label or type scans its folders only, and a
+batch writes only the buckets of its tables anew: the cost of a merge follows the batch, not the graph.
+
+A manifest names the run that holds each bucket.  A merge writes its buckets as a new run and then commits the next manifest
+(``sources.versions``): readers see the graph before or after it, never a mix, files of other buckets are not touched, and a
+merge that is cut off leaves no trace but unused files.  Of two merges at once the loser sees that its manifest is taken and
+merges again on top of the winner's.  Runs that the last manifests do not name are deleted.  A bucket that holds a very large
+table is written by many tasks (rebalanced writes).
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +24,7 @@ from pyspark.sql import functions as F
 from metaweave.model import EDGES, NODES
 from metaweave.operators.graph import publish_upsert, table_part
 from metaweave.session import materialize
+from metaweave.sources.versions import commit_version, delete_folder, read_version, versions
 
 BUCKETS = 64
 TAG = "publish_tag"
@@ -40,9 +45,13 @@ class _Kind:
 
 
 NODE_KIND = _Kind("nodes", "label", "key", ("key", "label"), NODES.fieldNames(),
-                  "key string, name string, description string, col_type string, sort_order int, is_view boolean, publish_tag string, label string, bucket int")
+                  "key string, name string, description string, col_type string, sort_order int, is_view boolean, publish_tag string, "
+                  "label string, bucket int, run string")
 EDGE_KIND = _Kind("edges", "type", "end_key", ("start_key", "end_key", "type"), EDGES.fieldNames(),
-                  "start_key string, end_key string, publish_tag string, type string, bucket int")
+                  "start_key string, end_key string, publish_tag string, type string, bucket int, run string")
+
+#: Manifests whose runs are kept for readers that are still at them.
+KEEP_VERSIONS = 3
 
 
 class GraphStore:
@@ -51,44 +60,90 @@ class GraphStore:
     def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
-    def _stored(self, kind: _Kind) -> DataFrame:
-        return self.spark.read.schema(kind.schema).parquet(f"{self.root}/{kind.folder}")
+    # -- manifests: {"nodes": {"<label>/<bucket>": run, ...}, "edges": ...} ------------
+
+    @property
+    def _versions(self) -> str:
+        return f"{self.root}/versions"
+
+    def version(self) -> int:
+        """The newest committed version; 0 before the first write."""
+        return max(versions(self.spark, self._versions), default=0)
+
+    def _manifest(self, version: int) -> dict[str, dict[str, str]]:
+        return json.loads(read_version(self.spark, self._versions, version)) if version else {k.folder: {} for k in (NODE_KIND, EDGE_KIND)}
+
+    def _folder(self, kind: _Kind, place: str, run: str) -> str:
+        split, bucket = place.split("/")
+        return f"{self.root}/{kind.folder}/{kind.split}={split}/bucket={bucket}/run={run}"
+
+    def _stored(self, kind: _Kind, runs: dict[str, str]) -> DataFrame:
+        if not runs:
+            return self.spark.createDataFrame([], kind.schema)
+        paths = [self._folder(kind, place, run) for place, run in sorted(runs.items())]
+        return self.spark.read.schema(kind.schema).option("basePath", f"{self.root}/{kind.folder}").parquet(*paths)
+
+    def _read(self, kind: _Kind, version: int | None) -> DataFrame:
+        runs = self._manifest(self.version() if version is None else version)[kind.folder]
+        return self._stored(kind, runs).select(*kind.fields, TAG)
 
-    def nodes(self) -> DataFrame:
-        return self._stored(NODE_KIND).select(*NODE_KIND.fields, TAG)
+    def nodes(self, version: int | None = None) -> DataFrame:
+        return self._read(NODE_KIND, version)
 
-    def edges(self) -> DataFrame:
-        return self._stored(EDGE_KIND).select(*EDGE_KIND.fields, TAG)
+    def edges(self, version: int | None = None) -> DataFrame:
+        return self._read(EDGE_KIND, version)
 
-    def _dealt(self, kind: _Kind, rows: DataFrame, tag: str) -> DataFrame:
-        return rows.select(*kind.fields, F.lit(tag).alias(TAG), bucket_of(kind.at, self.buckets).alias("bucket"))
+    # -- merges ---------------------------------------------------------------------------
 
-    def _write(self, kind: _Kind, rows: DataFrame) -> None:
+    def _write(self, kind: _Kind, rows: DataFrame, run: str) -> None:
         # Rebalancing gathers a bucket's rows in few files and cuts a bucket that is too large for one task.
-        (rows.hint("rebalance", kind.split, "bucket").sortWithinPartitions(kind.split, "bucket", *kind.keys)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(kind.split, "bucket").parquet(f"{self.root}/{kind.folder}"))
+        (rows.withColumn("run", F.lit(run)).hint("rebalance", kind.split, "bucket").sortWithinPartitions(kind.split, "bucket", *kind.keys)
+         .write.mode("append").partitionBy(kind.split, "bucket", "run").parquet(f"{self.root}/{kind.folder}"))
 
-    def create(self, nodes: DataFrame, edges: DataFrame, tag: str) -> GraphStore:
-        """The store's first content."""
+    def _merge(self, kind: _Kind, batch: DataFrame, runs: dict[str, str], tag: str, run: str) -> dict[str, str]:
+        """Writes the batch's buckets as ``run``; returns them as places of the manifest."""
+        # Labels or types times buckets, whatever the size of the batch.
+        places = {f"{r[0]}/{r[1]}": run for r in batch.select(kind.split, "bucket").distinct().collect()}
+        if places:
+            current = self._stored(kind, {p: r for p, r in runs.items() if p in places}).select(*kind.fields, TAG, "bucket")
+            self._write(kind, publish_upsert(current, batch, tag, keys=(*kind.keys, "bucket")), run)
+        return places
+
+    def upsert(self, nodes: DataFrame | None, edges: DataFrame | None, tag: str) -> dict[str, list[str]]:
+        """Merge a batch of nodes, edges or both (item 21): new and matching keys take its values and ``tag``, all other rows
+        stay as they were.  Returns the buckets that were written anew, as ``<label or type>/<bucket>``."""
+        batches = []
         for kind, rows in ((NODE_KIND, nodes), (EDGE_KIND, edges)):
-            self._write(kind, self._dealt(kind, rows, tag))
-        return self
+            if rows is not None:
+                dealt = rows.select(*kind.fields, bucket_of(kind.at, self.buckets).alias("bucket"))
+                batches.append((kind, materialize(dealt, f"batch-{kind.folder}")))
+        while True:
+            version, run = self.version(), uuid.uuid4().hex
+            manifest = self._manifest(version)
+            written = {kind.folder: self._merge(kind, rows, manifest[kind.folder], tag, run) for kind, rows in batches}
+            merged = {folder: {**runs, **written.get(folder, {})} for folder, runs in manifest.items()}
+            if not any(written.values()) or commit_version(self.spark, self._versions, version + 1, json.dumps(merged)):
+                break
+            for kind, _ in batches:  # another merge was faster: this one's buckets may lack its rows
+                self._delete(kind, written[kind.folder])
+        self._clean(version + 1)
+        return {folder: sorted(places) for folder, places in written.items()}
+
+    def _delete(self, kind: _Kind, places: dict[str, str]) -> None:
+        for place, run in places.items():
+            delete_folder(self.spark, self._folder(kind, place, run))
+
+    def _clean(self, version: int) -> None:
+        """Deletes what only the manifest before the kept ones names."""
+        old = version - KEEP_VERSIONS
+        if old < 1:
+            return
+        kept = [self._manifest(v) for v in versions(self.spark, self._versions) if v > old]
+        for kind in (NODE_KIND, EDGE_KIND):
+            gone = set(self._manifest(old)[kind.folder].items()) - {x for m in kept for x in m[kind.folder].items()}
+            self._delete(kind, dict(gone))
 
-    def _merge(self, kind: _Kind, batch: DataFrame, tag: str) -> list[tuple[str, int]]:
-        batch = materialize(self._dealt(kind, batch, tag), f"batch-{kind.folder}")
-        # Labels or types times buckets, whatever the size of the batch.
-        touched = sorted((r[0], r[1]) for r in batch.select(kind.split, "bucket").distinct().collect())
-        if not touched:
-            return touched
-        here = F.lit(False)
-        for split in sorted({s for s, _ in touched}):
-            here = here | ((F.col(kind.split) == split) & F.col("bucket").isin([b for s, b in touched if s == split]))
-        current = self._stored(kind).where(here).select(*kind.fields, TAG, "bucket")
-        merged = publish_upsert(current, batch.drop(TAG), tag, keys=(*kind.keys, "bucket"))
-        self._write(kind, materialize(merged, f"merged-{kind.folder}"))
-        return touched
-
-    def upsert(self, nodes: DataFrame, edges: DataFrame, tag: str) -> dict[str, list[tuple[str, int]]]:
-        """Merge a batch (item 21): new and matching keys take its values and ``tag``.  Returns the buckets it rewrote."""
-        return {kind.folder: self._merge(kind, rows, tag) for kind, rows in ((NODE_KIND, nodes), (EDGE_KIND, edges))}
+    def create(self, nodes: DataFrame, edges: DataFrame, tag: str) -> GraphStore:
+        """The store's first content: a merge into nothing."""
+        self.upsert(nodes, edges, tag)
+        return self

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from metaweave.operators import graph as G
 from metaweave.operators.graph import table_part
+from metaweave.sources import graph_store
 from metaweave.sources.graph_store import GraphStore, bucket_of
 
 TABLES = "db string, cluster string, schema_name string, table_name string, description string, is_view boolean"
@@ -34,16 +35,41 @@ def test_untouched_files_stay(spark, store):
     touched = store.upsert(*graph(spark, ["t7", "new"], "!"), "run_b")
     after = files(store.root)
     mine = {r[0] for r in spark.createDataFrame([("d/c/s%2F1/t7",), ("d/c/s%2F1/new",)], "k string").select(bucket_of("k", 16)).collect()}
-    assert {b for label, b in touched["nodes"] if label in ("Table", "Column")} == mine == {b for t, b in touched["edges"] if t == "TABLE"}
-
-    def at(path):
-        return path.split("/")[-3].split("=")[1], int(path.split("/")[-2].split("=")[1])
-
-    for path, written in before.items():
-        folder = path.split("/")[-4]
-        rewritten = at(path) in touched[folder]
-        assert (path not in after) if rewritten else after[path] == written, path
-    assert len({p for p in before if p in after}) > len(before) / 2
+    assert {f"Table/{b}" for b in mine} | {f"Column/{b}" for b in mine} == {p for p in touched["nodes"] if p.split("/")[0] in ("Table", "Column")}
+    assert {f"TABLE/{b}" for b in mine} == {p for p in touched["edges"] if p.startswith("TABLE/")}
+    assert {p: t for p, t in after.items() if p in before} == before          # nothing is rewritten in place
+    new = {"/".join(x.split("=")[1] for x in p.split("/")[-4:-2]) for p in after if p not in before}
+    assert new == set(touched["nodes"]) | set(touched["edges"])
+    assert len(new) < 20 < len(before)
+
+
+def test_readers_stay_at_their_version(spark, store):
+    old, n = store.nodes(), store.nodes().count()
+    for i in range(2):
+        store.upsert(*graph(spark, ["t7", f"new{i}"], f"{i}"), f"run_{i}")
+    assert old.count() == n and old.where("publish_tag <> 'run_a'").count() == 0
+    assert store.nodes(1).count() == n and store.version() == 3
+    store.upsert(*graph(spark, ["t7"], "9"), "run_9")  # the first version's own runs go now
+    assert store.nodes(2).count() == n + 4 and store.nodes().where("publish_tag = 'run_9'").count() == 3 + 4
+
+
+def test_two_merges_at_once_lose_nothing(spark, store, monkeypatch):
+    """The second merge commits between the first one's read and its commit."""
+    other = GraphStore(spark, store.root, buckets=16)
+    calls = []
+
+    def slow(spark_, folder, version, text, commit=graph_store.commit_version):
+        calls.append(version)
+        if len(calls) == 1:
+            other.upsert(*graph(spark, ["t7", "theirs"], "?"), "run_c")
+        return commit(spark_, folder, version, text)
+
+    monkeypatch.setattr(graph_store, "commit_version", slow)
+    store.upsert(*graph(spark, ["t8", "ours"], "!"), "run_b")
+    assert calls == [2, 2, 3] and store.version() == 3
+    tags = {r.name: r.publish_tag for r in store.nodes().where("label = 'Table'").collect()}
+    assert (tags["ours"], tags["theirs"], tags["t7"], tags["t8"], tags["t9"]) == ("run_b", "run_c", "run_c", "run_b", "run_a")
+    assert store.edges().where("type = 'TABLE'").count() == 62
 
 
 def test_merge_equals_the_merge_of_whole_tables(spark, store):
