@@ -251,20 +251,16 @@ def q_graph_edges(spark, sf_dir):
 
 
 def q_csv_exchange(spark, sf_dir):
-    tables, columns = _records(spark, sf_dir)
-    nodes, edges = G.graph_nodes(tables, columns), G.graph_edges(tables, columns)
+    # Each query hands over its own half of the graph.
     out = scratch_path(spark, "graph-csv")
-    exchange.write_graph_csv(nodes, edges, out)
-    back, _ = exchange.read_graph_csv(spark, out)
-    return back
+    exchange.write_nodes_csv(G.graph_nodes(*_records(spark, sf_dir)), out)
+    return exchange.read_nodes_csv(spark, out)
 
 
 def q_csv_exchange_edges(spark, sf_dir):
-    tables, columns = _records(spark, sf_dir)
     out = scratch_path(spark, "graph-csv")
-    exchange.write_graph_csv(G.graph_nodes(tables, columns), G.graph_edges(tables, columns), out)
-    _, back = exchange.read_graph_csv(spark, out)
-    return back
+    exchange.write_edges_csv(G.graph_edges(*_records(spark, sf_dir)), out)
+    return exchange.read_edges_csv(spark, out)
 
 
 def _batch_b(spark, sf_dir) -> tuple[Stages, DataFrame, DataFrame]:

@@ -1,15 +1,14 @@
 """Items 20 and 23: CSV hand-off of the graph, JSON hand-off of search documents.
 
-CSV is lossless: nulls are written as ``\\N`` and empty strings as ``""``,
-a text that begins with a backslash gets one more (so a literal ``\\N`` is not
-a null), every field is quoted and keeps its outer blanks, and the reader uses
-the same options, ``multiLine`` (embedded newlines) and an explicit schema.  Because
-``multiLine`` files cannot be split, ``max_records_per_file`` bounds each file.
+CSV is lossless and splittable: nulls are written as ``\\N`` and empty strings as ``""``; inside texts a backslash becomes
+``\\\\``, a line feed ``\\n`` and a carriage return ``\\r`` (so a literal ``\\N`` is not a null); every field is quoted and keeps
+its outer blanks, and the reader uses the same options and an explicit schema.  A record is one line, so a large file is
+read by many tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +24,24 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
-MAX_RECORDS_PER_FILE = 1_000_000
+MAX_RECORDS_PER_FILE = 5_000_000
+_BACKSLASH = "\\"
+
+
+def _escaped(c: Column) -> Column:
+    for plain, mark in ((_BACKSLASH, _BACKSLASH), ("\n", "n"), ("\r", "r")):
+        c = F.replace(c, F.lit(plain), F.lit(_BACKSLASH + mark))
+    return c
+
+
+def _plain(c: Column) -> Column:
+    """Inverse of :func:`_escaped`: every second of two backslashes is told from the mark of a line break by the split."""
+    def line_breaks(part):
+        return F.replace(F.replace(part, F.lit(_BACKSLASH + "n"), F.lit("\n")), F.lit(_BACKSLASH + "r"), F.lit("\r"))
+
+    # Doubled backslashes are read left to right, so what lies between them holds none of their halves.
+    pieces = F.transform(F.split(c, r"\\\\"), line_breaks)
+    return F.when(F.contains(c, F.lit(_BACKSLASH)), F.array_join(pieces, _BACKSLASH)).otherwise(c)
 
 
 def _texts(df: DataFrame, but: str | None, change) -> DataFrame:
@@ -37,7 +53,7 @@ def _texts(df: DataFrame, but: str | None, change) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, partition_by: str | None = None,
               max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
-    escaped = _texts(df, partition_by, lambda c: F.when(c.startswith("\\"), F.concat(F.lit("\\"), c)).otherwise(c))
+    escaped = _texts(df, partition_by, _escaped)
     writer = escaped.write.mode("overwrite").options(**CSV_OPTIONS).option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -45,21 +61,34 @@ def write_csv(df: DataFrame, path: str, partition_by: str | None = None,
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, partition_by: str | None = None) -> DataFrame:
-    read = spark.read.options(**CSV_OPTIONS).option("multiLine", "true").schema(schema).csv(path)
-    return _texts(read, partition_by, lambda c: F.when(c.startswith("\\"), F.substr(c, F.lit(2))).otherwise(c))
+    return _texts(spark.read.options(**CSV_OPTIONS).schema(schema).csv(path), partition_by, _plain)
 
 
-def write_graph_csv(nodes: DataFrame, edges: DataFrame, out_dir: str) -> None:
-    """Nodes under ``out_dir/nodes`` partitioned by label, relationships under
-    ``out_dir/relationships`` partitioned by type."""
+def write_nodes_csv(nodes: DataFrame, out_dir: str) -> None:
+    """Nodes under ``out_dir/nodes`` partitioned by label."""
     write_csv(nodes, f"{out_dir}/nodes", "label")
+
+
+def write_edges_csv(edges: DataFrame, out_dir: str) -> None:
+    """Relationships under ``out_dir/relationships`` partitioned by type."""
     write_csv(edges, f"{out_dir}/relationships", "type")
 
 
+def read_nodes_csv(spark: SparkSession, out_dir: str) -> DataFrame:
+    return read_csv(spark, f"{out_dir}/nodes", NODES, "label").select(*NODES.fieldNames())
+
+
+def read_edges_csv(spark: SparkSession, out_dir: str) -> DataFrame:
+    return read_csv(spark, f"{out_dir}/relationships", EDGES, "type").select(*EDGES.fieldNames())
+
+
+def write_graph_csv(nodes: DataFrame, edges: DataFrame, out_dir: str) -> None:
+    write_nodes_csv(nodes, out_dir)
+    write_edges_csv(edges, out_dir)
+
+
 def read_graph_csv(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame]:
-    nodes = read_csv(spark, f"{out_dir}/nodes", NODES, "label").select(*NODES.fieldNames())
-    edges = read_csv(spark, f"{out_dir}/relationships", EDGES, "type").select(*EDGES.fieldNames())
-    return nodes, edges
+    return read_nodes_csv(spark, out_dir), read_edges_csv(spark, out_dir)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -33,7 +33,8 @@ def test_sparse_ordinals_spread_over_blocks(spark, size):
 
 
 def test_csv_is_lossless(spark):
-    texts = ["  lead", " trail  ", "\\N", "\\\\N", "\\", "", None, 'q"uo"te', "new\nline", "\r\n", "a,b", "\t", "ü\\N"]
+    texts = ["  lead", " trail  ", "\\N", "\\\\N", "\\", "", None, 'q"uo"te', "new\nline", "\r\n", "a,b", "\t", "ü\\N",
+             "\\n", "\\\n", "\\\\n\r\n\\", "\n", "\r", '\\"', '"\n"', "\\\\\\r"]
     nodes = spark.createDataFrame([(f"k{i}", "Table", t, t, t, i, None) for i, t in enumerate(texts)],
                                   "key string, label string, name string, description string, col_type string, sort_order int, is_view boolean")
     edges = spark.createDataFrame([(t or "none", f" {i} ", "HAS") for i, t in enumerate(texts)], "start_key string, end_key string, type string")
@@ -44,6 +45,23 @@ def test_csv_is_lossless(spark):
     assert sorted(map(tuple, back_edges.select(edges.columns).collect())) == sorted(map(tuple, edges.collect()))
 
 
+def test_one_csv_file_is_read_by_many_tasks(spark):
+    """Line breaks and quotes in every record: splits never cut a record."""
+    rows = spark.range(0, 60_000, 1, 1).selectExpr("concat('k', id) AS key", "'Table' AS label", "concat('a\n\"b,', id, '\r\\\\') AS name",
+                                                   "repeat(concat('x\n', id), 5) AS description", "CAST(NULL AS STRING) AS col_type", "CAST(id AS INT) AS sort_order", "true AS is_view")
+    out = scratch_path(spark, "csv-split")
+    exchange.write_nodes_csv(rows, out)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    try:
+        back = exchange.read_nodes_csv(spark, out)
+        assert len(back.inputFiles()) == 1 and back.rdd.getNumPartitions() > 4
+        columns = sorted(back.columns)
+        assert back.select(columns).exceptAll(rows.select(columns)).count() == 0 and back.count() == 60_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_an_include_list_without_entries_is_not_given(spark):
     schemas = spark.createDataFrame([("a",), ("b",)], "schema_name string")
     tables = spark.createDataFrame([("a", "t"), ("b", "u"), ("c", "v"), (None, "w")], "schema_name string, table_name string")
@@ -83,3 +101,33 @@ def test_relational_rows_without_keys_are_rejected(spark):
     assert [r.col_name for r in scope.relational_catalog(df).collect()] == ["c"]
     assert {r.col_name: r.reason for r in scope.relational_rejects(df).collect()} == {"d": "no_catalog", "e": "no_table"}
     assert scope.relational_catalog(df, cluster="x", catalog_as_cluster=False).count() == 2
+
+
+def test_two_publishers_at_once_lose_nothing(spark, monkeypatch):
+    """Another publisher commits between this one's look at the alias and its commit, and again before it repoints the view."""
+    frames = [spark.createDataFrame([(n,)], "n string") for n in ("first", "mine", "theirs", "later")]
+    first = index.publish_index(frames[0], alias="race_idx", prefix="race_")
+    others, started = [], []
+
+    def meanwhile(frame):
+        if frame not in started:
+            started.append(frame)
+            others.append(index.publish_index(frames[frame], alias="race_idx", prefix="race_"))
+
+    def raced(spark_, folder, version, text, commit=index.commit_version):
+        meanwhile(2)
+        return commit(spark_, folder, version, text)
+
+    def overtaken(spark_, alias, repoint=index._repoint):
+        if index._record(spark_, alias)[0] == 3:
+            meanwhile(3)
+        repoint(spark_, alias)
+
+    monkeypatch.setattr(index, "_repoint", overtaken)
+    monkeypatch.setattr(index, "commit_version", raced)
+    mine = index.publish_index(frames[1], alias="race_idx", prefix="race_")
+    theirs, later = others
+    version, record = index._record(spark, "race_idx")
+    assert version == 4 and [record["target"], *record["previous"]] == [later, mine, theirs, first]
+    assert index.current_target(spark, "race_idx") == later and [r.n for r in index.read_index(spark, "race_idx").collect()] == ["later"]
+    assert all(spark.catalog.tableExists(t) for t in (first, mine, theirs, later))
