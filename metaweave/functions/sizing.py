@@ -22,3 +22,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     a small input (a query list, a key list), not for the big fact side.
     """
     return F.broadcast(df) if at_most(df, max_rows) else df
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """Size of ``df`` as the optimizer estimates it from the sizes of its files; runs nothing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metaweave.functions.exprs import node_key, tokens
+from metaweave.functions.sizing import planned_bytes
 from metaweave.model import S, TB
 from metaweave.operators.graph import assembled_tables
 
@@ -45,6 +46,12 @@ def search_documents(
 FIELDS = ("name", "description", "column_names", "column_descriptions")
 #: Folders that postings are dealt into by term; a query reads the folders of its terms.
 TERM_BUCKETS = 256
+#: Ranks for which the dictionary bounds from below what a term's best documents score.
+FLOORS = (1, 10, 100)
+#: Estimated size of a query table whose terms are sent to all tasks; beyond it the joins are left to the planner.
+MAX_QUERY_BYTES = 4 << 20
+#: Hash values of candidates of a ranking that are sent to all tasks.
+CANDIDATE_PLACES = 1 << 18
 
 
 def term_bucket(term: Column | str, buckets: int) -> Column:
@@ -57,8 +64,10 @@ class SearchIndex:
 
     * ``postings(term, key, tf, doc_len, fields, bucket)``: how often a term stands in a document, the document's length in
       terms, and the term's 0-based positions in each field (``array<struct<field, positions>>``);
-    * ``terms(term, df, max_tf, min_len, bucket)``: in how many documents, its largest frequency and the shortest document,
-      which bound what the term can add to any document's score;
+    * ``terms(term, df, max_tf, min_len, floors, bucket)``: in how many documents; its largest frequency and the shortest
+      document, which bound what the term can add to any score; and for each ``rank`` of :data:`FLOORS` that it has as many
+      documents for, the smallest frequency and the longest document of its ``rank`` best ones, which bound from below what
+      that many documents score;
     * ``stats(n_docs, total_len)``: one row.
     """
 
@@ -71,7 +80,7 @@ class SearchIndex:
         spark = self.postings.sparkSession
         self.postings.repartitionByRange("bucket", "term", "key").sortWithinPartitions("bucket", "term", "key").write.partitionBy("bucket").parquet(f"{path}/postings")
         stored = spark.read.parquet(f"{path}/postings").select(*self.postings.columns)
-        _terms(stored).write.parquet(f"{path}/terms")
+        _terms(stored, self.stats).write.parquet(f"{path}/terms")
         self.stats.write.parquet(f"{path}/stats")
         return SearchIndex.read(spark, path)
 
@@ -80,9 +89,19 @@ class SearchIndex:
         return SearchIndex(*[spark.read.parquet(f"{path}/{name}") for name in ("postings", "terms", "stats")])
 
 
-def _terms(postings: DataFrame) -> DataFrame:
-    return postings.groupBy("term", "bucket").agg(
-        F.count(F.lit(1)).alias("df"), F.max("tf").alias("max_tf"), F.min("doc_len").alias("min_len")).select("term", "df", "max_tf", "min_len", "bucket")
+def _terms(postings: DataFrame, stats: DataFrame) -> DataFrame:
+    mean = stats.select(F.col("total_len") / F.greatest("n_docs", F.lit(1))).scalar()
+    impact = F.col("tf") / (F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("doc_len") / F.greatest(F.coalesce(mean, F.lit(1.0)), F.lit(1.0))))
+    # Planned as a limit per task before the shuffle: a common term ships a bounded number of rows per task.
+    best = Window.partitionBy("term", "bucket").orderBy(impact.desc())
+    top = postings.select("term", "bucket", "tf", "doc_len", F.row_number().over(best).alias("rn")).where(F.col("rn") <= FLOORS[-1])
+    within = {r: F.col("rn") <= r for r in FLOORS}
+    floors = top.groupBy("term", "bucket").agg(F.max("rn").alias("held"), F.array(*[
+        F.struct(F.lit(r).alias("rank"), F.min(F.when(within[r], F.col("tf"))).alias("tf"), F.max(F.when(within[r], F.col("doc_len"))).alias("len"))
+        for r in FLOORS]).alias("floors"))
+    counts = postings.groupBy("term", "bucket").agg(F.count(F.lit(1)).alias("df"), F.max("tf").alias("max_tf"), F.min("doc_len").alias("min_len"))
+    return counts.join(floors, ["term", "bucket"]).select(
+        "term", "df", "max_tf", "min_len", F.filter("floors", lambda f: f["rank"] <= F.col("held")).alias("floors"), "bucket")
 
 
 def search_index(docs: DataFrame, buckets: int = TERM_BUCKETS) -> SearchIndex:
@@ -112,7 +131,7 @@ def search_index(docs: DataFrame, buckets: int = TERM_BUCKETS) -> SearchIndex:
     postings = found.select("term", "key", "tf", "doc_len", F.filter(fields, lambda f: F.size(f["positions"]) > 0).alias("fields"),
                             term_bucket("term", buckets).alias("bucket"))
     stats = counted.where("doc_len > 0").agg(F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.sum("doc_len"), F.lit(0)).alias("total_len"))
-    return SearchIndex(postings, _terms(postings), stats)
+    return SearchIndex(postings, _terms(postings, stats), stats)
 
 
 def search_rank(queries: DataFrame, index: SearchIndex, k: int = 10, k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
@@ -120,11 +139,10 @@ def search_rank(queries: DataFrame, index: SearchIndex, k: int = 10, k1: float =
 
     ``queries(query_id, text)``; output (query_id, rank, key, score) with the score rounded to 6 places before ranking.
 
-    * The query's terms meet the term dictionary; each gets its weight and the most it can add to a score.
-    * Rare terms first: the postings of a query's rarest terms, as many as hold ``k`` documents, give the ``k``-th best
-      score so far.  No document below it can be in the result.
-    * The query's weakest terms that together cannot reach that score need no candidates of their own: only documents with
-      one of the other terms are scored, and the postings of weak, that is common, terms are reduced to those documents
+    * The query's terms meet the term dictionary; each gets its weight, the most it can add to a score, and what its ``k``
+      best documents score at least.  The largest of the latter is a bar: no document below it can be in the result.
+    * The query's weakest terms that together cannot reach the bar need no candidates of their own: only documents with one
+      of the other, rarer terms are scored, and the postings of weak, that is common, terms are reduced to those documents
       before they are exchanged.
 
     Postings are read by their bucket, pruned at run time to the buckets of the query's terms; nothing runs while the query
@@ -141,32 +159,35 @@ def search_rank(queries: DataFrame, index: SearchIndex, k: int = 10, k1: float =
 
     idf = F.log(F.lit(1.0) + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     terms = asked.join(index.terms, "term").withColumns({"n": n_docs, "mean_len": total / F.greatest(n_docs, F.lit(1.0))}).withColumn("idf", idf)
-    terms = terms.withColumn("most", weight(F.col("max_tf"), F.col("min_len"))).select("query_id", "term", "bucket", "df", "idf", "mean_len", "most")
+    floor = F.get(F.filter("floors", lambda f: f["rank"] >= k), F.lit(0))
+    terms = terms.withColumns({"most": weight(F.col("max_tf"), F.col("min_len")), "floor": weight(floor["tf"], floor["len"])}).select(
+        "query_id", "term", "bucket", "idf", "mean_len", "most", "floor")
 
-    # A query has few terms: its windows are small, and there are as many as queries.
-    rare = Window.partitionBy("query_id").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
-    seeds = terms.withColumn("held", F.coalesce(F.sum("df").over(rare), F.lit(0))).where(F.col("held") < k)
-
-    def scored(some: DataFrame) -> DataFrame:
-        hits = index.postings.select("bucket", "term", "key", "tf", "doc_len").join(some, ["bucket", "term"])
-        return hits.select("query_id", "key", weight(F.col("tf"), F.col("doc_len")).alias("part"))
+    def scored(some: DataFrame, only: str = "true") -> DataFrame:
+        hits = index.postings.select("bucket", "term", "key", "tf", "doc_len").join(some, ["bucket", "term"]).where(only)
+        return hits.select("query_id", "key", weight(F.col("tf"), F.col("doc_len")).alias("part"), "weak")
 
-    def summed(parts: DataFrame) -> DataFrame:
-        return parts.groupBy("query_id", "key").agg(F.round(F.sum("part"), SCORE_DIGITS).alias("score"))
+    def total_score() -> Column:
+        return F.round(F.sum("part"), SCORE_DIGITS).alias("score")
 
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("key"))
-    reached = summed(scored(seeds)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    # The k-th best score of the seeds; fewer than k documents say nothing.
-    bar = reached.groupBy("query_id").agg(F.max(F.when(F.col("rank") == k, F.col("score"))).alias("bar"))
-    weakest = Window.partitionBy("query_id").orderBy("most", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A query has few terms: its windows are small, and there are as many as queries.
+    own = Window.partitionBy("query_id")
+    weakest = own.orderBy("most", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # Half a step of the rounding on either side, so that equal rounded scores stay in.
-    within = F.sum("most").over(weakest) + 2 * 10.0**-SCORE_DIGITS < F.col("bar")
-    ranked = terms.join(bar, "query_id", "left").withColumn("weak", F.coalesce(within, F.lit(False))).drop("bar")
-    strong = scored(ranked.where(~F.col("weak")))
-    candidates = strong.select("query_id", "key").distinct()
-    weak = scored(ranked.where(F.col("weak"))).join(candidates, ["query_id", "key"], "left_semi")
+    within = F.sum("most").over(weakest) + 2 * 10.0**-SCORE_DIGITS < F.max("floor").over(own)
+    ranked = terms.withColumn("weak", F.coalesce(within, F.lit(False))).withColumn("pruned", F.max("weak").over(own))
+    # At most a row for each word of the queries; joins multiply estimates, so the planner would not see that it is small.
+    if planned_bytes(queries) <= MAX_QUERY_BYTES:
+        ranked = F.broadcast(ranked)
+
+    # Candidates as a set of hashes whose size does not depend on their number: what passes by chance is dropped below.
+    place = F.pmod(F.xxhash64("query_id", "key"), F.lit(CANDIDATE_PLACES)).cast("int")
+    places = scored(ranked, "pruned AND NOT weak").select(place.alias("_mw_place")).distinct().withColumn("_mw_candidate", F.lit(True))
+    parts = scored(ranked).withColumn("_mw_place", place).join(F.broadcast(places), "_mw_place", "left").where("NOT weak OR _mw_candidate")
     return (
-        summed(strong.unionByName(weak)).withColumn("rank", F.row_number().over(best))
+        parts.groupBy("query_id", "key").agg(total_score(), F.min("weak").alias("only_weak")).where("NOT only_weak")
+        .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
         .select("query_id", F.col("rank").cast("int").alias("rank"), "key", "score")
     )

@@ -98,8 +98,12 @@ class Stages:
     def index(self) -> Q.SearchIndex:
         return Q.search_index(self.docs, TERM_BUCKETS).write(scratch_path(self.spark, "search-index"))
 
+    @cached_property
+    def queries(self) -> DataFrame:
+        return materialize(search_queries(self.fx), "queries")
+
     def build_all(self) -> None:
-        self.index, self.merged_store  # noqa: B018 - builds every stage before them
+        self.index, self.queries, self.merged_store  # noqa: B018 - builds every stage before them
 
 
 _STAGES: dict[tuple[str, str], Stages] = {}
@@ -345,9 +349,8 @@ def search_queries(fx: Fixtures) -> DataFrame:
 
 
 def q_search_rank(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
     st = stages(spark, sf_dir)
-    return Q.search_rank(search_queries(fx), st.index, k=TOP_K)
+    return Q.search_rank(st.queries, st.index, k=TOP_K)
 
 
 QUERIES: dict[str, Query] = {
