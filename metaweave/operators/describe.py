@@ -96,7 +96,8 @@ def describe_columns(annotated: DataFrame) -> DataFrame:
 
     A repeated name keeps the values of its last row, ``sort_order`` included
     (earlier rows still advanced the numbering, so gaps are legal).  An empty
-    comment is a null description.
+    comment is a null description.  ``first_order`` is the position of its first
+    row, where a record lists it.
     """
     last = F.max_by(
         F.struct(
@@ -109,13 +110,13 @@ def describe_columns(annotated: DataFrame) -> DataFrame:
     return (
         annotated.where(F.col("section") == SECTION_COLUMN)
         .groupBy(*TABLE_KEYS, "col_name")
-        .agg(last.alias("_v"))
-        .select(*TABLE_KEYS, "col_name", "_v.data_type", "_v.description", "_v.sort_order")
+        .agg(last.alias("_v"), F.min("sort_order").alias("first_order"))
+        .select(*TABLE_KEYS, "col_name", "_v.data_type", "_v.description", "_v.sort_order", "first_order")
     )
 
 
 def partition_columns(annotated: DataFrame, match: str = MATCH_DATA_TYPE_FIRST) -> DataFrame:
-    """Item 7: the columns of :func:`describe_columns` + ``is_partition``.
+    """Item 7: the columns of :func:`describe_columns`, ``first_order`` last, + ``is_partition``.
 
     Each partition-section row marks one column: by default the column named
     by its ``data_type`` (Spark-2 / Delta style ``('Part 0', 'dt')``), else the
@@ -139,8 +140,9 @@ def partition_columns(annotated: DataFrame, match: str = MATCH_DATA_TYPE_FIRST)
     entries = (
         annotated.where(keyed & (section != SECTION_MARKER))
         .select(*TABLE_KEYS, F.when(column, named).otherwise(first).alias("name"),
-                (~column).alias("asks"), F.when(~column, second).alias("second"), F.when(column, payload).alias("payload"))
-        .groupBy(*TABLE_KEYS, "name", "asks", "second").agg(F.max("payload").alias("payload"))
+                (~column).alias("asks"), F.when(~column, second).alias("second"), F.when(column, payload).alias("payload"),
+                "sort_order")
+        .groupBy(*TABLE_KEYS, "name", "asks", "second").agg(F.max("payload").alias("payload"), F.min("sort_order").alias("first_order"))
     )
     # The name's own entry and all questions about it meet: the last of its values and whether it was asked for.
     same = Window.partitionBy(*TABLE_KEYS, "name")
@@ -150,16 +152,16 @@ def partition_columns(annotated: DataFrame, match: str = MATCH_DATA_TYPE_FIRST)
     return (
         met.where(~F.col("asks") | marks)
         .select(*TABLE_KEYS, F.when(marks, F.col("second")).otherwise(F.col("name")).alias("col_name"),
-                "payload", F.when(marks, True).otherwise(F.col("asked")).alias("is_partition"))
+                "payload", "first_order", F.when(marks, True).otherwise(F.col("asked")).alias("is_partition"))
         .groupBy(*TABLE_KEYS, "col_name")
-        .agg(F.max("payload").alias("last"), F.max("is_partition").alias("is_partition"))
+        .agg(F.max("payload").alias("last"), F.min("first_order").alias("first_order"), F.max("is_partition").alias("is_partition"))
         .where(F.col("last").isNotNull())
         .select(
             *TABLE_KEYS, "col_name",
             F.col("last.data_type").alias("data_type"),
             F.col("last.description").alias("description"),
             F.col("last.sort_order").alias("sort_order"),
-            "is_partition",
+            "is_partition", "first_order",
         )
     )
 

@@ -11,6 +11,10 @@ from metaweave.functions.exprs import epoch_seconds
 from metaweave.functions.ordered import ordered_collect, ordered_join, range_ordinal
 from metaweave.model import KIND_LAST_UPDATED, KIND_TABLE_METADATA, S, TABLE_KEYS, TB
 
+#: Position of a column name's first row, where the snapshot knows it.
+FIRST_ORDER = "first_order"
+
+
 def table_metadata(tables: DataFrame, columns: DataFrame, database: str, cluster: str) -> tuple[DataFrame, DataFrame]:
     """Item 13: the metadata record of every table, normalised.
 
@@ -31,14 +35,20 @@ def column_records_of(columns: DataFrame, tables: DataFrame, database: str, clus
     """Column records (see :func:`table_metadata`) of the columns of ``tables``."""
     return columns.join(tables.select(*TABLE_KEYS), TABLE_KEYS, "left_semi").select(
         F.lit(database).alias("db"), F.lit(cluster).alias("cluster"),
-        S, TB, "col_name", "description", F.col("data_type").alias("col_type"), "sort_order")
+        S, TB, "col_name", "description", F.col("data_type").alias("col_type"), "sort_order",
+        *[c for c in columns.columns if c == FIRST_ORDER])
+
+
+def _listed(columns: DataFrame) -> str:
+    """The column that orders a record's columns: a repeated name stands where it came first, with its last values."""
+    return FIRST_ORDER if FIRST_ORDER in columns.columns else "sort_order"
 
 
 def nest_columns(table_records: DataFrame, column_records: DataFrame) -> DataFrame:
     """Table records with ``columns: array<struct<name, description, col_type, sort_order>>``
-    ordered by ``sort_order`` (two-level ordered collect, see ``functions.ordered``)."""
+    in the order of their first rows (two-level ordered collect, see ``functions.ordered``)."""
     item = F.struct(F.col("col_name").alias("name"), "description", "col_type", "sort_order")
-    nested = ordered_collect(column_records, TABLE_KEYS, "sort_order", item, "columns")
+    nested = ordered_collect(column_records, TABLE_KEYS, _listed(column_records), item, "columns")
     return table_records.join(nested, TABLE_KEYS, "left")
 
 
@@ -47,7 +57,7 @@ def columns_text(column_records: DataFrame, name: str = "columns_text", sep: str
     per column, in column order."""
     item = F.concat_ws(":", F.col("sort_order").cast("string"), "col_name", "col_type",
                        F.coalesce(F.col("description"), F.lit("")))
-    return ordered_join(column_records, TABLE_KEYS, "sort_order", item, name, sep)
+    return ordered_join(column_records, TABLE_KEYS, _listed(column_records), item, name, sep)
 
 
 def table_last_updated(table_records: DataFrame) -> DataFrame:
@@ -103,10 +113,15 @@ def number_records(records: DataFrame, name: str = "emit_ord") -> DataFrame:
 def table_signature(columns: DataFrame) -> DataFrame:
     """Item 16: (full_name, signature): ``schema.table`` and ``name:type,...`` in column order."""
     item = F.concat_ws(":", "col_name", "data_type")
-    sig = ordered_join(columns, TABLE_KEYS, "sort_order", item, "signature", ",")
+    sig = ordered_join(columns, TABLE_KEYS, _listed(columns), item, "signature", ",")
     return sig.select(F.concat_ws(".", S, TB).alias("full_name"), "signature")
 
 
+def with_attributes(columns: DataFrame) -> DataFrame:
+    """Columns with the model's ``attributes``, empty where a snapshot has none of its own."""
+    return columns if "attributes" in columns.columns else columns.withColumn("attributes", F.create_map().cast("map<string,string>"))
+
+
 COMPARED = ["data_type", "description", "sort_order", "is_partition"]
 
 

@@ -87,8 +87,8 @@ SELECT *, CAST(row_number() OVER (PARTITION BY schema_name, table_name ORDER BY
 FROM sec WHERE section = 'column'"""),
     "cols": (("colrows",), """
 SELECT schema_name, table_name, col_name, v.data_type AS data_type, v.description AS description,
-  v.sort_order AS sort_order
-FROM (SELECT schema_name, table_name, col_name,
+  v.sort_order AS sort_order, first_order
+FROM (SELECT schema_name, table_name, col_name, min(sort_order) AS first_order,
         max_by({'data_type': data_type, 'description': NULLIF(comment, ''), 'sort_order': sort_order}, row_no) AS v
       FROM colrows GROUP BY schema_name, table_name, col_name)"""),
     "pcols": (("sec", "cols"), """
@@ -145,7 +145,7 @@ SELECT '{DATABASE}' AS db, '{CLUSTER}' AS cluster, schema_name, table_name, desc
   last_modified, n_columns FROM delta"""),
     "crec": (("pcols", "delta"), f"""
 SELECT '{DATABASE}' AS db, '{CLUSTER}' AS cluster, c.schema_name, c.table_name, c.col_name, c.description,
-  c.data_type AS col_type, c.sort_order
+  c.data_type AS col_type, c.sort_order, c.first_order
 FROM pcols c JOIN delta d ON d.schema_name = c.schema_name AND d.table_name = c.table_name"""),
     "lu": (("trec",), """
 SELECT db, cluster, schema_name, table_name, CAST(floor(epoch(last_modified)) AS BIGINT) AS last_updated_time_epoch
@@ -264,9 +264,14 @@ SELECT t.db, t.cluster, t.schema_name, t.table_name, t.description, t.is_view, c
 FROM trec t LEFT JOIN (
   SELECT schema_name, table_name,
     string_agg(concat_ws(':', CAST(sort_order AS VARCHAR), col_name, col_type, coalesce(description, '')), '|'
-               ORDER BY sort_order) AS columns_text
+               ORDER BY first_order) AS columns_text
   FROM crec GROUP BY schema_name, table_name) c
 ON c.schema_name = t.schema_name AND c.table_name = t.table_name""",
+    "table_metadata_nested": with_ctes("trec", "crec") + """
+SELECT t.db, t.cluster, t.schema_name, t.table_name, t.is_view,
+  CAST(row_number() OVER (PARTITION BY t.schema_name, t.table_name ORDER BY c.first_order) - 1 AS INTEGER) AS position,
+  c.col_name AS name, c.description, c.col_type, c.sort_order
+FROM trec t JOIN crec c ON c.schema_name = t.schema_name AND c.table_name = t.table_name""",
     "table_last_updated": with_ctes("lu") + """
 SELECT db, cluster, schema_name, table_name, last_updated_time_epoch FROM lu""",
     "emit_records": with_ctes("trec") + """
@@ -277,7 +282,7 @@ SELECT CAST(row_number() OVER (ORDER BY table_ord, kind_ord) AS BIGINT) AS emit_
   WHERE last_modified IS NOT NULL)""",
     "table_signature": with_ctes("cols") + """
 SELECT concat_ws('.', schema_name, table_name) AS full_name,
-  string_agg(concat_ws(':', col_name, data_type), ',' ORDER BY sort_order) AS signature
+  string_agg(concat_ws(':', col_name, data_type), ',' ORDER BY first_order) AS signature
 FROM cols GROUP BY schema_name, table_name""",
     "column_diff": with_ctes("pcols", "cols_b") + """
 SELECT * FROM (
@@ -286,6 +291,7 @@ SELECT * FROM (
     CASE WHEN a.col_name IS NULL THEN 'added' WHEN b.col_name IS NULL THEN 'removed'
          WHEN a.data_type IS NOT DISTINCT FROM b.data_type AND a.description IS NOT DISTINCT FROM b.description
           AND a.sort_order IS NOT DISTINCT FROM b.sort_order AND a.is_partition IS NOT DISTINCT FROM b.is_partition
+          AND b.sort_order <> 4 -- the second snapshot's attributes
          THEN 'same' ELSE 'changed' END AS change
   FROM pcols a FULL OUTER JOIN cols_b b
   ON a.schema_name = b.schema_name AND a.table_name = b.table_name AND a.col_name = b.col_name
@@ -407,6 +413,13 @@ SELECT s.schema_name, s.table_name, s.format, s.description, CAST(coalesce(n.n_c
 FROM scraped_log s LEFT JOIN (SELECT schema_name, table_name, count(*) AS n_columns FROM pcols GROUP BY schema_name, table_name) n
 ON n.schema_name = s.schema_name AND n.table_name = s.table_name"""
 
+ORACLE["relational_graph"] = with_ctes("pg_columns") + f"""
+SELECT {key("'postgres'", 'catalog_name', 'schemaname', 'table_name')} AS key, 'postgres' AS database, catalog_name AS cluster,
+  schemaname AS schema_name, table_name AS name, CAST(NULL AS VARCHAR) AS description,
+  string_agg(col_name, ',' ORDER BY col_sort_order) AS column_names, string_agg(col_description, '|' ORDER BY col_sort_order) AS column_descriptions,
+  CAST(NULL AS BIGINT) AS last_updated_epoch
+FROM pg_columns WHERE schemaname IN ('public') GROUP BY catalog_name, schemaname, table_name"""
+
 # Option variants: the other partition match rule (Q1) and delta_only=False.
 ORACLE["partition_columns_name_first"] = with_ctes("pcols_name_first") + """
 SELECT schema_name, table_name, col_name, data_type, description, sort_order, is_partition FROM pcols_name_first"""

@@ -261,17 +261,19 @@ class Fixtures:
 
     def columns_b(self, columns_a: DataFrame) -> DataFrame:
         """Second column snapshot for ``column_diff`` (``columns_a`` = partition_columns output)."""
-        so = F.col("sort_order")
+        so, carried = F.col("sort_order"), "attributes" in columns_a.columns
         changed = columns_a.where(so != 5).select(
             S, TB, "col_name",
             F.when(so == 2, "double").otherwise(F.col("data_type")).alias("data_type"),
             F.when(so == 3, F.lit(None).cast("string")).otherwise(F.col("description")).alias("description"),
             so, "is_partition",
+            *([F.when(so == 4, F.create_map(F.lit("note"), F.lit("b"))).otherwise(F.col("attributes")).alias("attributes")] if carried else []),
         )
         added = self.raw_tables.where(F.col(TB).like("%7")).select(
             S, TB, F.lit("c_new").alias("col_name"), F.lit("string").alias("data_type"),
             F.lit(None).cast("string").alias("description"), F.lit(99).alias("sort_order"),
             F.lit(False).alias("is_partition"),
+            *([F.create_map().cast("map<string,string>").alias("attributes")] if carried else []),
         )
         return changed.unionByName(added)
 

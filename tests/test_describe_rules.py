@@ -107,3 +107,18 @@ def test_no_python_in_describe_plan(spark):
     rows = [("a", "int", None), ("# P", "", ""), ("a", "", "")]
     plan = D.partition_columns(D.annotate_describe(describe(spark, rows)))._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "CartesianProduct" not in plan
+
+
+def test_records_list_a_repeated_name_where_it_came_first(spark):
+    """Last values, first place: in the record, its text and the signature."""
+    from pyspark.sql import functions as F
+
+    from metaweave.operators import records as R
+    cols = D.partition_columns(D.annotate_describe(describe(spark, [("a", "int", "x"), ("b", "int", None), ("a", "string", "")])))
+    assert [r.signature for r in R.table_signature(cols).collect()] == ["a:string,b:int"]
+    records = cols.select(F.lit("d").alias("db"), F.lit("c").alias("cluster"), "schema_name", "table_name", "col_name", "description",
+                          F.col("data_type").alias("col_type"), "sort_order", "first_order")
+    tables = records.select("db", "cluster", "schema_name", "table_name").distinct()
+    nested = R.nest_columns(tables, records).first().columns
+    assert [(c.name, c.col_type, c.sort_order) for c in nested] == [("a", "string", 2), ("b", "int", 1)]
+    assert R.columns_text(records).first().columns_text == "2:a:string:|1:b:int:"

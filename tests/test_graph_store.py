@@ -94,3 +94,19 @@ def test_table_part(spark):
     keys = ["d", "d/c/s", "d/c/s/t", "d/c/s/t/c", "d/c/s%2F1/t/c"]
     df = spark.createDataFrame([(k,) for k in keys], "k string")
     assert [r[0] for r in df.select(table_part("k")).collect()] == ["d", "d/c/s", "d/c/s/t", "d/c/s/t", "d/c/s%2F1/t"]
+
+
+def test_lookup_prunes_and_checks_edges(spark, store):
+    """Requests reach the scans as hashes, hops read their own folders, and a decoded parent counts only with its edge."""
+    from metaweave.operators.search import search_documents
+    nodes, edges = store.nodes(), store.edges()
+    keys = spark.createDataFrame([("d/c/s%2F1/t5",), ("d/c/s%2F1/t5",), ("d/c/s%2F1/none",), (None,)], "key string")
+    found = G.graph_lookup(nodes, edges, keys)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_mw_place") > 3 and "PartitionFilters: [label" in plan and "PartitionFilters: [type" in plan
+    got = {r.key: (r.found, r.schema_name, r.columns_text) for r in found.collect()}
+    assert got == {"d/c/s%2F1/t5": (True, "s/1", "0:c/0:int|1:c/1:int|2:c/2:int"), "d/c/s%2F1/none": (False, None, None), None: (False, None, None)}
+    cut = edges.where("end_key NOT IN ('d/c/s%2F1/t5', 'd/c/s%2F1/t6/c%2F1')")
+    docs = {r.name: r for r in search_documents(nodes.where("key <> 'd/c/s%2F1/t7'"), cut).collect()}
+    assert docs["t5"].schema_name is None and docs["t5"].database is None and len(docs["t5"].column_names) == 3
+    assert docs["t6"].column_names == ["c/0", "c/2"] and docs["t6"].database == "d" and "t7" not in docs and len(docs) == 59
