@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metaweave.model import TABLE_KEYS
+from metaweave.session import materialize
 
 KEY = "table_path"
 
@@ -61,7 +62,7 @@ def replay_commit_log(commits: DataFrame, checkpoints: DataFrame) -> DataFrame:
     without its file, of the newest data file), ``format``, ``description``, ``n_files``, ``n_bytes`` (live data files),
     ``n_missing``, ``first_missing``, ``last_missing`` and ``complete``.  The inputs are those of ``sources.commit_log``.
     """
-    base = base_versions(checkpoints)
+    base = materialize(base_versions(checkpoints), "log-base")  # read by every branch below
     later = commits.join(base, KEY, "left").where(F.col("base").isNull() | (F.col("version") >= F.col("base")))
     replayed = later.where(F.col("base").isNull() | (F.col("version") > F.col("base")))
     columns = [KEY, "version", "metaData", "add", "remove", "commitInfo"]
