@@ -11,12 +11,15 @@ query exactly, since ties go to the smaller id and a query leaves out one id at
 are cut down before the exchange.  Queries (a stated set) meet the vectors in blocks of bounded
 size; only each block's best rows leave it.
 
-The pivots are a sample: the ``PIVOTS`` distinct vectors with the smallest hash.  Every vector is indexed.
+Each length of vectors is an index of its own, since a cosine needs two of one length.  Its pivots are a
+sample: the ``PIVOTS`` distinct vectors with the smallest hash.  Every vector is indexed; a length of at most
+``LEAST`` vectors is scored whole and needs no pivots, so the pivots held are a part of the vectors
+with a bound for each length only.  Before squaring, vectors are scaled by a power of two, which leaves every cosine
+the same to the bit and keeps huge and tiny components from overflowing.
 
 Defined results: null, empty, zero vectors and vectors with null or non-finite components take
-no part, nor do rows without an id, nor vectors of another length than the most common (of equally
-common ones the longest); rows that repeat an id and vector count once; fewer candidates than k
-are all returned; no vectors, no rows.
+no part, nor do rows without an id; rows that repeat an id and vector count once; fewer candidates
+(of the query's length) than k are all returned; no vectors, no rows.
 """
 
 from __future__ import annotations
@@ -26,34 +29,48 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from metaweave.functions.sizing import broadcast_if_small
 from metaweave.llm.common import sorted_groups, written
 
-PIVOTS = 256
-PREFIX = 32
+PIVOTS = 512
+PREFIX = 128
 RERANK = 0.16
 LEAST = 256
 VECTOR_BLOCK = 8192
 QUERY_BLOCK = 512
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, the largest component of each between a half and one."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0, keepdims=True))[1])
+
+
 def _matrix(column) -> np.ndarray:
+    """Vectors of one length, scaled."""
     flat = np.asarray(column.flatten(), np.float64)
-    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+    return scaled(flat.reshape(len(column), -1)) if len(column) else np.zeros((0, 1))
 
 
 def _prefixes(pivots, length: int):
-    """``mapInArrow``: appends each vector's nearest pivots, in order, as bytes (16 bits each)."""
+    """``mapInArrow``: appends each vector's nearest pivots of its length, in order, as bytes (16 bits each)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(batch.schema.get_field_index("vec")))
-            near = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ pivots.value.T if len(x) else np.zeros((0, length))
-            order = np.argsort(-near, axis=1, kind="stable")[:, :length].astype(np.uint16)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([r.tobytes() for r in order], pa.binary())],
-                                             names=[*batch.schema.names, "prefix"])
+            column = batch.column(batch.schema.get_field_index("vec"))
+            dims, prefix = np.asarray(pc.list_value_length(column)), [b""] * len(column)
+            for d in np.unique(dims).tolist():
+                if d in pivots.value:
+                    at = np.flatnonzero(dims == d)
+                    x = _matrix(column.take(pa.array(at)))
+                    near = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ pivots.value[d].T
+                    order = np.argsort(-near, axis=1, kind="stable")[:, :length].astype(np.uint16)
+                    for i, own in zip(at.tolist(), order, strict=True):
+                        prefix[i] = own.tobytes()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prefix, pa.binary())], names=[*batch.schema.names, "prefix"])
     return run
 
 
@@ -81,13 +98,13 @@ def closeness(own: np.ndarray, files, rows: int) -> np.ndarray:
     return score
 
 
-def _search(k: int, length: int, rerank: float, least: int):
+def _search(k: int, rerank: float, least: int):
     """``mapInArrow`` over tasks (a block of vectors and a block of queries): each query's best k + 1 ids of the block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches):
             query = np.asarray(group.column("is_query"))
             x = _matrix(group.column("vec").combine_chunks())
-            prefix = np.frombuffer(b"".join(group.column("prefix").to_pylist()), np.uint16).reshape(len(x), length)
+            prefix = np.frombuffer(b"".join(group.column("prefix").to_pylist()), np.uint16).reshape(len(x), -1)
             key, ids = np.asarray(group.column("key")), group.column("ids").to_pylist()
             at = np.flatnonzero(~query)
             if not len(at) or not query.any():
@@ -97,8 +114,9 @@ def _search(k: int, length: int, rerank: float, least: int):
             take = min(len(at), max(least, math.ceil(rerank * len(at))))
             keys, found, scores = [], [], []
             for q in np.flatnonzero(query).tolist():
-                near = closeness(prefix[q], files, len(at))
-                best = np.argpartition(-near, take - 1)[:take] if take < len(at) else np.arange(len(at))
+                best = np.arange(len(at))
+                if take < len(at):
+                    best = np.argpartition(-closeness(prefix[q], files, len(at)), take - 1)[:take]
                 score = (vectors[best] * x[q]).sum(axis=1) / (norms[best] * np.sqrt((x[q] * x[q]).sum()))
                 cut = np.partition(score, -min(k + 1, take))[-min(k + 1, take)]  # all that tie with the last
                 rows = sorted((-score[i], v) for i in np.flatnonzero(score >= cut).tolist() for v in ids[at[best[i]]])[:k + 1]
@@ -118,37 +136,41 @@ def nearest(vectors: DataFrame, queries: F.Column, k: int = 5, vec_id: str = "ve
         F.col(vec_id).cast("long").alias("vec_id"), "_query", F.col(embedding).cast("array<double>").alias("vec"))
     finite = F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = rows.where(F.col("vec_id").isNotNull() & (F.size("vec") > 0)).where(finite & F.exists("vec", lambda v: v != 0))
-    rows = written(rows.withColumn("key", F.xxhash64("vec")), "vectors")
-    common = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    if common is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.size("vec") == common["d"])
+    rows = written(rows.withColumn("key", F.xxhash64("vec")).withColumn("d", F.size("vec")), "vectors")
 
     smallest = W.partitionBy("vec").orderBy("vec_id")
     once = rows.withColumn("rn", F.dense_rank().over(smallest)).where(F.col("rn") <= k + 1)
-    distinct = once.groupBy("vec").agg(F.first("key").alias("key"), F.sort_array(F.collect_set("vec_id")).alias("ids"))
-    sample = np.array([r["vec"] for r in distinct.orderBy("key").limit(pivots).select("vec").collect()])
-    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
-    length = max(1, min(prefix, len(sample)))
-    fields = "vec array<double>, key long, ids array<long>, prefix binary"
-    indexed = written(distinct.select("vec", "key", "ids").mapInArrow(
-        _prefixes(spark.sparkContext.broadcast(sample), length), fields), "permutations")
+    distinct = written(once.groupBy("vec").agg(
+        F.first("key").alias("key"), F.first("d").alias("d"), F.sort_array(F.collect_set("vec_id")).alias("ids")), "distinct-vectors")
+    counts = distinct.groupBy("d").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least)
+    drawn = distinct.withColumn("rn", F.row_number().over(W.partitionBy("d").orderBy("key", "vec"))).where(F.col("rn") <= pivots)
+    sample: dict[int, list] = {}
+    for r in drawn.join(counts, "d", "left_semi").select("d", "vec").collect():
+        sample.setdefault(r["d"], []).append(r["vec"])
+    unit = {d: x / np.linalg.norm(x, axis=1, keepdims=True) for d, x in ((d, scaled(np.array(v))) for d, v in sample.items())}
+    fields = "vec array<double>, key long, d int, ids array<long>, prefix binary"
+    indexed = written(distinct.select("vec", "key", "d", "ids").mapInArrow(
+        _prefixes(spark.sparkContext.broadcast(unit), prefix), fields), "permutations")
 
     asked = rows.where("_query").select("vec_id", "key").distinct()
     wanted = indexed.join(asked.select("key").distinct(), "key", "left_semi")
-    n_vectors, n_queries = indexed.count(), wanted.count()
-    vector_blocks, query_blocks = -(-n_vectors // VECTOR_BLOCK), max(1, -(-n_queries // QUERY_BLOCK))
-
-    def dealt(df: DataFrame, own: int, other: int, is_query: bool) -> DataFrame:
-        block = F.pmod(F.xxhash64("key", F.lit(is_query)), F.lit(own))
-        every = F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
-        pair = (F.col("_b"), F.col("_o")) if is_query else (F.col("_o"), F.col("_b"))
-        return df.withColumn("_b", block).withColumn("_o", every).select(
-            (pair[0] * F.lit(vector_blocks) + pair[1]).cast("long").alias("task"), F.lit(is_query).alias("is_query"), "key", "ids", "vec", "prefix")
-
-    tasks = dealt(indexed, vector_blocks, query_blocks, False).unionByName(dealt(wanted, query_blocks, vector_blocks, True))
-    tasks = tasks.repartition(max(1, min(vector_blocks * query_blocks, 20_000)), "task").sortWithinPartitions("task")
-    best = tasks.mapInArrow(_search(k, length, rerank, least), "key long, vec_id long, score double")
+    # One row a length: its blocks of vectors and of queries, and the number of its first task.
+    sizes = indexed.groupBy("d").agg(F.ceil(F.count(F.lit(1)) / VECTOR_BLOCK).alias("vector_blocks")).join(
+        wanted.groupBy("d").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("query_blocks")), "d")
+    n_tasks = F.col("vector_blocks") * F.col("query_blocks")
+    sizes = written(sizes.withColumn("base", F.sum(n_tasks).over(W.orderBy("d").rowsBetween(W.unboundedPreceding, 0)) - n_tasks), "lengths")
+    total = sizes.agg(F.sum(n_tasks)).first()[0] or 1
+
+    def dealt(df: DataFrame, own: str, other: str, is_query: bool) -> DataFrame:
+        df = df.join(broadcast_if_small(sizes), "d").withColumn("_b", F.pmod(F.xxhash64("key", F.lit(is_query)), F.col(own)))
+        df = df.withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
+        query, vector = ("_b", "_o") if is_query else ("_o", "_b")
+        return df.select((F.col("base") + F.col(query) * F.col("vector_blocks") + F.col(vector)).alias("task"),
+                         F.lit(is_query).alias("is_query"), "key", "ids", "vec", "prefix")
+
+    tasks = dealt(indexed, "vector_blocks", "query_blocks", False).unionByName(dealt(wanted, "query_blocks", "vector_blocks", True))
+    tasks = tasks.repartition(min(total, 20_000), "task").sortWithinPartitions("task")
+    best = tasks.mapInArrow(_search(k, rerank, least), "key long, vec_id long, score double")
     order = W.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     best = best.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= k + 1)
     answers = asked.withColumnRenamed("vec_id", "query_id").join(best, "key").where("vec_id <> query_id")

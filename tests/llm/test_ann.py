@@ -72,3 +72,27 @@ def test_odd_rows(spark):
     assert [(r.vec_id, round(r.score, 6)) for r in got[0]] == [(7, 1.0), (8, 0.707107)] and set(got) == {0}
     assert A.nearest(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 50 == 0).count() == 0
     assert A.nearest(df.where("vec_id = 7"), F.lit(True)).count() == 0
+
+
+def test_each_length_is_searched(spark):
+    """Two lengths with pivots and one without, against brute force inside each length."""
+    rng = np.random.default_rng(8)
+    lengths = {0: 6, 1: 9, 2: 2}
+    rows = [(i, rng.normal(size=lengths[2 if i % 100 == 50 and i < 300 else i % 2]).tolist()) for i in range(1200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = answers(df, pivots=32, prefix=16, least=100)
+    for q, found in got.items():
+        same = df.where(F.size("embedding") == len(rows[q][1]))
+        want = A.brute_force(same, [q])[q]
+        if len(rows[q][1]) == 2:
+            assert [r.vec_id for r in found] == want and len(found) == 2
+        else:
+            assert len({r.vec_id for r in found} & set(want)) >= 3 and len(found) == 5
+    assert set(got) == set(range(0, 1200, 50))
+
+
+def test_huge_and_tiny_components(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e200, 1e199]), (2, [1.0, 1.0]), (3, [1e-200, 3e-200]), (4, [1.0, -1.0]), (5, [0.0, 5e-324])]
+    got = answers(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))[0]
+    assert [r.vec_id for r in got] == [2, 3, 1, 5, 4]
+    assert [round(r.score, 3) for r in got] == [1.0, 0.894, 0.774, 0.707, 0.0]
