@@ -45,6 +45,27 @@ def written(df: DataFrame, name: str, compression: str | None = None) -> DataFra
     return df.sparkSession.read.parquet(path)
 
 
+#: Bits of the bitmap of ``maybe_among``, in pieces of 32768: 16 MB, whatever the number of keys.
+FILTER_BITS = 1 << 27
+
+
+def maybe_among(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of ``df`` whose key may be among ``wanted_key``'s values; none that is gets lost.
+
+    The wanted keys set bits of a bitmap whose size is fixed, so it can be broadcast.  Put before a join it keeps most rows
+    that would not match out of the exchange; beyond about ``bits`` wanted keys it lets most rows through.
+    """
+    def slot(name: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(bits)) + 1  # from 1: the bitmap functions begin their pieces there
+
+    bitmap = wanted.groupBy(F.bitmap_bucket_number(slot(wanted_key)).alias("_piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot(wanted_key))).alias("_bits"))
+    place = F.bitmap_bit_position(slot(key))
+    byte = F.conv(F.hex(F.substring("_bits", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = byte.bitwiseAND(F.pow(F.lit(2), place.bitwiseAND(F.lit(7))).cast("int")) != 0
+    return df.join(F.broadcast(bitmap), (F.bitmap_bucket_number(slot(key)) == F.col("_piece")) & is_set, "left_semi")
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Runs of equal first columns of sorted batches, whole even where a run crosses batches."""
     rest = None

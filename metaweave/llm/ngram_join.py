@@ -20,7 +20,8 @@ are merged first and carried as one set with a number of copies.
   (``agreement``), and leave a spanning forest of each node, never its pairs.
 * The forests' connected components are the candidate groups.  Inside each, all sets are
   compared exactly (block against block where a group is large), links are counted where they are
-  found, and again only a spanning forest goes on.  Its components are the classes.
+  found, and again only a spanning forest goes on.  Its components are the classes.  Only texts that may be in a
+  group go through the exchange that fetches them: a bitmap of fixed size holds the wanted ids.
 
 Defined results, one row per input row: ``class_id`` is the smallest document id of the class,
 ``n_links`` the number of other documents (copies included) at or above the threshold and
@@ -37,9 +38,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from metaweave.llm.common import connected_components, sorted_groups, written
+from metaweave.llm.common import connected_components, maybe_among, sorted_groups, written
 from metaweave.llm.tokens import Tokenizer, chunks, mix, starts_within, utf8, windows
 
 WORDS = 5
@@ -114,7 +116,7 @@ def _multipliers() -> np.ndarray:
 
 
 def _sketches(size: int):
-    """``mapInArrow``: id and text to id, set key, number of shingles and sampled tokens (32 bits each)."""
+    """``mapInArrow``: id, text and its hash to id, hash, set key, number of shingles and sampled tokens (32 bits each)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, by = Tokenizer(), _multipliers()
         for batch in batches:
@@ -134,8 +136,9 @@ def _sketches(size: int):
                 for k, i in enumerate(full.tolist()):
                     keys[i], sketch[i] = set_key(sets[i]), tokens[k].tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(keys, pa.int64()), pa.array(n, pa.int64()), pa.array(sketch, pa.binary())],
-                    names=["doc_id", "set_id", "n_shingles", "sketch"])
+                    [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(keys, pa.int64()), pa.array(n, pa.int64()),
+                     pa.array(sketch, pa.binary())],
+                    names=["doc_id", "text_hash", "set_id", "n_shingles", "sketch"])
     return run
 
 
@@ -291,7 +294,17 @@ def candidates(sets: DataFrame, runs: int, threshold: float, recall: float = REC
     found = _by_task(met, "path").mapInArrow(_compare_tokens(need), "a long, b long")
     for more in links:
         found = found.union(more)
-    return found.distinct()
+    return _thinned(found)
+
+
+def _thinned(links: DataFrame) -> DataFrame:
+    """Links with the same components: each set keeps one, to the smallest set it is linked to, and those it was linked to get one to that.
+
+    A set has at most a link for each of its nodes, but a group of near copies shares its pivots, so few different links are left.
+    """
+    own = links.withColumn("least", F.least("a", F.min("b").over(W.partitionBy("a"))))
+    both = own.select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b"))
+    return both.where("a <> b").distinct()
 
 
 def _shingle_rows(size: int):
@@ -362,9 +375,11 @@ def _verify(threshold: float):
 
 def join_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS,
                  threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """``doc_id``, ``class_id``, ``n_links``, ``n_text_links`` and ``set_id`` for every row of ``docs``."""
+    """``doc_id``, ``class_id``, ``n_links``, ``n_text_links``, and hashes of its set, class and text, for every row of ``docs``."""
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = written(given.mapInArrow(_sketches(size), "doc_id long, set_id long, n_shingles long, sketch binary"), "sketches")
+    rows = given.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        _sketches(size), "doc_id long, text_hash long, set_id long, n_shingles long, sketch binary")
+    rows = written(rows, "sketches")
     sets = written(rows.where("doc_id IS NOT NULL AND set_id IS NOT NULL").groupBy("set_id").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"),
         F.first("sketch").alias("sketch")), "sets")
@@ -374,7 +389,8 @@ def join_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     member = written(member, "candidates")
     blocks = member.groupBy("candidate").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks"))
-    texts = given.join(member.select("set_id", F.col("first_id").alias("doc_id")), "doc_id").select("set_id", "text")
+    wanted = member.select("set_id", F.col("first_id").alias("doc_id"))
+    texts = maybe_among(given, "doc_id", wanted, "doc_id").join(wanted, "doc_id").select("set_id", "text")
     texts = texts.mapInArrow(_shingle_rows(size), "set_id long, shingles binary")
     tasks = _blocks(member.select("set_id", "candidate", "copies").join(blocks, "candidate"), "candidate", "blocks")
     tasks = tasks.select("task", "block", "inside", "set_id", "copies").join(texts, "set_id")
@@ -387,24 +403,30 @@ def join_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     named = named.withColumn("class", F.coalesce("class", "set_id"))
     smallest = named.groupBy("class").agg(F.min("first_id").alias("class_id"))
     named = named.join(smallest, "class").select(
-        "set_id", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"))
-    joined = rows.select("doc_id", "set_id").join(named, "set_id", "left")
+        "set_id", F.col("class").alias("class_set"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"))
+    joined = rows.select("doc_id", "set_id", "text_hash").join(named, "set_id", "left")
     has = F.col("doc_id").isNotNull()
     return joined.select(
         "doc_id", F.when(has, F.coalesce("class_id", "doc_id")).alias("class_id"),
         F.when(has, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
-        F.when(has, F.coalesce("n_text_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_text_links"), "set_id")
+        F.when(has, F.coalesce("n_text_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_text_links"), "set_id", "class_set", "text_hash")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of each class; of rows that repeat it with the same text, one.
+    """The rows of ``docs`` with the smallest id of each class; of rows that repeat it, one with the class's text.
 
-    Rows without an id are kept.
+    An id may stand for several texts: each row goes or stays by its own text.  Of rows with the smallest id whose texts are in
+    the class, the one with the smallest hash of its text stays.  Rows without an id are kept.
     """
-    first = join_classes(docs, doc_id, text, **options).where("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
-    left = docs.where(F.col(doc_id).isNotNull()).join(first, F.col(doc_id) == F.col("_kept"), "left_semi")
-    left = left.withColumn("_text", F.xxhash64(text)).dropDuplicates([doc_id, "_text"]).drop("_text")
-    return left.unionByName(docs.where(F.col(doc_id).isNull()))
+    joined = join_classes(docs, doc_id, text, **options).where("doc_id = class_id")
+    # A text without words has no set and is a class of its own, together with rows that repeat its id.
+    own = joined.groupBy("doc_id", F.coalesce("class_set", "text_hash").alias("_class")).agg(F.min("text_hash").alias("_hash"))
+    first = own.select(F.col("doc_id").alias("_kept"), "_hash")
+    hashed = docs.withColumn("_text", F.xxhash64(text))
+    left = hashed.where(F.col(doc_id).isNotNull()).join(
+        first, (F.col(doc_id) == F.col("_kept")) & (F.col("_text") == F.col("_hash")), "left_semi")
+    left = left.dropDuplicates([doc_id, "_text"])
+    return left.unionByName(hashed.where(F.col(doc_id).isNull())).drop("_text")
 
 
 def brute_force(docs: list[tuple[int, str | None]], size: int = WORDS, threshold: float = THRESHOLD) -> dict[int, tuple[int, int]]:

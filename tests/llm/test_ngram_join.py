@@ -102,6 +102,34 @@ def test_keep_one(docs, odd_docs, no_docs):
     assert N.keep_one(no_docs).count() == 0
 
 
+def test_keep_one_of_ids_with_several_texts(spark):
+    a, b, c = prose(60, 1), prose(60, 2), prose(60, 3)
+    near = variants(a, 1, 1, 1)[0]
+    df = spark.createDataFrame([(3, a), (5, b), (5, a), (7, c), (7, near), (8, c), (9, None), (9, ""), (9, "")], "doc_id long, text string")
+    kept = sorted((r.doc_id, r.text or str(r.text)) for r in N.keep_one(df).collect())
+    assert kept == sorted([(3, a), (5, b), (7, c), (9, "None"), (9, "")])
+
+
+def test_thinned_links_keep_components(spark):
+    rng = random.Random(4)
+    links = [(a, b) for a in range(400) for b in rng.sample(range(400), rng.choice([0, 0, 1, 1, 3])) if a != b]
+    df = spark.createDataFrame(links, "a long, b long")
+    thin = N._thinned(df)
+    assert thin.count() <= len(set(links))
+    def components(edges):
+        return {(r.node, r.component) for r in common.connected_components(edges).collect()}
+    assert components(thin) == components(df)
+
+
+def test_maybe_among_loses_no_wanted_key(spark):
+    keys = spark.range(-5000, 5000).withColumnRenamed("id", "k")
+    wanted = spark.range(-5000, 5000, 7).withColumnRenamed("id", "w")
+    got = {r.k for r in common.maybe_among(keys, "k", wanted, "w").collect()}
+    assert set(range(-5000, 5000, 7)) <= got and len(got) < 1500
+    assert {r.k for r in common.maybe_among(keys, "k", wanted, "w", bits=1 << 12).collect()} >= set(range(-5000, 5000, 7))
+    assert common.maybe_among(keys, "k", wanted.limit(0), "w").count() == 0
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = N.join_classes(odd_docs).collect()
     assert len(rows) == odd_docs.count()
