@@ -45,8 +45,8 @@ def written(df: DataFrame, name: str, compression: str | None = None) -> DataFra
     return df.sparkSession.read.parquet(path)
 
 
-#: Bits of the bitmap of ``maybe_among``, in pieces of 32768: 16 MB, whatever the number of keys.
-FILTER_BITS = 1 << 27
+#: Bits of the bitmap of ``maybe_among``, in pieces of 32768: 4 MB, whatever the number of keys.
+FILTER_BITS = 1 << 25
 
 
 def maybe_among(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str, bits: int = FILTER_BITS) -> DataFrame:

@@ -22,7 +22,8 @@ string.  Other pieces' blocks end at the first piece beyond ``BLOCK_BYTES``.
 
 Defined results: a null text is empty; a text shorter than ``LENGTH`` keeps all its bytes; a null id sorts before all
 others; rows that repeat an id and text are one document and get the same result; rows with the same id and other texts
-are documents ordered by a checksum of the text.  Other columns pass through; input columns named like an output column are renamed ``in_<name>``.
+are documents ordered by a checksum of the text (of an id with two texts of one checksum, by a 64-bit hash; of those, an id that is
+not null may have ``CHECKSUMS`` different texts, more end in an error).  Other columns pass through; input columns named like an output column are renamed ``in_<name>``.
 """
 
 from __future__ import annotations
@@ -31,11 +32,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from metaweave.functions.ordered import range_ordinal
+from metaweave.functions.sizing import broadcast_if_small
 from metaweave.llm.common import free_names, sorted_groups, written
 from metaweave.llm.tokens import chunks, mix, utf8
 
@@ -45,6 +48,7 @@ MAX_CONTEXTS = 20_000
 BLOCK_BYTES = 2 << 20
 PIECE_BYTES = 2 << 20  # a longer text is routed in overlapping pieces
 NO_ID = -(1 << 63)
+CHECKSUMS = 1 << 23
 
 _BASE = 0x9E3779B97F4A7C15
 _OTHERS = np.int64(128)  # flag: a later copy in its task, marked wherever the first one is
@@ -336,15 +340,41 @@ def hash_bytes(string: bytes) -> bytes:
     return hashlib.blake2b(string, digest_size=16).digest()
 
 
-def _key(doc_id: str, text: str) -> list[Column]:
+def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with ``_doc`` and ``_crc``, which together name one text each and order documents.
+
+    ``_crc`` is a checksum of the text.  Where two texts of an id have the same, all texts of that id are numbered by a hash
+    instead; null ids, which may be any number of rows, then go on at the next smallest ids.
+    """
     given = F.coalesce(F.col(text), F.lit(""))
-    return [F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"), F.crc32(given).bitwiseAND(F.lit((1 << 23) - 1)).alias("crc")]
+    keyed = docs.withColumn("_doc", F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)))
+    keyed = keyed.withColumn("_crc", F.crc32(given).bitwiseAND(F.lit(CHECKSUMS - 1)))
+    texts = keyed.select("_doc", "_crc", F.xxhash64(given).alias("_hash"))
+    clash = texts.groupBy("_doc", "_crc").agg(F.min("_hash").alias("_low"), F.max("_hash").alias("_high")).where("_low <> _high")
+    clash = written(clash.select("_doc").distinct(), "clashing-ids")
+    if clash.isEmpty():
+        return keyed
+    several = texts.select("_doc", "_hash").join(broadcast_if_small(clash), "_doc", "left_semi").distinct()
+    numbered = range_ordinal(written(several, "clashing-texts"), ["_doc"], ["_hash"], "_rank")
+    beyond = F.floor(F.col("_rank") / F.lit(CHECKSUMS)).cast("long")
+    numbered = numbered.select(
+        F.col("_doc").alias("_d"), F.col("_hash").alias("_h"), F.pmod("_rank", F.lit(CHECKSUMS)).cast("long").alias("_c"),
+        F.when((F.col("_doc") == NO_ID) | (beyond == 0), F.col("_doc") + beyond).otherwise(
+            F.raise_error(F.concat(F.lit("too many different texts of the id "), "_doc")).cast("long")).alias("_own"))
+    met = keyed.join(broadcast_if_small(numbered), (F.col("_doc") == F.col("_d")) & (F.xxhash64(given) == F.col("_h")), "left")
+    return met.select(*docs.columns, F.coalesce("_own", "_doc").alias("_doc"), F.coalesce("_c", "_crc").alias("_crc"))
 
 
 def repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM,
                      max_contexts: int = MAX_CONTEXTS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc``, ``crc``, ``start``, ``count``: runs of strings that also start earlier, as first start and number of strings."""
-    given = docs.select(*_key(doc_id, text), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return _repeated(_documents(docs.select(doc_id, text), doc_id, text), text, length, gram, max_contexts, block_bytes)
+
+
+def _repeated(keyed: DataFrame, text: str, length: int = LENGTH, gram: int = GRAM, max_contexts: int = MAX_CONTEXTS,
+              block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``repeated_strings`` of documents that are named by ``_doc`` and ``_crc``."""
+    given = keyed.select(F.col("_doc").alias("doc"), F.col("_crc").alias("crc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = given.mapInArrow(_route(length, gram), "route long, whole long, doc long, place long")
     others = F.col("place").bitwiseAND(F.lit(128)) != 0
     piece = W.partitionBy("route")
@@ -415,11 +445,10 @@ def _cut(text: str, length: int, columns: list[str]):
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, **options) -> DataFrame:
     """Every row of ``docs`` with ``removed_spans`` (maximal byte ranges) and ``kept`` (the other bytes, in order)."""
-    docs = free_names(docs, [*OUT.names, "_doc", "_crc", "_marks", "_d", "_c"])
-    marks = repeated_strings(docs, doc_id, text, length, **options)
+    docs = free_names(docs, [*OUT.names, "_doc", "_crc", "_hash", "_marks", "_d", "_c", "_h", "_own"])
+    keyed = _documents(docs, doc_id, text)
+    marks = _repeated(keyed, text, length, **options)
     marks = marks.groupBy(F.col("doc").alias("_d"), F.col("crc").alias("_c")).agg(F.collect_list(F.struct("start", "count")).alias("_marks"))
-    doc, crc = _key(doc_id, text)
-    keyed = docs.withColumn("_doc", doc).withColumn("_crc", crc)
     met = keyed.join(marks, (F.col("_doc") == F.col("_d")) & (F.col("_crc") == F.col("_c")), "left").select(*docs.columns, "_marks")
     return met.mapInArrow(_cut(text, length, docs.columns), T.StructType([*docs.schema.fields, *OUT.fields]))
 

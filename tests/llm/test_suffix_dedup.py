@@ -1,8 +1,10 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
 from conftest import prose
+from pyspark.sql import functions as F
 
 from metaweave.llm import suffix_dedup as S
 
@@ -92,3 +94,37 @@ def test_a_string_with_many_contexts_meets_in_no_task(docs, monkeypatch):
     monkeypatch.setattr(frame, "mapInArrow", spied)
     assert spans(df, max_contexts=10) == S.brute_force(list(enumerate(texts)))
     assert sent and max(sent) <= 10
+
+
+def by_text(spark, rows):
+    """Removed spans by text, and what brute force removes where documents of an id stand in the order of their texts' hashes."""
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    hashes = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(dict.fromkeys(rows), key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]]))
+    want = {order[i]: found for i, found in S.brute_force([(i, t) for i, (_, t) in enumerate(order)]).items()}
+    got = {(r.doc_id, r.text): [(s.start, s.end) for s in r.removed_spans] for r in S.remove_repeats(df).collect()}
+    return got, want
+
+
+def test_texts_of_one_checksum(spark):
+    """Two texts without an id, and two with the same, whose checksums agree; lengths differ, so that a mix-up would be out of bounds."""
+    passage, seen, pair = prose(60, 1), {}, None
+    while pair is None:
+        text = f"{passage} {len(seen)} {'long tail ' * (len(seen) % 50)}"
+        crc = zlib.crc32(text.encode()) & (S.CHECKSUMS - 1)
+        if crc in seen and len(seen[crc]) != len(text):
+            pair = seen[crc], text
+        seen[crc] = text
+    for doc in (None, 7):
+        got, want = by_text(spark, [(doc, pair[0]), (doc, pair[1]), (9, passage), (9, passage)])
+        assert got == want and sum(map(bool, got.values())) >= 2  # a tail may repeat itself
+
+
+def test_more_texts_without_an_id_than_checksums(spark, monkeypatch):
+    monkeypatch.setattr(S, "CHECKSUMS", 4)
+    passage = prose(60, 1)
+    rows = [(None, f"{prose(i + 5, i)} {passage} {i}") for i in range(11)] + [(3, f"{passage} a"), (3, f"b {passage}"), (4, passage)]
+    got, want = by_text(spark, rows)
+    assert got == want and sum(map(bool, got.values())) == len(rows) - 1
+    with pytest.raises(Exception, match="too many different texts"):
+        S.remove_repeats(spark.createDataFrame([(3, f"{i} {passage}") for i in range(9)], "doc_id long, text string")).collect()
