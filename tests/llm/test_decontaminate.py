@@ -37,6 +37,31 @@ def test_against_brute_force(docs, bench, options):
     assert sum(r[2] > 0 for r in got) > 15
 
 
+def test_rounds_hold_bounded_parts_of_the_benchmark(spark, docs):
+    long = prose(100, 77)
+    items = spark.createDataFrame([("a", long), ("b", prose(9, 78)), ("c", prose(40, 79)), ("d", None)], "id string, t string")
+    parts = D.pieces(items, 10, piece_words=8)
+    dealt, rounds = D.rounds_of(parts, 400)
+    sizes = [sum(len(r.t) + len(r.id) for r in dealt.collect() if r["round"] == k) for k in range(rounds)]
+    assert rounds >= 3 and max(sizes) <= 400
+    words = [r.t.split() for r in dealt.where("id = 'a'").collect()]
+    cut = {" ".join(w[i:i + 10]) for w in words for i in range(len(w) - 9)}
+    plain = long.replace(".", "").replace(",", "").split()
+    assert cut == {" ".join(plain[i:i + 10]) for i in range(91)} and max(map(len, words)) == 17
+    assert [r.t.split() for r in dealt.where("id = 'b'").collect()] == [prose(9, 78).replace(".", "").replace(",", "").split()]
+    # Hits of several rounds in one text are merged, copies of a text and a null text keep their rows.
+    bench = items.toDF("item_id", "text")
+    df = docs([long, long, None, prose(9, 78) + " " + prose(40, 79), "no hit at all"])
+    one, many = ([(r.doc_id, r.n_words, r.n_hit, r.item_ids, r.hit_spans) for r in sorted(D.scan_contamination(df, bench, max_bytes=m).collect(), key=lambda r: r.doc_id)]
+                 for m in (1 << 20, 400))
+    assert one == many and [r[2] for r in one] == [100, 100, 0, 49, 0] and one[3][3] == ["b", "c"]
+
+
+def test_odd_rows_in_rounds(odd_docs, bench):
+    got, want = ([tuple(r) for r in D.scan_contamination(odd_docs, bench, max_bytes=m).collect()] for m in (1000, 1 << 20))
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
 def test_spans_are_cut_and_documents_removed(docs, bench):
     item = bench.where("item_id = 3").first().text
     df = docs([f"Before it. {item} After it.", "clean text"])
