@@ -58,3 +58,19 @@ def test_landed_buckets_follow_the_size(spark, lines, tmp_path, monkeypatch):
     assert sorted(columns.collect()) == want and in_parts(columns) < 60_000 // 8 // 2
     write_landed({"raw_describe": lines}, str(tmp_path / "plain"))
     assert len([f for f in os.listdir(tmp_path / "plain" / "raw_describe") if f.endswith(".parquet")]) >= 50
+
+
+def test_merge_and_documents_are_dealt_by_size(spark, records, tmp_path, monkeypatch):
+    nodes, edges = G.graph_nodes(*records), G.graph_edges(*records)
+    plain = GraphStore(spark, str(tmp_path / "plain"), buckets=4).create(nodes, edges, "a")
+    monkeypatch.setattr(sizing, "TASK_BYTES", sizing.read_bytes(plain.edges()) // 40)
+    merged = G.publish_upsert(plain.edges(), edges, "b", keys=("start_key", "end_key", "type"))
+    assert merged.count() == edges.count() and in_parts(merged) < 12_002 // 8 // 2
+    store = GraphStore(spark, str(tmp_path / "sized"), buckets=4).create(nodes, edges, "a")
+    assert store.nodes().exceptAll(plain.nodes()).isEmpty() and store.edges().exceptAll(plain.edges()).isEmpty()
+    assert store.edges().count() == plain.edges().count()
+    monkeypatch.setattr(G, "GRAPH_TASK_BYTES", sizing.read_bytes(store.nodes(), store.edges()) // 60)
+    tables = G.assembled_tables(store.nodes(), store.edges())
+    assert tables.count() == 3000 and in_parts(tables) < 3000 // 8 // 2
+    assert tables.where(F.size("columns") == 3).count() == 3000
+    assert G.assembled_tables(store.nodes(), store.edges(), tables.select("key").where("key like '%/t7'")).count() == 1
