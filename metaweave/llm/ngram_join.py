@@ -272,9 +272,9 @@ def candidates(sets: DataFrame, runs: int, threshold: float, recall: float = REC
     nodes = sets.select("set_id", "sketch").mapInArrow(_first_nodes(runs, FIRST_DEPTH), "path long, set_id long")
     leaves, links = [], []
     for depth in range(FIRST_DEPTH, LAST_DEPTH + 1):
-        nodes = written(nodes, "nodes")
-        shared = nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        shared = written(nodes.join(shared, "path"), "shared-nodes")
+        # Nodes are exchanged once, as two numbers a row; those of one set are never written.
+        counted = nodes.withColumn("n", F.count(F.lit(1)).over(W.partitionBy("path")))
+        shared = written(counted.where("n > 1"), "shared-nodes")
         leaves.append(shared.where(F.col("n") <= SMALL).select("path", "set_id"))
         large, found = _pivot_rounds(shared.where(F.col("n") > SMALL), sets, need)
         links += found
