@@ -129,7 +129,7 @@ def communication_matrix(blocks: DataFrame, rows: int, shards: int, levels: int,
 def shard_rows(df: DataFrame, shards: int = SHARDS, seed: int = SEED, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Every row of ``df`` with ``shard`` (0 to ``shards - 1``) and ``slot`` (its place in the shard, gapless from 0)."""
     spark = df.sparkSession
-    base = written(free_names(df, ["shard", "slot", "_row"]).withColumn("_row", F.monotonically_increasing_id()), "numbered-rows")
+    base = written(free_names(df, ["shard", "slot", "_row"]).withColumn("_row", F.monotonically_increasing_id()), "numbered-rows", compression="zstd")
     rows = base.count()
     levels = max(int(math.log2(MIN_BLOCKS)), math.ceil(math.log2(max(1, rows / block_rows))))
     block = F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(1 << levels))
