@@ -221,31 +221,33 @@ def _compare_tokens(need: int):
 
 
 def _compare_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``mapInArrow``: path, set, pivot and both sketches to the number of sampled tokens that agree."""
+    """``mapInArrow``: set, pivot and both sketches to the number of sampled tokens that agree."""
     for batch in batches:
-        agree = (_tokens(batch.column(3)) == _tokens(batch.column(4))).sum(axis=1)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(agree.astype(np.int32))], names=["path", "set_id", "pivot", "agree"])
+        agree = (_tokens(batch.column(2)) == _tokens(batch.column(3))).sum(axis=1)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(agree.astype(np.int32))], names=["set_id", "pivot", "agree"])
 
 
 def _pivot_rounds(large: DataFrame, sets: DataFrame, need: int) -> tuple[DataFrame | None, list[DataFrame]]:
     """What is left of large nodes after the rounds, and the links to pivots that were found.
 
     A partner of a settled set differs from the pivot in the tokens in which the two differ from the settled set, at most.
+    A set meets the same pivot in several nodes, and is compared with it once; what is left of a node may be one set, which ends.
     """
     settled = math.ceil((1 - SETTLED) * COORDINATES)
     linked = max(0, need - (COORDINATES - settled))
-    sketches, links = sets.select("set_id", "sketch"), []
+    sketches, links, here = sets.select("set_id", "sketch"), [], W.partitionBy("path")
     for _ in range(PIVOT_ROUNDS):
+        large = large.select("path", "set_id", F.min("set_id").over(here).alias("pivot"), F.max("set_id").over(here).alias("last"))
+        large = written(large.where("pivot < last").drop("last"), "large-nodes")
         if large.isEmpty():
             return None, links
-        pivots = large.groupBy("path").agg(F.min("set_id").alias("pivot")).join(
-            sketches.select(F.col("set_id").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot")
-        met = large.select("path", "set_id").join(sketches, "set_id").join(pivots, "path")
-        met = met.select("path", "set_id", "pivot", "sketch", "pivot_sketch")
-        met = written(met.mapInArrow(_compare_pivot, "path long, set_id long, pivot long, agree int"), "pivots")
+        pairs = large.select("set_id", "pivot").distinct()
+        pivots = pairs.select("pivot").distinct().join(sketches.select(F.col("set_id").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot")
+        met = pairs.join(sketches, "set_id").join(pivots, "pivot").select("set_id", "pivot", "sketch", "pivot_sketch")
+        met = written(met.mapInArrow(_compare_pivot, "set_id long, pivot long, agree int"), "pivots")
         links.append(met.where((F.col("agree") >= linked) & (F.col("set_id") != F.col("pivot"))).select(
             F.col("set_id").alias("a"), F.col("pivot").alias("b")))
-        large = met.where(F.col("agree") < settled).select("path", "set_id")
+        large = large.join(met.where(F.col("agree") < settled), ["set_id", "pivot"], "left_semi").select("path", "set_id")
     return large, links
 
 
@@ -280,8 +282,8 @@ def candidates(sets: DataFrame, runs: int, threshold: float, recall: float = REC
         links += found
         if depth == LAST_DEPTH:
             if large is not None:
-                sizes = large.groupBy("path").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("blocks"))
-                leaves.append(_blocks(large.join(sizes, "path"), "path", "blocks").select(F.col("task").alias("path"), "set_id").distinct())
+                blocks = F.ceil(F.count(F.lit(1)).over(W.partitionBy("path")) / BLOCK_SETS)
+                leaves.append(_blocks(large.select("path", "set_id", blocks.alias("blocks")), "path", "blocks").select(F.col("task").alias("path"), "set_id").distinct())
         elif large is None:
             break
         else:

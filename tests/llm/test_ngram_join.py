@@ -164,3 +164,23 @@ def test_sorted_groups_are_whole():
     import pyarrow as pa
     batches = [pa.RecordBatch.from_arrays([pa.array(k), pa.array(range(len(k)))], names=["k", "v"]) for k in ([1, 1, 2], [], [2, 2, 2], [2, 3])]
     assert [(g.column(0)[0].as_py(), g.num_rows) for g in common.sorted_groups(iter(batches))] == [(1, 2), (2, 5), (3, 1)]
+
+
+def test_a_set_is_compared_once_with_a_pivot_of_several_nodes(spark, monkeypatch):
+    tokens = np.zeros((40, N.COORDINATES), np.uint32)
+    tokens[20:, :48] = np.arange(20, 40, dtype=np.uint32)[:, None]
+    sets = spark.createDataFrame([(i, bytearray(t.tobytes())) for i, t in enumerate(tokens)], "set_id long, sketch binary")
+    large = spark.createDataFrame([(p, i) for p in range(16) for i in range(40)], "path long, set_id long")
+    rows = {}
+
+    def counted(df, name, *a, **k):
+        out = common.written(df, name, *a, **k)
+        rows.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "written", counted)
+    left, links = N._pivot_rounds(large, sets, N.agreement(N.RECALL, N.THRESHOLD))
+    assert rows["pivots"] == [40, 20]
+    assert {(r.a, r.b) for r in links[0].collect()} == {(i, 0) for i in range(1, 20)}
+    # Sets that no pivot settled stay in every node.
+    assert sorted(map(tuple, left.select("path", "set_id").collect())) == [(p, i) for p in range(16) for i in range(21, 40)]
