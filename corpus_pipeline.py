@@ -50,7 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds ``shard`` and ``slot`` of a uniform shuffle into shards of equal row counts."""
-    return sharding.shard_rows(docs)
+    return sharding.shard_rows(docs, stored=True)
 
 
 STAGES = [

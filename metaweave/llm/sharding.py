@@ -2,7 +2,8 @@
 
 A uniform shuffle into shards whose row counts differ by at most one, without a global sort:
 
-1. Rows get a stable row number (written once) and a hash of it deals them to ``2**k`` blocks.
+1. Rows get a stable row number (written once, with the row or with its place in the file it is read from) and a hash of it
+   deals them to ``2**k`` blocks.
 2. The communication matrix, block by shard, is drawn exactly: how many rows of each block a
    uniform permutation would send to each shard.  Blocks are halved again and again; at each
    split the left half's part of every shard's remaining capacity is drawn from the
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -126,14 +128,33 @@ def communication_matrix(blocks: DataFrame, rows: int, shards: int, levels: int,
     return tree.select((F.col("node") - (1 << levels)).alias("block"), "to")
 
 
-def shard_rows(df: DataFrame, shards: int = SHARDS, seed: int = SEED, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Every row of ``df`` with ``shard`` (0 to ``shards - 1``) and ``slot`` (its place in the shard, gapless from 0)."""
+def _places(df: DataFrame) -> DataFrame | None:
+    """``df`` with ``_row``, the file and the place in it that each row was read from; nothing if that does not name a row once."""
+    try:
+        placed = df.withColumn("_row", F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")))
+        return placed if placed.groupBy("_row").count().where("count > 1").isEmpty() else None
+    except AnalysisException:  # not read from files
+        return None
+
+
+def shard_rows(df: DataFrame, shards: int = SHARDS, seed: int = SEED, block_rows: int = BLOCK_ROWS, stored: bool = False) -> DataFrame:
+    """Every row of ``df`` with ``shard`` (0 to ``shards - 1``) and ``slot`` (its place in the shard, gapless from 0).
+
+    With ``stored``, rows that files hold as they are get no second copy: only their places are written beside their numbers.
+    """
     spark = df.sparkSession
-    base = written(free_names(df, ["shard", "slot", "_row"]).withColumn("_row", F.monotonically_increasing_id()), "numbered-rows", compression="zstd")
-    rows = base.count()
+    free = free_names(df, ["shard", "slot", "_row"])
+    base = _places(free) if stored else None
+    number = F.monotonically_increasing_id()
+    if base is not None:
+        dealt = written(base.select("_row", number.alias("number")), "row-numbers", compression="zstd")
+    else:
+        base = written(free.withColumn("_row", number), "numbered-rows", compression="zstd")
+        dealt = base.select("_row", F.col("_row").alias("number"))
+    rows = dealt.count()
     levels = max(int(math.log2(MIN_BLOCKS)), math.ceil(math.log2(max(1, rows / block_rows))))
-    block = F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(1 << levels))
-    dealt = base.select("_row", block.alias("block"))
+    block = F.pmod(F.xxhash64("number", F.lit(seed)), F.lit(1 << levels))
+    dealt = dealt.select("_row", "number", block.alias("block"))
     sizes = spark.range(1 << levels).select(F.col("id").alias("block")).join(
         dealt.groupBy("block").agg(F.count(F.lit(1)).alias("n")), "block", "left")
     matrix = communication_matrix(sizes.select("block", F.coalesce("n", F.lit(0)).alias("n")), rows, shards, levels, seed)
@@ -141,15 +162,15 @@ def shard_rows(df: DataFrame, shards: int = SHARDS, seed: int = SEED, block_rows
     matrix = written(matrix.select("block", upto.alias("upto")), "communication-matrix")
 
     cells = max(1, math.ceil(rows / shards / block_rows))
-    here = W.partitionBy("block").orderBy(F.xxhash64("_row", F.lit(seed + 1)), "_row")
+    here = W.partitionBy("block").orderBy(F.xxhash64("number", F.lit(seed + 1)), "number")
     ranked = dealt.withColumn("rank", F.row_number().over(here) - 1).join(matrix, "block")
-    sent = ranked.select("_row", F.size(F.filter("upto", lambda c: c <= F.col("rank"))).alias("shard"),
-                         F.pmod(F.xxhash64("_row", F.lit(seed + 2)), F.lit(cells)).alias("cell"))
+    sent = ranked.select("_row", "number", F.size(F.filter("upto", lambda c: c <= F.col("rank"))).alias("shard"),
+                         F.pmod(F.xxhash64("number", F.lit(seed + 2)), F.lit(cells)).alias("cell"))
     sent = written(sent, "sent-rows")
     filled = sent.groupBy("shard", "cell").agg(F.count(F.lit(1)).alias("n"))
     before = W.partitionBy("shard").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
     filled = filled.select("shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    there = W.partitionBy("shard", "cell").orderBy(F.xxhash64("_row", F.lit(seed + 3)), "_row")
+    there = W.partitionBy("shard", "cell").orderBy(F.xxhash64("number", F.lit(seed + 3)), "number")
     placed = sent.withColumn("rank", F.row_number().over(there) - 1).join(filled, ["shard", "cell"])
     placed = placed.select("_row", "shard", (F.col("before") + F.col("rank")).alias("slot"))
     return base.join(placed, "_row").drop("_row")

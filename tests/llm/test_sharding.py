@@ -54,3 +54,17 @@ def test_odd_rows(odd_docs, no_docs, spark):
     assert len(got) == odd_docs.count() and sorted(sum(r.shard == s for r in got) for s in range(5)) == [2, 2, 2, 3, 3]
     assert S.shard_rows(no_docs).count() == 0
     assert [(r.shard, r.slot) for r in S.shard_rows(spark.range(1)).collect()] == [(0, 0)]
+
+
+def test_stored_rows_get_no_second_copy(spark, tmp_path, monkeypatch):
+    from metaweave.llm import common
+
+    spark.range(3000).selectExpr("id % 700 AS id", "repeat('x', 50) AS text", "id AS _row").repartition(3).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    copied = sorted(map(tuple, S.shard_rows(docs, block_rows=200).collect()))
+    columns = []
+    monkeypatch.setattr(S, "written", lambda df, *a, **k: columns.append(df.columns) or common.written(df, *a, **k))
+    assert sorted(map(tuple, S.shard_rows(docs, block_rows=200, stored=True).collect())) == copied
+    assert columns and not any("text" in c for c in columns)
+    # Rows that files hold once but the table several times have no place of their own, rows of no file have none at all.
+    assert S._places(docs.selectExpr("id", "explode(array(1, 2)) AS k")) is None and S._places(spark.range(5)) is None
