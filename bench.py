@@ -46,7 +46,7 @@ def main() -> None:
         },
     )
     t0 = time.perf_counter()
-    landed_fixtures(spark, sf_dir)
+    landed_fixtures(spark, sf_dir).all_raw()
     land = time.perf_counter() - t0
     t0 = time.perf_counter()
     stages(spark, sf_dir).build_all()
