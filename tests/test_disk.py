@@ -5,9 +5,11 @@ import os
 import time
 
 from pyspark.sql import functions as F
+from test_graph_store import graph
 
-from metaweave.session import CLEANUP, materialize
+from metaweave.session import CLEANUP, checkpoint_root, materialize
 from metaweave.sources.fixtures import LAKE_NAMES, Fixtures, LandedFixtures
+from metaweave.sources.graph_store import GraphStore
 from metaweave.sources.landed import land_describe, write_landed
 
 SF = "/root/testdata/sf0.001"
@@ -18,6 +20,10 @@ def shuffles(spark):
     return {f for top in local for f in glob.glob(os.path.join(top, "*", "shuffle_*"))}
 
 
+def batches(spark):
+    return {x for x in os.listdir(f"{checkpoint_root(spark).removeprefix('file:')}/metaweave") if x.startswith("batch-")}
+
+
 def test_writes_leave_no_shuffle_files(spark, tmp_path):
     rows = spark.range(1000).select(F.lit("s").alias("schema_name"), F.col("id").cast("string").alias("table_name"), F.col("id").cast("int").alias("row_no"))
     before, setting = shuffles(spark), spark.conf.get(CLEANUP, None)
@@ -32,6 +38,16 @@ def test_writes_leave_no_shuffle_files(spark, tmp_path):
     spark.sql("DROP TABLE disk_lines")
 
 
+def test_batches_of_a_merge_go(spark, tmp_path):
+    names = [f"t{i}" for i in range(20)]
+    materialize(spark.range(1), "disk")  # the folder is there
+    before = batches(spark)
+    store = GraphStore(spark, str(tmp_path / "graph"), buckets=4).create(*graph(spark, names), "run_a")
+    store.upsert(None, graph(spark, ["t3"])[1], "run_b")
+    assert store.nodes().count() == 20 * 4 + 3 and store.edges().where("publish_tag = 'run_b'").count() == 6
+    assert batches(spark) == before
+
+
 def test_tables_are_landed_when_read(spark, tmp_path):
     landed, plain = LandedFixtures(spark, SF, str(tmp_path / "landed-a")), Fixtures(spark, SF)
     raw = landed.lake_raw()
