@@ -7,6 +7,7 @@ import time
 from pyspark.sql import functions as F
 from test_graph_store import graph
 
+from metaweave.operators import search as Q
 from metaweave.session import CLEANUP, checkpoint_root, materialize
 from metaweave.sources.fixtures import LAKE_NAMES, Fixtures, LandedFixtures
 from metaweave.sources.graph_store import GraphStore
@@ -58,3 +59,21 @@ def test_tables_are_landed_when_read(spark, tmp_path):
     assert landed.raw_commits.count() == plain.raw_commits.count()
     assert "raw_commits" in os.listdir(tmp_path / "landed-a") and landed.lake_raw()["raw_tables"] is raw["raw_tables"]
     spark.sql("DROP TABLE mw_describe_a")
+
+
+def test_documents_below_the_bar_are_not_sorted(spark, tmp_path, monkeypatch):
+    none = F.lit(None).cast("string")
+    docs = spark.range(300).select(
+        F.concat(F.lit("k"), "id").alias("key"), F.lit("t").alias("name"),
+        F.when(F.col("id") % 2 == 0, F.repeat(F.lit("part "), (F.col("id") % 7 + 1).cast("int"))).alias("description"),
+        F.array(F.lit("c")).alias("column_names"), F.array(none).alias("column_descriptions"))
+    index = Q.search_index(docs, 4).write(str(tmp_path / "index"))
+    spark.createDataFrame([(1, "part c"), (2, "t"), (None, "part")], "query_id int, text string").write.parquet(str(tmp_path / "queries"))
+    queries = spark.read.parquet(str(tmp_path / "queries"))
+    monkeypatch.setattr(Q, "MAX_CANDIDATES", 0)
+    got = Q.search_rank(queries, index, k=10)
+    assert "_mw_bar" in got._jdf.queryExecution().optimizedPlan().toString()
+    # Without floors there is no bar.
+    bare = Q.SearchIndex(index.postings, index.terms.withColumn("floors", F.filter("floors", lambda f: F.lit(False))), index.stats)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, Q.search_rank(queries, bare, k=10).collect()))
+    assert got.count() == 30
