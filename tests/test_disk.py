@@ -3,6 +3,7 @@
 import glob
 import os
 import time
+from datetime import datetime
 
 from pyspark.sql import functions as F
 from test_graph_store import graph
@@ -13,7 +14,23 @@ from metaweave.sources.fixtures import LAKE_NAMES, Fixtures, LandedFixtures
 from metaweave.sources.graph_store import GraphStore
 from metaweave.sources.landed import land_describe, write_landed
 
-SF = "/root/testdata/sf0.001"
+ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string"
+LINES = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+         "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+
+
+def source_tables(spark, root):
+    """A few source tables, with keys that are null, repeated or without a partner."""
+    day = datetime(2020, 1, 2)
+    orders = [(k, k % 4, "FOP"[k % 3], day, ["5-LOW", "4-NOT SPECIFIED", "1-URGENT"][k // 2 % 3]) for k in [*range(40), 7, 8]] + [(None, 1, "F", day, "5-LOW")]
+    lines = [(k, k * 3 + i, i, i + 1, float(i), 10.0 * i, 0.1, 0.2, "ANR"[i % 3], "OF"[k % 2], day) for k in [*range(44), 9] for i in range(k % 5)]
+    lines.append((None, 1, 1, 1, 1.0, 1.0, 0.0, 0.0, "A", "O", day))
+    events = [(i, day, i % 5, ["signup", "error", "click"][i % 3]) for i in range(30)]
+    for name, rows, schema in (("nation", [(i, f"N{i}", i) for i in range(3)], "n_nationkey int, n_name string, n_regionkey int"),
+                               ("customer", [(i, i) for i in range(4)], "c_custkey long, c_nationkey int"), ("orders", orders, ORDERS),
+                               ("lineitem", lines, LINES), ("events", events, "event_id long, ts timestamp_ntz, user_id long, event_type string")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{root}/{name}.parquet")
+    return str(root)
 
 
 def shuffles(spark):
@@ -50,12 +67,15 @@ def test_batches_of_a_merge_go(spark, tmp_path):
 
 
 def test_tables_are_landed_when_read(spark, tmp_path):
-    landed, plain = LandedFixtures(spark, SF, str(tmp_path / "landed-a")), Fixtures(spark, SF)
+    given = source_tables(spark, tmp_path / "given")
+    landed, plain = LandedFixtures(spark, given, str(tmp_path / "landed-a")), Fixtures(spark, given)
     raw = landed.lake_raw()
     assert sorted(os.listdir(tmp_path / "landed-a")) == sorted(LAKE_NAMES)
     for name in LAKE_NAMES:
         want = getattr(plain, name)
-        assert sorted(map(repr, raw[name].select(*want.columns).collect())) == sorted(map(repr, want.collect())), name
+        assert want.count() and sorted(map(repr, raw[name].select(*want.columns).collect())) == sorted(map(repr, want.collect())), name
+    # Each line of an order stands in each table of its key.
+    assert landed.raw_describe.where("table_name = 't9' AND row_no < 1000").count() == 8 and landed.raw_describe.where("table_name = 't8' AND row_no < 1000").count() == 6
     assert landed.raw_commits.count() == plain.raw_commits.count()
     assert "raw_commits" in os.listdir(tmp_path / "landed-a") and landed.lake_raw()["raw_tables"] is raw["raw_tables"]
     spark.sql("DROP TABLE mw_describe_a")
